@@ -1 +1,432 @@
-"""Queries of steps 5-6: cluster quality, clustering and models."""
+"""Queries of steps 5-6: cluster quality, clustering, regression, scoring
+and evaluation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from boutique import params
+from boutique import sources as src
+from boutique.operators import cluster, model, quality, score
+from boutique.operators import customers as cust
+from boutique.operators import prefs
+from boutique.plans import retail as R
+from boutique.plans.catalog import register
+from boutique.plans.oracle import q
+
+P = params
+LLOYD_K = 10
+LLOYD_STEPS = 2
+HIST_BINS = 10
+KMEANS_K_ALL = 210          # final k-means fit on all preferences
+WARD_K = 165                # final agglomerative fits per segment
+SWEEP_KS = [10, 20, 30]     # short grid for the registered sweep
+
+SQ = "list_sum(list_transform(list_zip({a}, {b}), lambda x: (x[1] - x[2]) * (x[1] - x[2])))"
+
+# ------------------------------------------------------------------ step 5: quality
+
+_CENT_SQL = """
+cent AS (SELECT label, list(m ORDER BY i) AS c FROM (
+    SELECT label, i, avg(v) AS m FROM (
+        SELECT label, unnest(generate_series(1, len(embedding))) AS i, unnest(embedding) AS v FROM embeds)
+    GROUP BY label, i) GROUP BY label),
+sizes AS (SELECT label, count(*) AS n FROM embeds GROUP BY label)"""
+
+
+@register("quality_davies_bouldin", q(f""", {_CENT_SQL},
+spread AS (SELECT e.label, avg(list_distance(e.embedding, c.c)) AS s
+           FROM embeds e JOIN cent c ON e.label = c.label GROUP BY e.label),
+pairs AS (SELECT a.label, max(CASE WHEN list_distance(a.c, b.c) = 0 THEN 0.0
+                                   ELSE (sa.s + sb.s) / list_distance(a.c, b.c) END) AS r
+          FROM cent a JOIN cent b ON a.label <> b.label
+          JOIN spread sa ON sa.label = a.label JOIN spread sb ON sb.label = b.label
+          GROUP BY a.label)
+SELECT round(avg(r), 6) AS davies_bouldin_score FROM pairs"""))
+def quality_davies_bouldin(spark, d):
+    return quality.davies_bouldin(src.embeddings(spark, d), "embedding", "label")
+
+
+@register("quality_calinski", q(f""", {_CENT_SQL},
+mean AS (SELECT list(m ORDER BY i) AS c FROM (
+    SELECT i, avg(v) AS m FROM (
+        SELECT unnest(generate_series(1, len(embedding))) AS i, unnest(embedding) AS v FROM embeds)
+    GROUP BY i)),
+b AS (SELECT sum(z.n * {SQ.format(a="c.c", b="mean.c")}) AS b, count(*) AS k, sum(z.n) AS n
+      FROM cent c JOIN sizes z ON c.label = z.label, mean),
+w AS (SELECT sum({SQ.format(a="e.embedding", b="c.c")}) AS s FROM embeds e JOIN cent c ON e.label = c.label)
+SELECT round(CASE WHEN w.s = 0 THEN 1.0 ELSE b.b * (b.n - b.k) / (w.s * (b.k - 1)) END, 6)
+       AS calinski_harabasz_score FROM b, w"""))
+def quality_calinski(spark, d):
+    return quality.calinski_harabasz(src.embeddings(spark, d), "embedding", "label")
+
+
+def _silhouette_sql(dist: str, name: str) -> str:
+    return q(f""",
+d AS (SELECT a.vec_id, a.label AS la, b.label AS lb, {dist} AS dist
+      FROM embeds a JOIN embeds b ON a.vec_id <> b.vec_id),
+per AS (SELECT vec_id, la, lb, sum(dist) / count(*) AS m FROM d GROUP BY 1, 2, 3),
+ab AS (SELECT vec_id, max(CASE WHEN lb = la THEN m END) AS a, min(CASE WHEN lb <> la THEN m END) AS b
+       FROM per GROUP BY vec_id)
+SELECT round(avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS {name}
+FROM embeds e LEFT JOIN ab ON e.vec_id = ab.vec_id""")
+
+
+@register("quality_silhouette", _silhouette_sql("list_distance(a.embedding, b.embedding)",
+                                                "silhouette_score"))
+def quality_silhouette(spark, d):
+    return quality.silhouette(src.embeddings(spark, d), "vec_id", "embedding", "label",
+                              sample=P.CLUSTER_SAMPLE, seed=P.SEED)
+
+
+@register("quality_silhouette_squared", _silhouette_sql(SQ.format(a="a.embedding", b="b.embedding"),
+                                                        "silhouette_squared"))
+def quality_silhouette_squared(spark, d):
+    return quality.silhouette_squared(src.embeddings(spark, d), "embedding", "label")
+
+
+@register("label_counts", q("""
+SELECT label, count(*) AS n,
+       CAST(row_number() OVER (ORDER BY count(*) DESC, label) AS BIGINT) AS rank
+FROM embeds WHERE label IS NOT NULL GROUP BY label"""))
+def label_counts(spark, d):
+    return quality.label_counts(src.embeddings(spark, d), "label")
+
+
+@register("noise_count", q("""
+SELECT CAST(count(DISTINCT CASE WHEN label <> -1 THEN label END) AS BIGINT) AS n_features,
+       CAST(coalesce(sum(CASE WHEN label = -1 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_noise
+FROM embeds"""))
+def noise_count(spark, d):
+    return quality.noise_count(src.embeddings(spark, d), "label")
+
+
+def _assign_sql(c: str) -> str:
+    return (f"SELECT vec_id, cluster FROM (SELECT p.vec_id, c.cluster, row_number() OVER "
+            f"(PARTITION BY p.vec_id ORDER BY {SQ.format(a='p.e', b='c.e')}, c.cluster) AS rn "
+            f"FROM pts p CROSS JOIN {c} c) WHERE rn = 1")
+
+
+def _update_sql(a: str, c: str) -> str:
+    return (f"SELECT c.cluster, coalesce(n.e, c.e) AS e FROM {c} c LEFT JOIN ("
+            f"SELECT cluster, list(m ORDER BY i) AS e FROM (SELECT cluster, i, avg(v) AS m FROM ("
+            f"SELECT a.cluster, unnest(generate_series(1, len(p.e))) AS i, unnest(p.e) AS v "
+            f"FROM {a} a JOIN pts p ON a.vec_id = p.vec_id) GROUP BY cluster, i) GROUP BY cluster) n "
+            f"ON c.cluster = n.cluster")
+
+
+def _lloyd_sql() -> str:
+    parts = ["pts AS (SELECT vec_id, embedding AS e FROM embeds)",
+             f"c0 AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster, e "
+             f"FROM (SELECT * FROM pts ORDER BY vec_id LIMIT {LLOYD_K}))"]
+    for s in range(LLOYD_STEPS):
+        parts.append(f"a{s} AS ({_assign_sql(f'c{s}')})")
+        parts.append(f"c{s + 1} AS ({_update_sql(f'a{s}', f'c{s}')})")
+    parts.append(f"a{LLOYD_STEPS} AS ({_assign_sql(f'c{LLOYD_STEPS}')})")
+    return q(", " + ",\n".join(parts) + f"\nSELECT vec_id, cluster FROM a{LLOYD_STEPS}")
+
+
+@register("kmeans_lloyd_fixed", _lloyd_sql())
+def kmeans_lloyd_fixed(spark, d):
+    return cluster.lloyd(src.embeddings(spark, d), "vec_id", "embedding", LLOYD_K, LLOYD_STEPS)
+
+
+@register("feature_histogram", q(f""",
+x AS (SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS dim, unnest(embedding) AS v
+      FROM embeds),
+mm AS (SELECT dim, min(v) AS mn, max(v) AS mx FROM x GROUP BY dim)
+SELECT CAST(x.dim AS BIGINT) AS dim,
+       CAST(CASE WHEN mm.mx = mm.mn THEN 0
+                 ELSE least(floor((x.v - mm.mn) / (mm.mx - mm.mn) * {HIST_BINS}), {HIST_BINS - 1}) END
+            AS BIGINT) AS bin,
+       count(*) AS n
+FROM x JOIN mm ON x.dim = mm.dim GROUP BY 1, 2"""))
+def feature_histogram(spark, d):
+    return quality.histogram(src.embeddings(spark, d), "embedding", HIST_BINS)
+
+
+# ------------------------------------------------------------------ step 5: clustering
+
+
+def _pref_vectors(spark, d):
+    width = R.feature_width(spark, d)
+    return prefs.pref_vectors(R.shares(spark, d), width), width
+
+
+@register("sample_fixed")
+def sample_fixed(spark, d):
+    vecs, _ = _pref_vectors(spark, d)
+    return quality.sample_points(vecs.select("customer_id"), "customer_id", P.CLUSTER_SAMPLE, P.SEED)
+
+
+@register("kmeans_fit")
+def kmeans_fit(spark, d):
+    vecs, _ = _pref_vectors(spark, d)
+    _, assigned = cluster.kmeans(vecs, "prefs", KMEANS_K_ALL, P.SEED)
+    return assigned.select("customer_id", "cluster")
+
+
+def _segment_vectors(spark, d, segment: str | None):
+    vecs, _ = _pref_vectors(spark, d)
+    if segment is None:
+        return vecs
+    seg = R.segments(spark, d).filter(F.col("segment") == segment).select("customer_id")
+    return vecs.join(seg, "customer_id", "inner")
+
+
+@register("ward_micro")
+def ward_micro(spark, d):
+    rows, _ = cluster.ward_micro(_segment_vectors(spark, d, "female"), "customer_id", "prefs",
+                                 WARD_K, 4 * WARD_K, P.SEED)
+    return rows.select("customer_id", F.col("ward_cluster").alias("cluster"), "micro", "leaf_pos")
+
+
+def _orders(spark, d, segment: str | None, name: str):
+    rows, _ = cluster.ward_micro(_segment_vectors(spark, d, segment), "customer_id", "prefs",
+                                 WARD_K, 4 * WARD_K, P.SEED)
+    return cluster.leaf_rank(rows, "customer_id", name)
+
+
+@register("leaf_rank")
+def leaf_rank(spark, d):
+    return _orders(spark, d, None, "full_order")
+
+
+def cluster_orders(spark, d):
+    """customer_info ⟗ the four leaf-order columns, nulls → 0."""
+    out = R.info(spark, d)
+    for seg, name in [(None, "full_order"), ("male", "mens_order"),
+                      ("female", "womens_order"), ("family", "fam_order")]:
+        out = out.join(_orders(spark, d, seg, name), "customer_id", "full")
+    return out.na.fill(0, subset=model.CLUSTER_COLS)
+
+
+@register("cluster_orders_joined")
+def cluster_orders_joined(spark, d):
+    return cluster_orders(spark, d)
+
+
+@register("kmeans_sweep")
+def kmeans_sweep(spark, d):
+    vecs, _ = _pref_vectors(spark, d)
+    return cluster.sweep(vecs, "customer_id", "prefs", SWEEP_KS, P.SEED, P.CLUSTER_SAMPLE)
+
+
+# ------------------------------------------------------------------ step 6: models
+
+_X_SQL = """,
+x AS (SELECT customer_id, CAST(FN AS DOUBLE) AS FN,
+             CAST("fashion_news_frequency_Regularly" AS DOUBLE) AS "fashion_news_frequency_Regularly",
+             CAST("club_member_status_LEFT CLUB" AS DOUBLE) AS "club_member_status_LEFT CLUB",
+             CAST("club_member_status_PRE-CREATE" AS DOUBLE) AS "club_member_status_PRE-CREATE",
+             CAST(female AS DOUBLE) AS female, CAST(male AS DOUBLE) AS male,
+             CAST(children AS DOUBLE) AS children,
+             CAST(least(greatest(age, 0), 85) AS INTEGER) AS age_idx
+      FROM cx_info WHERE customer_id IN (SELECT customer_id FROM pshares))"""
+
+
+@register("age_category", q("""
+SELECT customer_id, CAST(least(greatest(age, 0), 85) AS INTEGER) AS age_idx FROM cx_info"""))
+def age_category(spark, d):
+    return model.age_category(R.info(spark, d))
+
+
+@register("model_inputs", q(_X_SQL + "\nSELECT * FROM x"))
+def model_inputs(spark, d):
+    return model.model_inputs(R.info(spark, d), R.shares(spark, d))
+
+
+def _gram_sql() -> str:
+    cols = model.INFO_COLS
+    base = 1 + P.AGE_CATEGORIES
+    qc = [f'"{c}"' for c in cols]
+    xx = ["SELECT 0 AS i, 0 AS j, CAST(count(*) AS DOUBLE) AS v FROM x",
+          "SELECT 0, age_idx + 1, CAST(count(*) AS DOUBLE) FROM x GROUP BY age_idx",
+          "SELECT age_idx + 1, age_idx + 1, CAST(count(*) AS DOUBLE) FROM x GROUP BY age_idx"]
+    for p, c in enumerate(qc):
+        xx.append(f"SELECT 0, {base + p}, sum({c}) FROM x")
+        xx.append(f"SELECT age_idx + 1, {base + p}, sum({c}) FROM x GROUP BY age_idx")
+        for qi in range(p, len(qc)):
+            xx.append(f"SELECT {base + p}, {base + qi}, sum({c} * {qc[qi]}) FROM x")
+    xy = ["SELECT 0 AS i, feature_idx AS j, sum(share) AS v FROM ys GROUP BY feature_idx",
+          "SELECT age_idx + 1, feature_idx, sum(share) FROM ys GROUP BY age_idx, feature_idx"]
+    for p, c in enumerate(qc):
+        xy.append(f"SELECT {base + p}, feature_idx, sum(share * {c}) FROM ys GROUP BY feature_idx")
+    return q(_X_SQL + """,
+ys AS (SELECT s.feature_idx, s.share, x.* FROM pshares s JOIN x ON s.customer_id = x.customer_id)
+SELECT 'xx' AS block, CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, round(v, 6) AS value FROM ("""
+             + "\nUNION ALL ".join(xx) + """)
+UNION ALL
+SELECT 'xy', CAST(i AS BIGINT), CAST(j AS BIGINT), round(v, 6) FROM (""" + "\nUNION ALL ".join(xy) + ")")
+
+
+@register("gram_matrix", _gram_sql())
+def gram_matrix(spark, d):
+    x = model.model_inputs(R.info(spark, d), R.shares(spark, d))
+    g = model.gram(x, R.shares(spark, d), model.INFO_COLS)
+    return g.withColumn("value", F.round("value", 6))
+
+
+def _fit(spark, d, group: str | None = None):
+    width = R.feature_width(spark, d)
+    shares = R.shares(spark, d)
+    x = model.model_inputs(R.info(spark, d), shares)
+    if group:
+        x = x.join(R.segments(spark, d), "customer_id")
+    g = model.gram(x, shares, model.INFO_COLS, group=group)
+    p = 1 + P.AGE_CATEGORIES + len(model.INFO_COLS)
+    return model.fit_pref_regression(g, p, width, P.L1_STRENGTH, group=group), x, width, p
+
+
+@register("pref_regression")
+def pref_regression(spark, d):
+    return _fit(spark, d)[0]
+
+
+@register("pref_regression_by_segment")
+def pref_regression_by_segment(spark, d):
+    return _fit(spark, d, "segment")[0]
+
+
+def train_segment(spark, d, segment: str):
+    """Per-segment fit for one gender segment (M7); other labels raise."""
+    if segment not in ("male", "female"):
+        raise ValueError("try again")
+    coefs = _fit(spark, d, "segment")[0]
+    return coefs.filter(F.col("segment") == segment)
+
+
+@register("cluster_standardised")
+def cluster_standardised(spark, d):
+    orders = cluster_orders(spark, d).select("customer_id", *model.CLUSTER_COLS)
+    return model.standardise(orders, model.CLUSTER_COLS)
+
+
+@register("predicted_prefs")
+def predicted_prefs(spark, d):
+    coefs, x, width, p = _fit(spark, d)
+    return model.predict_prefs(x, model.coef_matrix(coefs, p, width), model.INFO_COLS)
+
+
+# ------------------------------------------------------------------ scoring
+
+
+def _live_slots(spark, d):
+    return score.article_slots(R.live(spark, d), R.art_long(spark, d))
+
+
+def _train_counts(spark, d):
+    tx = R.recent(spark, d).filter(F.col("t_dat") < F.lit(P.TEST_CUTOFF).cast("date"))
+    return prefs.pref_counts(cust.purchases(tx), R.art_long(spark, d))
+
+
+def _test_purchases(spark, d):
+    tx = src.transactions(spark, d).filter(F.col("t_dat") >= F.lit(P.TEST_CUTOFF).cast("date"))
+    return cust.purchases(tx).withColumnRenamed("n", "y")
+
+
+@register("topk_articles", q(f""",
+cust AS (SELECT customer_id, sum(n) AS total FROM pcounts GROUP BY customer_id),
+sc AS (SELECT p.customer_id, a.article_id, sum(p.n) AS s
+       FROM pcounts p JOIN art_long a ON p.feature_idx = a.feature_idx GROUP BY 1, 2),
+allp AS (SELECT c.customer_id, c.total, l.article_id, coalesce(sc.s, 0) AS s
+         FROM cust c CROSS JOIN live l
+         LEFT JOIN sc ON sc.customer_id = c.customer_id AND sc.article_id = l.article_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY s DESC, article_id) AS rk
+           FROM allp)
+SELECT customer_id, CAST(rk AS BIGINT) AS rank, article_id, CAST(s AS DOUBLE) AS raw_score,
+       CAST(s AS DOUBLE) / total AS score
+FROM ranked WHERE rk <= {P.TOPK}"""))
+def topk_articles(spark, d):
+    width = R.feature_width(spark, d)
+    vecs = score.count_vectors(R.counts(spark, d), width)
+    out = score.topk(vecs, _live_slots(spark, d), width, P.TOPK, integer=True)
+    return out.select("customer_id", "rank", "article_id", "raw_score", "score")
+
+
+_TRAIN_SQL = f""",
+purch_tr AS (SELECT customer_id, article_id, count(*) AS n FROM recent_transactions
+             WHERE t_dat < DATE '{P.TEST_CUTOFF}' GROUP BY 1, 2),
+pc_tr AS (SELECT p.customer_id, a.feature_idx, sum(p.n) AS n
+          FROM purch_tr p JOIN art_long a ON p.article_id = a.article_id GROUP BY 1, 2),
+cust_tr AS (SELECT customer_id, sum(n) AS total FROM pc_tr GROUP BY customer_id),
+sc_tr AS (SELECT p.customer_id, a.article_id, sum(p.n) AS s
+          FROM pc_tr p JOIN art_long a ON p.feature_idx = a.feature_idx GROUP BY 1, 2),
+y AS (SELECT customer_id, article_id, count(*) AS y FROM transactions
+      WHERE t_dat >= DATE '{P.TEST_CUTOFF}' GROUP BY 1, 2)"""
+
+
+@register("article_scores", q(_TRAIN_SQL + """
+SELECT y.customer_id, y.article_id, CAST(coalesce(sc.s, 0) AS BIGINT) AS raw_score,
+       CAST(coalesce(sc.s, 0) AS DOUBLE) / c.total AS score
+FROM y JOIN cust_tr c ON y.customer_id = c.customer_id
+LEFT JOIN sc_tr sc ON sc.customer_id = y.customer_id AND sc.article_id = y.article_id"""))
+def article_scores(spark, d):
+    counts = _train_counts(spark, d)
+    pairs = _test_purchases(spark, d).join(counts.select("customer_id").distinct(), "customer_id")
+    return score.pair_scores(pairs, counts, R.art_long(spark, d))
+
+
+@register("eval_hit_rate", q(_TRAIN_SQL + f""",
+allp AS (SELECT c.customer_id, l.article_id, coalesce(sc.s, 0) AS s
+         FROM cust_tr c CROSS JOIN live l
+         LEFT JOIN sc_tr sc ON sc.customer_id = c.customer_id AND sc.article_id = l.article_id),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY s DESC, article_id) AS rk
+                       FROM allp) WHERE rk <= {P.TOPK}),
+evalc AS (SELECT DISTINCT y.customer_id FROM y JOIN cust_tr c ON y.customer_id = c.customer_id),
+hits AS (SELECT e.customer_id, max(CASE WHEN y.y IS NOT NULL THEN 1 ELSE 0 END) AS hit
+         FROM evalc e JOIN top t ON t.customer_id = e.customer_id
+         LEFT JOIN y ON y.customer_id = t.customer_id AND y.article_id = t.article_id
+         GROUP BY e.customer_id)
+SELECT count(*) AS n_customers, CAST(sum(hit) AS BIGINT) AS n_hits,
+       CAST(sum(hit) AS DOUBLE) / count(*) AS hit_rate FROM hits"""))
+def eval_hit_rate(spark, d):
+    width = R.feature_width(spark, d)
+    counts = _train_counts(spark, d)
+    top = score.topk(score.count_vectors(counts, width), _live_slots(spark, d), width, P.TOPK)
+    y = _test_purchases(spark, d)
+    evalc = y.select("customer_id").distinct().join(counts.select("customer_id").distinct(),
+                                                     "customer_id")
+    t = top.join(evalc, "customer_id").join(y, ["customer_id", "article_id"], "left")
+    per = t.groupBy("customer_id").agg(F.max(F.col("y").isNotNull().cast("int")).alias("hit"))
+    return per.agg(F.count(F.lit(1)).alias("n_customers"),
+                   F.sum("hit").cast("bigint").alias("n_hits"),
+                   (F.sum("hit").cast("double") / F.count(F.lit(1))).alias("hit_rate"))
+
+
+@register("eval_mse", q(_TRAIN_SQL + """,
+grid AS (SELECT CAST(coalesce(sc.s, 0) AS DOUBLE) / c.total AS p, coalesce(y.y, 0) AS y
+         FROM cust_tr c CROSS JOIN live l
+         LEFT JOIN sc_tr sc ON sc.customer_id = c.customer_id AND sc.article_id = l.article_id
+         LEFT JOIN y ON y.customer_id = c.customer_id AND y.article_id = l.article_id)
+SELECT round(avg((y - p) * (y - p)), 9) AS mse, count(*) AS n_pairs FROM grid"""))
+def eval_mse(spark, d):
+    """Mean squared error over every (customer, live article) pair, from
+    Σp² (scoring pass) − 2Σyp + Σy² (purchased pairs only)."""
+    width = R.feature_width(spark, d)
+    counts = _train_counts(spark, d)
+    slots = _live_slots(spark, d).cache()
+    n_art = slots.count()
+    top = score.topk(score.count_vectors(counts, width), slots, width, 1)
+    q_rows = top.select("customer_id", F.col("sum_sq_score").alias("v"), F.lit(1).alias("c"))
+    live_ids = slots.select("article_id")
+    y = _test_purchases(spark, d).join(live_ids, "article_id").join(
+        counts.select("customer_id").distinct(), "customer_id")
+    ps = score.pair_scores(y, counts, R.art_long(spark, d)).join(y, ["customer_id", "article_id"])
+    r_rows = ps.select("customer_id",
+                       (F.col("y") * F.col("y") - 2 * F.col("y") * F.col("score")).alias("v"),
+                       F.lit(0).alias("c"))
+    tot = q_rows.unionByName(r_rows).agg(F.sum("v").alias("v"), F.sum("c").alias("c"))
+    return tot.select(F.round(F.col("v") / (F.col("c") * F.lit(n_art)), 9).alias("mse"),
+                      (F.col("c") * F.lit(n_art)).cast("bigint").alias("n_pairs"))
+
+
+@register("chained_scores")
+def chained_scores(spark, d):
+    """customer → predicted preferences → top-k live articles."""
+    coefs, x, width, p = _fit(spark, d)
+    pred = model.predict_prefs(x, model.coef_matrix(coefs, p, width), model.INFO_COLS)
+    vecs = pred.select("customer_id", F.col("pred").alias("vec"), F.lit(1.0).alias("total"))
+    out = score.topk(vecs, _live_slots(spark, d), width, P.TOPK, integer=False)
+    return out.select("customer_id", "rank", "article_id", "score")
+
