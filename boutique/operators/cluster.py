@@ -62,7 +62,10 @@ def as_vectors(df: DataFrame, vec: str) -> DataFrame:
 
 def kmeans(df: DataFrame, vec: str, k: int, seed: int, max_iter: int = 20):
     """Fit ``pyspark.ml`` k-means (k-means|| start) on every row."""
-    data = as_vectors(df, vec)
+    data = as_vectors(df, vec).cache()
+    # Spark's k-means needs k ≤ rows; a smaller table gets one center per row.
+    n = data.count()
+    k = max(1, min(k, n))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                    predictionCol="cluster").fit(data)
     return model, model.transform(data).drop("features")
@@ -186,7 +189,7 @@ def ward_micro(df: DataFrame, key: str, vec: str, k: int, micro: int, seed: int)
     """Agglomerative (Ward) clustering to k clusters via m micro-clusters
     (C4). Returns (rows: key, micro, cluster, leaf_pos; micro table)."""
     spark = df.sparkSession
-    model, assigned = kmeans(df, vec, micro, seed)
+    model, assigned = kmeans(df, vec, max(micro, k), seed)
     sizes = {int(r["cluster"]): int(r["n"]) for r in
              assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
     centers = np.array(model.clusterCenters())

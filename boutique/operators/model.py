@@ -79,37 +79,34 @@ def gram(x: DataFrame, shares: DataFrame, cols: list[str], group: str | None = N
         *[F.sum(xc[p] * xc[q]).alias(f"s{p}_{q}")
           for p in range(len(cols)) for q in range(p, len(cols))])
     age_i = F.col("age_idx") + 1
-    parts = [
-        per_age.select(*g, F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("n").alias("v")),
-        per_age.select(*g, F.lit(0).alias("i"), age_i.alias("j"), F.col("n").alias("v")),
-        per_age.select(*g, age_i.alias("i"), age_i.alias("j"), F.col("n").alias("v")),
-    ]
+    lit = lambda v: F.lit(v)
+
+    def entry(i, j, v):
+        return F.struct(i.cast("bigint").alias("i"), j.cast("bigint").alias("j"),
+                        v.cast("double").alias("v"))
+
+    # Every XᵀX entry a row of per_age contributes, generated in one pass.
+    xx_entries = [entry(lit(0), lit(0), F.col("n")), entry(lit(0), age_i, F.col("n")),
+                  entry(age_i, age_i, F.col("n"))]
     for p in range(len(cols)):
-        parts.append(per_age.select(*g, F.lit(0).alias("i"), F.lit(base + p).alias("j"),
-                                    F.col(f"s{p}").alias("v")))
-        parts.append(per_age.select(*g, age_i.alias("i"), F.lit(base + p).alias("j"),
-                                    F.col(f"s{p}").alias("v")))
-        for q in range(p, len(cols)):
-            parts.append(per_age.select(*g, F.lit(base + p).alias("i"), F.lit(base + q).alias("j"),
-                                        F.col(f"s{p}_{q}").alias("v")))
-    xx = parts[0]
-    for p_ in parts[1:]:
-        xx = xx.unionByName(p_)
-    xx = xx.groupBy(*g, "i", "j").agg(F.sum("v").alias("value")).withColumn("block", F.lit("xx"))
+        xx_entries += [entry(lit(0), lit(base + p), F.col(f"s{p}")),
+                       entry(age_i, lit(base + p), F.col(f"s{p}"))]
+        xx_entries += [entry(lit(base + p), lit(base + q), F.col(f"s{p}_{q}"))
+                       for q in range(p, len(cols))]
+    xx = (per_age.select(*g, F.explode(F.array(*xx_entries)).alias("e"))
+          .groupBy(*g, F.col("e.i").alias("i"), F.col("e.j").alias("j"))
+          .agg(F.sum("e.v").alias("value")).withColumn("block", F.lit("xx")))
 
     ys = shares.select("customer_id", "feature_idx", "share").join(x, "customer_id", "inner")
     per_f = ys.groupBy(*g, "age_idx", "feature_idx").agg(
         F.sum("share").alias("y"), *[F.sum(F.col("share") * c).alias(f"y{p}")
                                      for p, c in enumerate(xc)])
-    yparts = [per_f.select(*g, F.lit(0).alias("i"), F.col("feature_idx").alias("j"), F.col("y").alias("v")),
-              per_f.select(*g, age_i.alias("i"), F.col("feature_idx").alias("j"), F.col("y").alias("v"))]
-    for p in range(len(cols)):
-        yparts.append(per_f.select(*g, F.lit(base + p).alias("i"), F.col("feature_idx").alias("j"),
-                                   F.col(f"y{p}").alias("v")))
-    xy = yparts[0]
-    for p_ in yparts[1:]:
-        xy = xy.unionByName(p_)
-    xy = xy.groupBy(*g, "i", "j").agg(F.sum("v").alias("value")).withColumn("block", F.lit("xy"))
+    fj = F.col("feature_idx")
+    xy_entries = [entry(lit(0), fj, F.col("y")), entry(age_i, fj, F.col("y"))]
+    xy_entries += [entry(lit(base + p), fj, F.col(f"y{p}")) for p in range(len(cols))]
+    xy = (per_f.select(*g, F.explode(F.array(*xy_entries)).alias("e"))
+          .groupBy(*g, F.col("e.i").alias("i"), F.col("e.j").alias("j"))
+          .agg(F.sum("e.v").alias("value")).withColumn("block", F.lit("xy")))
     out = xx.unionByName(xy)
     return out.select(*g, "block", F.col("i").cast("bigint"), F.col("j").cast("bigint"),
                       "value")
