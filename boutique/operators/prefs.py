@@ -81,8 +81,11 @@ def test_set(tx: DataFrame, info: DataFrame) -> DataFrame:
 def pref_vectors(shares: DataFrame, width: int, value_col: str = "share") -> DataFrame:
     """(customer_id, prefs array<double>[width]) — a dense vector per
     customer built from its ≤ width long rows; used by clustering and
-    scoring. The group per customer is bounded by the dictionary size."""
-    grouped = shares.groupBy("customer_id").agg(
+    scoring. The group per customer is bounded by the dictionary size; the
+    explicit partition count keeps CPU-bound consumers (k-means, scoring)
+    spread over tasks."""
+    n = int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = shares.repartition(n, "customer_id").groupBy("customer_id").agg(
         F.map_from_entries(F.collect_list(F.struct(
             F.col("feature_idx").cast("int"), F.col(value_col).cast("double")))).alias("_m"))
     vec = F.transform(F.sequence(F.lit(0), F.lit(width - 1)),

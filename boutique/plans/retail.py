@@ -20,14 +20,33 @@ def arts(spark: SparkSession, d: str) -> DataFrame:
     return cust.merge_product_groups(src.articles(spark, d), params.ITEMS_GROUPS)
 
 
+_MEMO: dict = {}
+
+
+def _memo(spark: SparkSession, d: str, name: str, build):
+    """Cache a small derived table per (application, folder) so one query
+    computes it once however many operators use it. Cached, not
+    checkpointed: a lost executor recomputes it from lineage."""
+    key = (spark.sparkContext.applicationId, d, name)
+    df = _MEMO.get(key)
+    if df is None:
+        df = build()
+        _MEMO[key] = df
+    if not df.is_cached:
+        df.cache()
+    return df
+
+
 def dictionary(spark: SparkSession, d: str) -> DataFrame:
-    return encode.feature_dictionary(arts(spark, d), params.ARTICLE_ATTRIBUTES)
+    """The article feature dictionary; its size is the number of distinct
+    attribute values."""
+    return _memo(spark, d, "dictionary", lambda: encode.feature_dictionary(
+        arts(spark, d), params.ARTICLE_ATTRIBUTES))
 
 
 def art_long(spark: SparkSession, d: str) -> DataFrame:
-    a = arts(spark, d)
-    return encode.onehot_long(a, "article_id", params.ARTICLE_ATTRIBUTES,
-                              encode.feature_dictionary(a, params.ARTICLE_ATTRIBUTES))
+    return encode.onehot_long(arts(spark, d), "article_id", params.ARTICLE_ATTRIBUTES,
+                              dictionary(spark, d))
 
 
 def feature_width(spark: SparkSession, d: str) -> int:

@@ -15,6 +15,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # One BLAS thread per Python worker: Spark already runs one worker per core.
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
+    "spark.executorEnv.MKL_NUM_THREADS": "1",
     # Parquet splits sized so one task's input fits comfortably in memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
