@@ -430,3 +430,70 @@ def chained_scores(spark, d):
     out = score.topk(vecs, _live_slots(spark, d), width, P.TOPK, integer=False)
     return out.select("customer_id", "rank", "article_id", "score")
 
+
+
+AUC_THRESHOLDS = 200
+
+
+@register("eval_auc", q(_TRAIN_SQL + f""",
+grid AS (SELECT CAST(coalesce(sc.s, 0) AS DOUBLE) / c.total AS p, coalesce(y.y, 0) AS y
+         FROM cust_tr c CROSS JOIN live l
+         LEFT JOIN sc_tr sc ON sc.customer_id = c.customer_id AND sc.article_id = l.article_id
+         LEFT JOIN y ON y.customer_id = c.customer_id AND y.article_id = l.article_id),
+th AS (SELECT i, CASE WHEN i = 0 THEN CAST(-1e-7 AS DOUBLE)
+                      WHEN i = {AUC_THRESHOLDS - 1} THEN CAST(1 AS DOUBLE) + 1e-7
+                      ELSE CAST(i AS DOUBLE) / CAST({AUC_THRESHOLDS - 1} AS DOUBLE) END AS t
+       FROM range({AUC_THRESHOLDS}) r(i)),
+cnt AS (SELECT t.i, sum(CASE WHEN g.p > t.t AND g.y > 0 THEN 1 ELSE 0 END) AS tp,
+               sum(CASE WHEN g.p > t.t AND g.y = 0 THEN 1 ELSE 0 END) AS fp
+        FROM grid g CROSS JOIN th t GROUP BY t.i),
+tot AS (SELECT sum(CASE WHEN y > 0 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS neg
+        FROM grid),
+r AS (SELECT i, CAST(tp AS DOUBLE) / pos AS tpr, CAST(fp AS DOUBLE) / neg AS fpr FROM cnt, tot),
+s AS (SELECT (fpr - lead(fpr) OVER (ORDER BY i)) * (tpr + lead(tpr) OVER (ORDER BY i)) / 2 AS a FROM r)
+SELECT round(sum(a), 9) AS auc FROM s"""))
+def eval_auc(spark, d):
+    """Pooled ROC AUC over every (customer, live article) pair, label =
+    bought in the test window, on the 200-threshold grid of the surveyed
+    metric (M10). All-pair score counts per threshold bucket come from the
+    scoring pass; positives are scored pair by pair."""
+    th = score.auc_thresholds(AUC_THRESHOLDS)
+    width = R.feature_width(spark, d)
+    counts = _train_counts(spark, d)
+    slots = _live_slots(spark, d)
+    hist = score.score_histogram(score.count_vectors(counts, width), slots, width, th)
+    y = _test_purchases(spark, d).join(slots.select("article_id"), "article_id").join(
+        counts.select("customer_id").distinct(), "customer_id")
+    pos = (score.pair_scores(y, counts, R.art_long(spark, d))
+           .select(score.bucket_of("score", th).alias("bucket"))
+           .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+    allc = {int(r.bucket): int(r.n) for r in hist.collect()}
+    posc = {int(r.bucket): int(r.n) for r in pos.collect()}
+    auc = score.roc_auc_from_buckets(allc, posc, len(th))
+    return spark.createDataFrame([(None if auc is None else round(auc, 9),)], "auc double")
+
+
+@register("purchase_matrix_wide", q(f"""
+SELECT * EXCLUDE (_keep) FROM (
+  PIVOT (SELECT c.code AS customer_code, CAST(p.article_id AS VARCHAR) AS article, p.n AS v, 1 AS _keep
+         FROM (SELECT customer_id, article_id, count(*) AS n FROM transactions GROUP BY 1, 2) p
+         JOIN (SELECT customer_id, CAST(row_number() OVER (ORDER BY customer_id) - 1 AS BIGINT) AS code
+               FROM (SELECT DISTINCT customer_id FROM customers)) c ON p.customer_id = c.customer_id
+         WHERE p.article_id IN (SELECT article_id FROM lifespans WHERE Last_Date >= DATE '{P.TEST_CUTOFF}')
+         UNION ALL
+         SELECT NULL, CAST(article_id AS VARCHAR), NULL, NULL FROM lifespans
+         WHERE Last_Date >= DATE '{P.TEST_CUTOFF}')
+  ON article USING coalesce(max(v), 0) GROUP BY customer_code, _keep)
+WHERE _keep = 1"""))
+def purchase_matrix_wide(spark, d):
+    """Customer × test-article purchase counts, one column per test article
+    (E5). The article list is explicit and bounded (``MAX_WIDE_VALUES``);
+    past that bound only the long form is offered."""
+    from boutique.operators import encode, lifespan
+    test = lifespan.last_sale_between(R.lifespans(spark, d), first_cutoff=P.TEST_CUTOFF)
+    ids = [r[0] for r in test.select("article_id").orderBy("article_id")
+           .limit(encode.MAX_WIDE_VALUES + 1).collect()]
+    codes = encode.dense_codes(src.customers(spark, d), ["customer_id"], "code")
+    long = prefs.purchase_matrix(src.transactions(spark, d), codes).join(
+        test.select("article_id"), "article_id", "left_semi")
+    return encode.wide_from_long(long, "customer_code", "article_id", "n", ids)
