@@ -74,15 +74,22 @@ def kept_features(dictionary: DataFrame) -> DataFrame:
     return dictionary.filter(F.col("feature_idx").isNotNull())
 
 
+def checked_kept(dictionary: DataFrame) -> DataFrame:
+    """Kept dictionary entries, broadcast-hinted if their count is under
+    the bound (see :func:`bounded_broadcast`)."""
+    return bounded_broadcast(kept_features(dictionary).select(
+        "attribute", "value", "feature_idx", "feature"))
+
+
 def onehot_long(df: DataFrame, key: str, attributes: list[str],
-                dictionary: DataFrame) -> DataFrame:
+                dictionary: DataFrame, checked: DataFrame | None = None) -> DataFrame:
     """(key, feature_idx, feature) — one row per kept one-hot 1.
 
     The dictionary is broadcast after its size is checked; the big side is
-    never shuffled for this join when the check passes."""
+    never shuffled for this join when the check passes. ``checked`` passes
+    an already size-checked kept dictionary."""
     long = _long_values(df, key, attributes).filter(F.col("value").isNotNull())
-    dic = bounded_broadcast(kept_features(dictionary).select(
-        "attribute", "value", "feature_idx", "feature"))
+    dic = checked if checked is not None else checked_kept(dictionary)
     return long.join(dic, ["attribute", "value"], "inner").select(key, "feature_idx", "feature")
 
 

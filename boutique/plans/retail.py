@@ -44,9 +44,19 @@ def dictionary(spark: SparkSession, d: str) -> DataFrame:
         arts(spark, d), params.ARTICLE_ATTRIBUTES))
 
 
+def kept_dictionary(spark: SparkSession, d: str) -> DataFrame:
+    """Kept dictionary entries, size-checked once for broadcasting."""
+    key = (spark.sparkContext.applicationId, d, "kept")
+    df = _MEMO.get(key)
+    if df is None:
+        df = encode.checked_kept(dictionary(spark, d))
+        _MEMO[key] = df
+    return df
+
+
 def art_long(spark: SparkSession, d: str) -> DataFrame:
     return encode.onehot_long(arts(spark, d), "article_id", params.ARTICLE_ATTRIBUTES,
-                              dictionary(spark, d))
+                              dictionary(spark, d), checked=kept_dictionary(spark, d))
 
 
 def feature_width(spark: SparkSession, d: str) -> int:
