@@ -1,0 +1 @@
+"""Incremental forms of batch operators over a stream of transaction files."""

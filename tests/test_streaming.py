@@ -1,0 +1,28 @@
+"""The streaming lifespan equals the batch lifespan once all files are in."""
+
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from boutique import sources
+from boutique.operators.lifespan import lifespan
+from boutique.streaming.lifespans import start
+from conftest import SF001
+
+
+def test_stream_matches_batch(spark):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    src_dir, out_dir, ck = f"{root}/src", f"{root}/out", f"{root}/ck"
+    tx = sources.transactions(spark, SF001)
+    # Two arrivals of derived transaction files: before and after a date.
+    tx.filter(F.col("t_dat") < "1999-01-01").write.parquet(f"{src_dir}/part=1")
+    q = start(spark, f"{src_dir}/*", out_dir, ck)
+    q.awaitTermination(300)
+    tx.filter(F.col("t_dat") >= "1999-01-01").write.parquet(f"{src_dir}/part=2")
+    q = start(spark, f"{src_dir}/*", out_dir, ck)
+    q.awaitTermination(300)
+    last = max(os.listdir(out_dir), key=lambda e: int(e.split("=")[1]))
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{out_dir}/{last}").collect())
+    want = sorted(tuple(r) for r in lifespan(tx, "article_id").collect())
+    assert got == want
