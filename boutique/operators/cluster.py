@@ -241,3 +241,9 @@ def sweep(df: DataFrame, key: str, vec: str, ks: list[int], seed: int,
     data.unpersist()
     return spark.createDataFrame(out, "k int, davies_bouldin_score double, silhouette_score double, "
                                       "calinski_harabasz_score double, n_features long, n_noise long")
+
+
+def best_k(sweep_table: DataFrame, metric: str = "silhouette_score", higher: bool = True) -> DataFrame:
+    """The sweep row with the best score (C10); ties go to the smaller k."""
+    order = F.desc(metric) if higher else F.asc(metric)
+    return sweep_table.filter(F.col(metric).isNotNull()).orderBy(order, "k").limit(1)

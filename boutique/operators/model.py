@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boutique import params
@@ -65,51 +65,53 @@ def x_index(n_age: int, cols: list[str]) -> dict[str, int]:
 def gram(x: DataFrame, shares: DataFrame, cols: list[str], group: str | None = None,
          n_age: int = params.AGE_CATEGORIES) -> DataFrame:
     """Long Gram entries (grp, block, i, j, value): block 'xx' holds XᵀX
-    (i ≤ j) and 'xy' holds XᵀY with j = feature_idx.
+    (i ≤ j) and 'xy' holds XᵀY with j = feature_idx, over the customers
+    that have preference rows.
 
-    XᵀX is one aggregate per age category over the customer rows; XᵀY joins
-    each preference row to its customer's single X row (no pair blow-up)
-    and aggregates per (age, feature)."""
+    One pass: each preference row is joined to its customer's single X row
+    (no pair blow-up), the customer's first row (a window over the join's
+    customer partitioning, ≤ feature-count rows per customer) carries the
+    XᵀX terms, and one aggregate per (age, feature) yields both blocks."""
     g = [group] if group else []
     base = 1 + n_age
     xc = [F.col(f"`{c}`") for c in cols]
-    per_age = x.groupBy(*g, "age_idx").agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        *[F.sum(c).alias(f"s{p}") for p, c in enumerate(xc)],
-        *[F.sum(xc[p] * xc[q]).alias(f"s{p}_{q}")
-          for p in range(len(cols)) for q in range(p, len(cols))])
-    age_i = F.col("age_idx") + 1
-    lit = lambda v: F.lit(v)
-
-    def entry(i, j, v):
-        return F.struct(i.cast("bigint").alias("i"), j.cast("bigint").alias("j"),
-                        v.cast("double").alias("v"))
-
-    # Every XᵀX entry a row of per_age contributes, generated in one pass.
-    xx_entries = [entry(lit(0), lit(0), F.col("n")), entry(lit(0), age_i, F.col("n")),
-                  entry(age_i, age_i, F.col("n"))]
-    for p in range(len(cols)):
-        xx_entries += [entry(lit(0), lit(base + p), F.col(f"s{p}")),
-                       entry(age_i, lit(base + p), F.col(f"s{p}"))]
-        xx_entries += [entry(lit(base + p), lit(base + q), F.col(f"s{p}_{q}"))
-                       for q in range(p, len(cols))]
-    xx = (per_age.select(*g, F.explode(F.array(*xx_entries)).alias("e"))
-          .groupBy(*g, F.col("e.i").alias("i"), F.col("e.j").alias("j"))
-          .agg(F.sum("e.v").alias("value")).withColumn("block", F.lit("xx")))
-
     ys = shares.select("customer_id", "feature_idx", "share").join(x, "customer_id", "inner")
-    per_f = ys.groupBy(*g, "age_idx", "feature_idx").agg(
-        F.sum("share").alias("y"), *[F.sum(F.col("share") * c).alias(f"y{p}")
-                                     for p, c in enumerate(xc)])
+    first = (F.row_number().over(Window.partitionBy("customer_id").orderBy("feature_idx")) == 1)
+    ys = ys.withColumn("_f", first.cast("double"))
+    f = F.col("_f")
+    per = ys.groupBy(*g, "age_idx", "feature_idx").agg(
+        F.sum(f).alias("n"),
+        *[F.sum(f * c).alias(f"s{p}") for p, c in enumerate(xc)],
+        *[F.sum(f * xc[p] * xc[q]).alias(f"s{p}_{q}")
+          for p in range(len(cols)) for q in range(p, len(cols))],
+        F.sum("share").alias("y"),
+        *[F.sum(F.col("share") * c).alias(f"y{p}") for p, c in enumerate(xc)])
+    age_i = F.col("age_idx") + 1
     fj = F.col("feature_idx")
-    xy_entries = [entry(lit(0), fj, F.col("y")), entry(age_i, fj, F.col("y"))]
-    xy_entries += [entry(lit(base + p), fj, F.col(f"y{p}")) for p in range(len(cols))]
-    xy = (per_f.select(*g, F.explode(F.array(*xy_entries)).alias("e"))
-          .groupBy(*g, F.col("e.i").alias("i"), F.col("e.j").alias("j"))
-          .agg(F.sum("e.v").alias("value")).withColumn("block", F.lit("xy")))
-    out = xx.unionByName(xy)
-    return out.select(*g, "block", F.col("i").cast("bigint"), F.col("j").cast("bigint"),
-                      "value")
+    lit = F.lit
+
+    def entry(block, i, j, v):
+        # c counts contributing customers, so an entry exists exactly when
+        # some customer contributes to it (even if its value is 0).
+        c = F.col("n") if block == "xx" else lit(1.0)
+        return F.struct(lit(block).alias("block"), i.cast("bigint").alias("i"),
+                        j.cast("bigint").alias("j"), v.cast("double").alias("v"),
+                        c.alias("c"))
+
+    entries = [entry("xx", lit(0), lit(0), F.col("n")), entry("xx", lit(0), age_i, F.col("n")),
+               entry("xx", age_i, age_i, F.col("n"))]
+    for p in range(len(cols)):
+        entries += [entry("xx", lit(0), lit(base + p), F.col(f"s{p}")),
+                    entry("xx", age_i, lit(base + p), F.col(f"s{p}"))]
+        entries += [entry("xx", lit(base + p), lit(base + q), F.col(f"s{p}_{q}"))
+                    for q in range(p, len(cols))]
+    entries += [entry("xy", lit(0), fj, F.col("y")), entry("xy", age_i, fj, F.col("y"))]
+    entries += [entry("xy", lit(base + p), fj, F.col(f"y{p}")) for p in range(len(cols))]
+    out = (per.select(*g, F.explode(F.array(*entries)).alias("e"))
+           .groupBy(*g, F.col("e.block").alias("block"), F.col("e.i").alias("i"),
+                    F.col("e.j").alias("j"))
+           .agg(F.sum("e.v").alias("value"), F.sum("e.c").alias("_c")))
+    return out.filter(F.col("_c") > 0).select(*g, "block", "i", "j", "value")
 
 
 def lasso_gram(G: np.ndarray, C: np.ndarray, n: float, lam: float,

@@ -497,3 +497,30 @@ def purchase_matrix_wide(spark, d):
     long = prefs.purchase_matrix(src.transactions(spark, d), codes).join(
         test.select("article_id"), "article_id", "left_semi")
     return encode.wide_from_long(long, "customer_code", "article_id", "n", ids)
+
+
+@register("target_class_count", q(f"""
+SELECT CAST(count(DISTINCT article_id) AS BIGINT) AS n_classes
+FROM lifespans WHERE Last_Date >= DATE '{P.TEST_CUTOFF}'"""))
+def target_class_count(spark, d):
+    """Distinct target classes of the article model."""
+    from boutique.operators import lifespan
+    test = lifespan.last_sale_between(R.lifespans(spark, d), first_cutoff=P.TEST_CUTOFF)
+    return test.agg(F.countDistinct("article_id").cast("bigint").alias("n_classes"))
+
+
+@register("customer_clusters")
+def customer_clusters(spark, d):
+    """Customer features ⟗ the k-means label of each customer (J11), joined
+    on the key, not on row position (D11)."""
+    labels = kmeans_fit(spark, d)
+    return R.info(spark, d).join(labels, "customer_id", "full")
+
+
+@register("segment_clusters")
+def segment_clusters(spark, d):
+    """Male-segment customers ⋈ their k-means label (J12), and the label
+    frequencies are what the survey's value_counts reads."""
+    labels = kmeans_fit(spark, d)
+    male = R.segments(spark, d).filter(F.col("segment") == "male").select("customer_id")
+    return male.join(labels, "customer_id", "inner")
