@@ -213,34 +213,61 @@ def leaf_rank(rows: DataFrame, key: str, out: str = "order") -> DataFrame:
     return dense_codes(rows.select("leaf_pos", key), ["leaf_pos", key], out).select(key, out)
 
 
+def _score_labels(lab: DataFrame, key: str, vec: str, dim: int, k: int, seed: int,
+                  sample: int) -> tuple:
+    lab = lab.select(key, vec, "cluster").cache()
+    st = quality.cluster_stats(lab, vec, "cluster", dim).cache()
+    db = quality.davies_bouldin_from_stats(st, "cluster").first()[0]
+    ch = quality.calinski_from_stats(st, lab, vec, dim).first()[0]
+    st.unpersist()
+    si = quality.silhouette(lab, key, vec, "cluster", sample, seed).first()[0]
+    nz = quality.noise_count(lab, "cluster").first()
+    lab.unpersist()
+    return (k, db, si, ch, nz["n_features"], nz["n_noise"])
+
+
+SWEEP_SCHEMA = ("k int, davies_bouldin_score double, silhouette_score double, "
+                "calinski_harabasz_score double, n_features long, n_noise long")
+
+
 def sweep(df: DataFrame, key: str, vec: str, ks: list[int], seed: int,
           sample: int, method: str = "kmeans") -> DataFrame:
     """Fit once per k and score each fit (C9, C10): one row per k with
     davies_bouldin_score, silhouette_score, calinski_harabasz_score,
-    n_features and n_noise. A k that fails is reported with null scores."""
+    n_features and n_noise. A k that fails is reported with null scores.
+
+    ``method="ward"`` fits the micro-clusters and the Ward tree once (for
+    the largest k) and cuts that one tree at every k."""
     spark = df.sparkSession
-    data = df.select(key, vec).cache()
+    # Many small jobs follow; cut the lineage once (reliable checkpoint in
+    # spark.checkpoint.dir) so each plans against a shallow table.
+    data = df.select(key, vec).checkpoint(eager=True)
     dim = quality.vector_dim(data, vec)
     out = []
+    tree = None
+    if method == "ward":
+        micro = max(4 * max(ks), 64)
+        model, assigned = kmeans(data, vec, micro, seed)
+        sizes = {int(r["cluster"]): int(r["n"]) for r in
+                 assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+        used = sorted(sizes)
+        centers = np.array(model.clusterCenters())[used]
+        tree = (used, ward_tree(centers, np.array([sizes[i] for i in used])))
+        micro_rows = assigned.select(key, vec, F.col("cluster").alias("micro")).checkpoint(eager=True)
     for k in ks:
         try:
             if method == "ward":
-                rows, _ = ward_micro(data, key, vec, k, max(4 * k, 64), seed)
-                lab = data.join(rows.select(key, F.col("ward_cluster").alias("cluster")), key)
+                used, merges = tree
+                labels = cut_tree(len(used), merges, k)
+                table = spark.createDataFrame([(int(u), int(labels[i])) for i, u in enumerate(used)],
+                                              "micro int, cluster int")
+                lab = micro_rows.join(F.broadcast(table), "micro")
             else:
                 _, lab = kmeans(data, vec, k, seed)
-            lab = lab.select(key, vec, "cluster").cache()
-            db = quality.davies_bouldin(lab, vec, "cluster", dim).first()[0]
-            ch = quality.calinski_harabasz(lab, vec, "cluster", dim).first()[0]
-            si = quality.silhouette(lab, key, vec, "cluster", sample, seed).first()[0]
-            nz = quality.noise_count(lab, "cluster").first()
-            out.append((k, db, si, ch, nz["n_features"], nz["n_noise"]))
-            lab.unpersist()
+            out.append(_score_labels(lab, key, vec, dim, k, seed, sample))
         except Exception:  # a k that cannot be fitted is recorded, not fatal
             out.append((k, None, None, None, None, None))
-    data.unpersist()
-    return spark.createDataFrame(out, "k int, davies_bouldin_score double, silhouette_score double, "
-                                      "calinski_harabasz_score double, n_features long, n_noise long")
+    return spark.createDataFrame(out, SWEEP_SCHEMA)
 
 
 def best_k(sweep_table: DataFrame, metric: str = "silhouette_score", higher: bool = True) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,10 +26,20 @@ def vector_dim(points: DataFrame, vec: str) -> int:
 
 
 def centroids(points: DataFrame, vec: str, label: str, dim: int) -> DataFrame:
-    """(label, n, centroid array<double>) — one partial+final aggregate."""
-    aggs = [F.avg(F.col(vec)[i]).alias(f"_c{i}") for i in range(dim)]
-    g = points.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *aggs)
-    return g.select(label, "n", F.array(*[F.col(f"_c{i}") for i in range(dim)]).alias("centroid"))
+    """(label, n, centroid array<double>) — one partial+final aggregate.
+
+    The vector mean is one typed aggregate (``Summarizer``) rather than one
+    ``avg`` per dimension, so hundreds of dimensions do not blow up the
+    generated code."""
+    g = points.withColumn("_v", array_to_vector(F.col(vec))).groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("_v")).alias("_m"))
+    return g.select(label, "n", vector_to_array(F.col("_m")).alias("centroid"))
+
+
+def vector_mean(points: DataFrame, vec: str) -> list[float]:
+    """Mean vector of all rows (one global aggregate; d numbers)."""
+    row = points.select(Summarizer.mean(array_to_vector(F.col(vec))).alias("m")).first()
+    return [float(v) for v in row["m"]]
 
 
 def cluster_stats(points: DataFrame, vec: str, label: str, dim: int | None = None) -> DataFrame:
@@ -42,11 +54,8 @@ def cluster_stats(points: DataFrame, vec: str, label: str, dim: int | None = Non
     return cents.join(per, label)
 
 
-def davies_bouldin(points: DataFrame, vec: str = "embedding", label: str = "label",
-                   dim: int | None = None) -> DataFrame:
-    """Mean over clusters of max_{j≠i} (s_i + s_j) / ‖c_i − c_j‖; a zero
-    centroid distance contributes 0, as in the common library definition."""
-    st = cluster_stats(points, vec, label, dim)
+def davies_bouldin_from_stats(st: DataFrame, label: str) -> DataFrame:
+    """Davies–Bouldin from the k-row cluster table of :func:`cluster_stats`."""
     allc = st.withColumn("_all", F.collect_list(F.struct(
         F.col(label).alias("l"), F.col("centroid").alias("c"), F.col("spread").alias("s")))
         .over(Window.partitionBy()))
@@ -58,15 +67,16 @@ def davies_bouldin(points: DataFrame, vec: str = "embedding", label: str = "labe
     return allc.select(ratio.alias("r")).agg(F.round(F.avg("r"), 6).alias("davies_bouldin_score"))
 
 
-def calinski_harabasz(points: DataFrame, vec: str = "embedding", label: str = "label",
-                      dim: int | None = None) -> DataFrame:
-    """[Σ n_i‖c_i − c‖² / (k−1)] / [Σ‖x − c_label‖² / (n−k)]; 1.0 when the
-    within-cluster sum is 0."""
-    dim = dim if dim is not None else vector_dim(points, vec)
-    st = cluster_stats(points, vec, label, dim)
-    # Overall mean: one global aggregate, d numbers, used as a literal.
-    mean_row = points.agg(*[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(dim)]).first()
-    mean = F.lit([float(mean_row[f"m{i}"]) for i in range(dim)])
+def davies_bouldin(points: DataFrame, vec: str = "embedding", label: str = "label",
+                   dim: int | None = None) -> DataFrame:
+    """Mean over clusters of max_{j≠i} (s_i + s_j) / ‖c_i − c_j‖; a zero
+    centroid distance contributes 0, as in the common library definition."""
+    return davies_bouldin_from_stats(cluster_stats(points, vec, label, dim), label)
+
+
+def calinski_from_stats(st: DataFrame, points: DataFrame, vec: str, dim: int) -> DataFrame:
+    """Calinski–Harabasz from the cluster table and one global mean."""
+    mean = F.lit(vector_mean(points, vec))
     per = st.select((F.col("n") * squared_distance("centroid", mean)).alias("between"),
                     "sse", "n")
     tot = per.agg(F.sum("between").alias("b"), F.sum("sse").alias("s"),
@@ -76,6 +86,14 @@ def calinski_harabasz(points: DataFrame, vec: str = "embedding", label: str = "l
     return tot.select(F.round(score, 6).alias("calinski_harabasz_score"))
 
 
+def calinski_harabasz(points: DataFrame, vec: str = "embedding", label: str = "label",
+                      dim: int | None = None) -> DataFrame:
+    """[Σ n_i‖c_i − c‖² / (k−1)] / [Σ‖x − c_label‖² / (n−k)]; 1.0 when the
+    within-cluster sum is 0."""
+    dim = dim if dim is not None else vector_dim(points, vec)
+    return calinski_from_stats(cluster_stats(points, vec, label, dim), points, vec, dim)
+
+
 def label_counts(points: DataFrame, label: str = "label") -> DataFrame:
     """Cluster sizes in descending order with a rank (A11, W5); the ranked
     table has one row per label."""

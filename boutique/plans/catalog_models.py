@@ -20,7 +20,8 @@ LLOYD_STEPS = 2
 HIST_BINS = 10
 KMEANS_K_ALL = 210          # final k-means fit on all preferences
 WARD_K = 165                # final agglomerative fits per segment
-SWEEP_KS = [10, 20, 30]     # short grid for the registered sweep
+SWEEP_KS = [10, 20, 30]     # short grid for the registered k-means sweep
+WARD_SWEEP_KS = list(range(10, 60, 5))  # Ward cuts are cheap: one tree, many k
 
 SQ = "list_sum(list_transform(list_zip({a}, {b}), lambda x: (x[1] - x[2]) * (x[1] - x[2])))"
 
@@ -212,6 +213,14 @@ def kmeans_sweep(spark, d):
     return cluster.sweep(vecs, "customer_id", "prefs", SWEEP_KS, P.SEED, P.CLUSTER_SAMPLE)
 
 
+@register("ward_sweep")
+def ward_sweep(spark, d):
+    """Agglomerative sweep over the family segment: one micro-clustering and
+    one Ward tree, cut at every k of the grid (C4, C9)."""
+    return cluster.sweep(_segment_vectors(spark, d, "family"), "customer_id", "prefs",
+                         WARD_SWEEP_KS, P.SEED, P.CLUSTER_SAMPLE, method="ward")
+
+
 # ------------------------------------------------------------------ step 6: models
 
 _X_SQL = """,
