@@ -325,8 +325,11 @@ def _live_slots(spark, d):
 
 
 def _train_counts(spark, d):
+    """Preference counts of the training window. The evaluations read them
+    three times (vectors, customer set, pair scores), so they are written
+    once to the checkpoint folder instead of re-deriving the join."""
     tx = R.recent(spark, d).filter(F.col("t_dat") < F.lit(P.TEST_CUTOFF).cast("date"))
-    return prefs.pref_counts(cust.purchases(tx), R.art_long(spark, d))
+    return prefs.pref_counts(cust.purchases(tx), R.art_long(spark, d)).checkpoint(eager=True)
 
 
 def _test_purchases(spark, d):
