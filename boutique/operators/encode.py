@@ -103,14 +103,38 @@ def category_values(df: DataFrame, attribute: str) -> list:
     return [r[0] for r in vals]
 
 
+def categories(df: DataFrame, attributes: list[str]) -> dict[str, list]:
+    """Sorted distinct non-null values of several low-cardinality
+    attributes in one job (numbers sorted as numbers), each list bounded by
+    MAX_WIDE_VALUES."""
+    rows = (_long_values(df, None, attributes).filter(F.col("value").isNotNull())
+            .select("attribute", "value", "value_num").distinct()
+            .limit(len(attributes) * MAX_WIDE_VALUES + 1).collect())
+    if len(rows) > len(attributes) * MAX_WIDE_VALUES:
+        raise ValueError("too many category values; stay long")
+    types = dict(df.dtypes)
+    out: dict[str, list] = {a: [] for a in attributes}
+    for r in rows:
+        out[r["attribute"]].append(r)
+    for a, vals in out.items():
+        vals.sort(key=lambda r: (r["value_num"] is None, r["value_num"], r["value"]))
+        integral = types[a] in ("tinyint", "smallint", "int", "bigint")
+        out[a] = [int(r["value_num"]) if integral else
+                  (r["value_num"] if r["value_num"] is not None else r["value"]) for r in vals]
+        if len(out[a]) > MAX_WIDE_VALUES:
+            raise ValueError(f"{a} has more than {MAX_WIDE_VALUES} values; stay long")
+    return out
+
+
 def onehot_columns(df: DataFrame, attributes: list[str], drop_first: bool = True) -> DataFrame:
     """Wide one-hot of low-cardinality columns, pandas ``get_dummies``
     style (E1, E3): the attribute columns are replaced by ``attr_value``
     0/1 columns appended after the untouched ones."""
     keep = [c for c in df.columns if c not in attributes]
     new_cols = []
+    cats = categories(df, attributes)
     for a in attributes:
-        vals = category_values(df, a)
+        vals = cats[a]
         for v in (vals[1:] if drop_first else vals):
             new_cols.append(F.when(F.col(a) == F.lit(v), F.lit(1)).otherwise(F.lit(0))
                             .alias(f"{a}_{v}"))

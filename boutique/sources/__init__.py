@@ -1,6 +1,6 @@
-from boutique.sources.tables import (ADAPTER_SQL, adapter_ctes, articles, customers,
+from boutique.sources.tables import (ADAPTER_SQL, articles, customers,
                                      embeddings, read_table, recent_transactions,
                                      transactions)
 
-__all__ = ["ADAPTER_SQL", "adapter_ctes", "articles", "customers", "embeddings",
+__all__ = ["ADAPTER_SQL", "articles", "customers", "embeddings",
            "read_table", "recent_transactions", "transactions"]

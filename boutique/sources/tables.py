@@ -138,16 +138,3 @@ SELECT CAST(o_orderdate AS DATE) AS t_dat,
        CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS sales_channel_id
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 }
-
-
-def adapter_ctes(recent_from: str) -> str:
-    """``WITH`` clause defining articles, customers, transactions and
-    recent_transactions for an oracle query."""
-    parts = [f"{name} AS ({sql}\n)" for name, sql in ADAPTER_SQL.items()]
-    parts.append(
-        "recent_transactions AS (SELECT * FROM transactions "
-        f"WHERE t_dat >= DATE '{recent_from}')")
-    embed = ("embeds AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, label "
-             "FROM embeddings)")
-    parts.append(embed)
-    return "WITH " + ",\n".join(parts) + "\n"
