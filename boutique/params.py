@@ -89,3 +89,21 @@ ITEMS_GROUPS = ["ECONOMY", "PROMO"]
 
 TOPK = 10
 SEED = 42
+
+
+# Cutoffs of the surveyed code for the original retail data.
+ORIGINAL_LIVE_CUTOFF = "2020-08-27"
+ORIGINAL_SPLIT_CUTOFF = "2019-09-01"
+ORIGINAL_TEST_CUTOFF = "2020-09-06"
+
+
+def original_settings() -> None:
+    """Switch the date and group parameters to the surveyed values, for runs
+    on the original CSV files: every transaction counts towards shares and
+    preferences, and the five original product groups merge into Items."""
+    global RECENT_FROM, LIVE_CUTOFF, SPLIT_CUTOFF, TEST_CUTOFF, ITEMS_GROUPS
+    RECENT_FROM = "1900-01-01"
+    LIVE_CUTOFF = ORIGINAL_LIVE_CUTOFF
+    SPLIT_CUTOFF = ORIGINAL_SPLIT_CUTOFF
+    TEST_CUTOFF = ORIGINAL_TEST_CUTOFF
+    ITEMS_GROUPS = list(ITEMS_GROUPS_ORIGINAL)

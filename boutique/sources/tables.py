@@ -21,8 +21,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# File names of the original retail data; when a folder holds them, the
+# adapters read them directly instead of deriving the tables.
+ORIGINAL_FILES = {"articles": "articles.csv", "customers": "customers.csv",
+                  "transactions": "transactions_train.csv"}
+
+ARTICLE_COLUMNS = ["article_id", "product_code", "product_group_name", "product_type_no",
+                   "graphical_appearance_no", "colour_group_code", "perceived_colour_master_id",
+                   "department_no", "section_no", "garment_group_no", "index_group_no"]
+CUSTOMER_COLUMNS = ["customer_id", "FN", "Active", "club_member_status",
+                    "fashion_news_frequency", "age", "postal_code"]
+
+
+def _original(spark: SparkSession, sf_dir: str, table: str) -> str | None:
+    """Path of the original CSV for ``table`` in ``sf_dir``, if present."""
+    path = f"{sf_dir.rstrip('/')}/{ORIGINAL_FILES[table]}"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return path if fs.exists(p) else None
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article table with the surveyed schema, derived from ``part``."""
+    """Article table with the surveyed schema: the original CSV when the
+    folder has one, else derived from ``part``."""
+    from boutique.sources import files
+    csv = _original(spark, sf_dir, "articles")
+    if csv:
+        return files.read_csv(spark, csv, files.ARTICLES_SCHEMA, ARTICLE_COLUMNS)
     p = read_table(spark, sf_dir, "part")
     size = F.col("p_size")
     return p.select(
@@ -41,7 +67,12 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer table with the surveyed schema, derived from ``customer``."""
+    """Customer table with the surveyed schema: the original CSV when the
+    folder has one, else derived from ``customer``."""
+    from boutique.sources import files
+    csv = _original(spark, sf_dir, "customers")
+    if csv:
+        return files.read_csv(spark, csv, files.CUSTOMERS_SCHEMA, CUSTOMER_COLUMNS)
     c = read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     seg = F.col("c_mktsegment")
@@ -71,8 +102,14 @@ def transactions(spark: SparkSession, sf_dir: str, since: str | None = None) ->
     sales_channel_id) from ``lineitem`` joined to ``orders``.
 
     ``since`` keeps orders dated on or after that day; the predicate is on
-    the raw order timestamp so it reaches the Parquet scan.
+    the raw order timestamp so it reaches the Parquet scan. A folder with
+    the original transactions CSV is read directly (dates parsed strictly).
     """
+    from boutique.sources import files
+    csv = _original(spark, sf_dir, "transactions")
+    if csv:
+        tx = files.read_transactions_csv(spark, csv)
+        return tx if since is None else tx.filter(F.col("t_dat") >= F.lit(since).cast("date"))
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     if since is not None:
         o = o.filter(F.col("o_orderdate") >= _ntz(since))
