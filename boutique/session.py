@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.executorEnv.OMP_NUM_THREADS": "1",
     "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
     "spark.executorEnv.MKL_NUM_THREADS": "1",
+    # Reliable checkpoints (dense codes, sweep inputs, evaluation counts)
+    # are removed from the shared folder once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Parquet splits sized so one task's input fits comfortably in memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
