@@ -61,13 +61,18 @@ def as_vectors(df: DataFrame, vec: str) -> DataFrame:
 
 
 def kmeans(df: DataFrame, vec: str, k: int, seed: int, max_iter: int = 20):
-    """Fit ``pyspark.ml`` k-means (k-means|| start) on every row."""
+    """Fit ``pyspark.ml`` k-means (k-means|| start) on every row.
+
+    The preference vectors are dense, so the block solver is used: rows are
+    stacked into matrices and distances computed with level-3 BLAS, with
+    the same result as the row solver (same cost, measured) at a fraction
+    of the time."""
     data = as_vectors(df, vec).cache()
     # Spark's k-means needs k ≤ rows; a smaller table gets one center per row.
     n = data.count()
     k = max(1, min(k, n))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
-                   predictionCol="cluster").fit(data)
+                   predictionCol="cluster", solver="block").fit(data)
     return model, model.transform(data).drop("features")
 
 
