@@ -55,7 +55,8 @@ def feature_dictionary(df: DataFrame, attributes: list[str]) -> DataFrame:
             .select("attribute", "attr_pos", "value", "value_num").distinct())
     ranked = vals.withColumn(
         "value_rank",
-        F.row_number().over(Window.partitionBy("attribute").orderBy("value_num", "value")))
+        F.row_number().over(Window.partitionBy("attribute").orderBy("value_num", "value"))
+        .cast("bigint"))
     # Offset of each attribute = kept values of the attributes before it.
     per_attr = ranked.groupBy("attr_pos").agg((F.count(F.lit(1)) - 1).alias("n_kept"))
     offsets = per_attr.withColumn(

@@ -56,6 +56,20 @@ def digest(columns: list[str], rows: list[tuple]) -> tuple[list[str], int, str]:
     return [columns[i] for i in order], len(rows), h
 
 
+def _spark_type(t: str) -> str:
+    t = t.lower()
+    return {"tinyint": "int32", "smallint": "int32", "int": "int32", "bigint": "int64",
+            "float": "float", "double": "float", "string": "string"}.get(
+        t, "decimal" if t.startswith("decimal") else t)
+
+
+def _duck_type(t) -> str:
+    t = str(t).upper()
+    return {"TINYINT": "int32", "SMALLINT": "int32", "INTEGER": "int32", "BIGINT": "int64",
+            "HUGEINT": "int128", "FLOAT": "float", "DOUBLE": "float", "VARCHAR": "string"}.get(
+        t, "decimal" if t.startswith("DECIMAL") else t.lower())
+
+
 def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -68,10 +82,16 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
         return out
     res = con.sql(sql)
     dcols = list(res.columns)
+    dtypes = {c: _duck_type(t) for c, t in zip(dcols, res.types)}
     drows = res.fetchall()
     dcols, dn, dh = digest(dcols, drows)
-    out.update(oracle_rows=dn, cols_match=scols == dcols, hash_match=sh == dh)
-    out["status"] = "ok" if (sn == dn and scols == dcols and sh == dh) else "MISMATCH"
+    stypes = {c: _spark_type(t) for c, t in sdf.dtypes}
+    types_ok = stypes == dtypes
+    out.update(oracle_rows=dn, cols_match=scols == dcols, types_match=types_ok, hash_match=sh == dh)
+    if not types_ok:
+        out["type_diffs"] = {c: (stypes.get(c), dtypes.get(c)) for c in set(stypes) | set(dtypes)
+                             if stypes.get(c) != dtypes.get(c)}
+    out["status"] = "ok" if (sn == dn and scols == dcols and sh == dh and types_ok) else "MISMATCH"
     if scols != dcols:
         out["spark_cols"], out["oracle_cols"] = scols, dcols
     return out
