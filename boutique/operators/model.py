@@ -86,28 +86,27 @@ def gram(x: DataFrame, shares: DataFrame, cols: list[str], group: str | None = N
           for p in range(len(cols)) for q in range(p, len(cols))],
         F.sum("share").alias("y"),
         *[F.sum(F.col("share") * c).alias(f"y{p}") for p, c in enumerate(xc)])
-    age_i = F.col("age_idx") + 1
-    fj = F.col("feature_idx")
-    lit = F.lit
-
-    def entry(block, i, j, v):
-        # c counts contributing customers, so an entry exists exactly when
-        # some customer contributes to it (even if its value is 0).
-        c = F.col("n") if block == "xx" else lit(1.0)
-        return F.struct(lit(block).alias("block"), i.cast("bigint").alias("i"),
-                        j.cast("bigint").alias("j"), v.cast("double").alias("v"),
-                        c.alias("c"))
-
-    entries = [entry("xx", lit(0), lit(0), F.col("n")), entry("xx", lit(0), age_i, F.col("n")),
-               entry("xx", age_i, age_i, F.col("n"))]
+    # Every Gram entry a group row contributes, as one SQL array expression
+    # (one parse instead of hundreds of column objects). c counts the
+    # contributing customers, so an entry exists exactly when some customer
+    # contributes to it (even if its value is 0).
+    def entry(block: str, i: str, j: str, v: str) -> str:
+        c = "n" if block == "xx" else "1.0D"
+        return (f"named_struct('block', '{block}', 'i', CAST({i} AS BIGINT), "
+                f"'j', CAST({j} AS BIGINT), 'v', CAST({v} AS DOUBLE), 'c', CAST({c} AS DOUBLE))")
+
+    age_i, fj = "age_idx + 1", "feature_idx"
+    entries = [entry("xx", "0", "0", "n"), entry("xx", "0", age_i, "n"),
+               entry("xx", age_i, age_i, "n")]
     for p in range(len(cols)):
-        entries += [entry("xx", lit(0), lit(base + p), F.col(f"s{p}")),
-                    entry("xx", age_i, lit(base + p), F.col(f"s{p}"))]
-        entries += [entry("xx", lit(base + p), lit(base + q), F.col(f"s{p}_{q}"))
+        entries += [entry("xx", "0", str(base + p), f"s{p}"),
+                    entry("xx", age_i, str(base + p), f"s{p}")]
+        entries += [entry("xx", str(base + p), str(base + q), f"s{p}_{q}")
                     for q in range(p, len(cols))]
-    entries += [entry("xy", lit(0), fj, F.col("y")), entry("xy", age_i, fj, F.col("y"))]
-    entries += [entry("xy", lit(base + p), fj, F.col(f"y{p}")) for p in range(len(cols))]
-    out = (per.select(*g, F.explode(F.array(*entries)).alias("e"))
+    entries += [entry("xy", "0", fj, "y"), entry("xy", age_i, fj, "y")]
+    entries += [entry("xy", str(base + p), fj, f"y{p}") for p in range(len(cols))]
+    exploded = F.expr(f"explode(array({', '.join(entries)}))")
+    out = (per.select(*g, exploded.alias("e"))
            .groupBy(*g, F.col("e.block").alias("block"), F.col("e.i").alias("i"),
                     F.col("e.j").alias("j"))
            .agg(F.sum("e.v").alias("value"), F.sum("e.c").alias("_c")))
