@@ -8,6 +8,8 @@ orders scan.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +18,35 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
+_SCOPE: dict | None = None
+
+
+@contextmanager
+def read_scope():
+    """Within one query's construction, read each table once: later reads of
+    the same path reuse that reader (one file listing, identical scans that
+    the planner can share). The scope ends with the query, so a later query
+    sees new files."""
+    global _SCOPE
+    outer = _SCOPE
+    if outer is None:
+        _SCOPE = {}
+    try:
+        yield
+    finally:
+        if outer is None:
+            _SCOPE = None
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table (S1); callers select columns."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if _SCOPE is None:
+        return spark.read.parquet(path)
+    key = (id(spark), path)
+    if key not in _SCOPE:
+        _SCOPE[key] = spark.read.parquet(path)
+    return _SCOPE[key]
 
 
 # File names of the original retail data; when a folder holds them, the
