@@ -71,3 +71,14 @@ def test_best_k(spark):
     t = spark.createDataFrame([(10, 0.2), (20, 0.5), (30, 0.5), (40, None)],
                               "k int, silhouette_score double")
     assert best_k(t).first()["k"] == 20
+
+
+def test_read_scope_reuses_within_and_refreshes_after(spark):
+    from boutique.sources.tables import read_scope, read_table
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    spark.range(3).write.parquet(f"{root}/t.parquet")
+    with read_scope():
+        a, b = read_table(spark, root, "t"), read_table(spark, root, "t")
+        assert a is b
+    spark.range(5).write.mode("append").parquet(f"{root}/t.parquet")
+    assert read_table(spark, root, "t").count() == 8
