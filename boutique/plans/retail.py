@@ -60,10 +60,14 @@ def art_long(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_width(spark: SparkSession, d: str) -> int:
-    """Number of kept features (the preference width); a bounded scalar."""
-    row = encode.kept_features(dictionary(spark, d)).agg(
-        F.max("feature_idx").alias("m")).first()
-    return int(row["m"]) + 1 if row["m"] is not None else 0
+    """Number of kept features (the preference width); a bounded scalar,
+    remembered with the dictionary it is read from."""
+    key = (spark.sparkContext.applicationId, d, "width")
+    if key not in _MEMO:
+        row = encode.kept_features(dictionary(spark, d)).agg(
+            F.max("feature_idx").alias("m")).first()
+        _MEMO[key] = int(row["m"]) + 1 if row["m"] is not None else 0
+    return _MEMO[key]
 
 
 def recent(spark: SparkSession, d: str) -> DataFrame:
