@@ -32,13 +32,15 @@ def _long_values(df: DataFrame, key: str | None, attributes: list[str]) -> DataF
     ids = [key] if key else []
     casted = df.select(*ids, *[F.col(a).cast("string").alias(a) for a in attributes])
     long = casted.unpivot(ids, attributes, "attribute", "value")
-    pos = F.lit(None).cast("int")
-    num = F.lit(None).cast("double")
-    for i, a in enumerate(attributes):
-        pos = F.when(F.col("attribute") == a, F.lit(i)).otherwise(pos)
-        if a in numeric:
-            num = F.when(F.col("attribute") == a, F.col("value").try_cast("double")).otherwise(num)
-    return long.withColumn("attr_pos", pos).withColumn("value_num", num)
+    # One CASE per derived column (a single parse, not nested column objects).
+    pos = F.expr("CASE attribute " + " ".join(
+        f"WHEN '{a}' THEN {i}" for i, a in enumerate(attributes)) + " END")
+    num_attrs = [a for a in attributes if a in numeric]
+    num = (F.expr("CASE WHEN attribute IN (" + ", ".join(f"'{a}'" for a in num_attrs)
+                  + ") THEN try_cast(value AS DOUBLE) END")
+           if num_attrs else F.lit(None).cast("double"))
+    return long.select(*long.columns, pos.cast("int").alias("attr_pos"),
+                       num.cast("double").alias("value_num"))
 
 
 def feature_dictionary(df: DataFrame, attributes: list[str]) -> DataFrame:

@@ -181,3 +181,17 @@ def test_lloyd_cost_does_not_rise(spark):
 def test_segment_regression_rejects_unknown(spark):
     with pytest.raises(ValueError):
         catalog_models.train_segment(spark, SF001, "x")
+
+
+def test_topk_partition_independent(spark):
+    width = R.feature_width(spark, SF001)
+
+    def run(n):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            top = score.topk(score.count_vectors(R.counts(spark, SF001), width),
+                             catalog_models._live_slots(spark, SF001), width, 5)
+            return sorted(map(tuple, top.select("customer_id", "rank", "article_id").collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert run(1) == run(5)
