@@ -96,16 +96,6 @@ def onehot_long(df: DataFrame, key: str, attributes: list[str],
     return long.join(dic, ["attribute", "value"], "inner").select(key, "feature_idx", "feature")
 
 
-def category_values(df: DataFrame, attribute: str) -> list:
-    """Sorted distinct non-null values of a low-cardinality attribute
-    (bounded by MAX_WIDE_VALUES; used to name wide columns)."""
-    vals = (df.select(attribute).filter(F.col(attribute).isNotNull()).distinct()
-            .orderBy(attribute).limit(MAX_WIDE_VALUES + 1).collect())
-    if len(vals) > MAX_WIDE_VALUES:
-        raise ValueError(f"{attribute} has more than {MAX_WIDE_VALUES} values; stay long")
-    return [r[0] for r in vals]
-
-
 def categories(df: DataFrame, attributes: list[str]) -> dict[str, list]:
     """Sorted distinct non-null values of several low-cardinality
     attributes in one job (numbers sorted as numbers), each list bounded by

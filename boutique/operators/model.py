@@ -54,14 +54,6 @@ def model_inputs(info: DataFrame, shares: DataFrame, extra: DataFrame | None = N
     return x.join(has_prefs, "customer_id", "inner")
 
 
-def x_index(n_age: int, cols: list[str]) -> dict[str, int]:
-    """Column numbering of X: 0 bias, 1..n_age age categories, then cols."""
-    out = {"bias": 0}
-    out.update({f"age_{a}": 1 + a for a in range(n_age)})
-    out.update({c: 1 + n_age + i for i, c in enumerate(cols)})
-    return out
-
-
 def gram(x: DataFrame, shares: DataFrame, cols: list[str], group: str | None = None,
          n_age: int = params.AGE_CATEGORIES) -> DataFrame:
     """Long Gram entries (grp, block, i, j, value): block 'xx' holds XᵀX
