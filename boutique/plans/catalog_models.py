@@ -403,7 +403,7 @@ def eval_hit_rate(spark, d):
     per = t.groupBy("customer_id").agg(F.max(F.col("y").isNotNull().cast("int")).alias("hit"))
     return per.agg(F.count(F.lit(1)).alias("n_customers"),
                    F.sum("hit").cast("bigint").alias("n_hits"),
-                   (F.sum("hit").cast("double") / F.count(F.lit(1))).alias("hit_rate"))
+                   F.try_divide(F.sum("hit").cast("double"), F.count(F.lit(1))).alias("hit_rate"))
 
 
 @register("eval_mse", q(_TRAIN_SQL + """,
@@ -429,7 +429,7 @@ def eval_mse(spark, d):
                        (F.col("y") * F.col("y") - 2 * F.col("y") * F.col("score")).alias("v"),
                        F.lit(0).alias("c"))
     tot = q_rows.unionByName(r_rows).agg(F.sum("v").alias("v"), F.sum("c").alias("c"))
-    return tot.select(F.round(F.col("v") / (F.col("c") * F.lit(n_art)), 9).alias("mse"),
+    return tot.select(F.round(F.try_divide(F.col("v"), F.col("c") * F.lit(n_art)), 9).alias("mse"),
                       (F.col("c") * F.lit(n_art)).cast("bigint").alias("n_pairs"))
 
 
