@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
-import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +52,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -72,5 +75,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster needs a shared folder for checkpoints")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="boutique-ckpt-", dir="/tmp"))
+    # One machine runs everything, so its working folder is shared by all.
+    sc.setCheckpointDir(os.path.join(os.getcwd(), "spark-warehouse", "checkpoints"))
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per application), so that
+    functions run there wherever the driver was started. The archive is
+    written through Hadoop's file system to the shared checkpoint folder."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    data = buffer.getvalue()
+    name = f"{os.path.basename(root)}_{hashlib.sha256(data).hexdigest()[:12]}.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark), name)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(data))
+    out.close()
+    sc.addPyFile(path.toString())
+    _SHIPPED.add(sc.applicationId)
