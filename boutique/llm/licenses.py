@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boutique.llm.common import held_out
+from boutique.llm.common import held_out, written
 
 SEGMENT, STRIDE = 64, 48
 #: Paragraphs of the corpus that train the class "none".
@@ -208,8 +208,8 @@ def classify(docs: DataFrame, model: dict | None = None) -> DataFrame:
                        "gram string, " + ", ".join(f"w{k} double" for k in range(len(labels))), "gram")
     words = F.split(F.lower(F.col("text")), "[^a-z0-9]+")
     # Segments of equal rows are the same segments.
-    parts = segments(docs.where(F.arrays_overlap(words, F.array(*[F.lit(a) for a in model["anchors"]])))
-                     if model["anchors"] else docs.where(F.lit(False)))
+    parts = written(segments(docs.where(F.arrays_overlap(words, F.array(*[F.lit(a) for a in model["anchors"]])))
+                             if model["anchors"] else docs.where(F.lit(False))), "segments")
     found = (parts.select("doc_id", "t", "line", "part", F.explode(F.array_distinct(F.concat(_runs("words", 1), _runs("words", 2)))).alias("g"))
              .join(F.broadcast(weights), "g"))
     summed = found.groupBy("doc_id", "t", "line", "part").agg(
@@ -221,6 +221,7 @@ def classify(docs: DataFrame, model: dict | None = None) -> DataFrame:
                  .select("doc_id", "t", "line", "part", F.col("best.family").alias("family"),
                          F.round(F.exp(F.col("best.z") - F.col("top")) / F.col("total"), 6).alias("probability"))
                  .where(F.col("probability") >= model["threshold"]))
+    predicted = written(predicted, "predicted")
     # Templates, as the three-word sequences that a segment must contain.
     rows, sizes = [], []
     for family in FAMILIES:

@@ -80,11 +80,11 @@ s AS (
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
   FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
 e AS (
   SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-  WHERE 100 * both >= 80 * (x.n + y.n - both)),
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
 l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r(doc_id, c) AS (
   SELECT doc_id, doc_id FROM documents
