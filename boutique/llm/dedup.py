@@ -8,15 +8,15 @@ densification, banded buckets and star-shaped candidate edges.
    keeping its smallest hash. An empty bin takes the value of the first
    filled bin in its own fixed random order (optimal densification).
 3. Rows of ``BAND_ROWS`` bins make ``BANDS`` bucket keys. Every bucket is a
-   star: each member pairs with the bucket's smallest id, so the pairs of
-   this step are at most ``BANDS`` per class. Of them the pair with
-   the best sketch estimate is confirmed on the full sets.
-4. Confirmed links are contracted to components. In buckets that still hold
-   several components, the members outside the bucket's largest component
-   are compared with its members of other components, so that no link
-   found by the buckets is lost to the star shape. Sizes and sketches (four
-   bits of each bin) discard hopeless pairs inside the join; the rest is
-   confirmed on full sets.
+   star: each member pairs with a centre of another component, so the pairs of
+   a turn are at most ``BANDS`` per class; the one closest by sketch is confirmed on the
+   full sets. Confirmed links are contracted to components, and ``TURNS``
+   turns with changing centres leave few buckets with several components.
+4. In those, the members outside the bucket's largest component are compared
+   with its members of other components, so that no link found by the
+   buckets is lost to the star shape. Sizes and sketches (four bits of
+   each bin) discard hopeless pairs inside the join; the rest is confirmed on
+   full sets.
 
 Probability that a pair at similarity 0.8 shares no bucket:
 (1 - 0.8**4)**32 = 5e-8; that the sketch discards it: about 3e-6. The result
@@ -43,6 +43,10 @@ BAND_ROWS = 4
 #: Differing bins up to which a pair is confirmed on the full sets: the
 #: expectation at 0.8 (0.2 * 15/16 of the bins) plus 4.5 deviations.
 MAX_DIFFERENT = 78
+#: Turns of star edges before the remaining pairs are compared.
+TURNS = 3
+#: Rows of one or two longs that may be broadcast (16 MB), after a count; more are shuffled.
+BROADCAST_ROWS = 1_000_000
 #: Of four bits, one in each position that a sketch word holds 16 times.
 _NIBBLES = 0x1111111111111111
 
@@ -121,38 +125,40 @@ def _confirm(percent: int):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                [batch.column("a"), batch.column("b")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, comp) for every id of ``nodes``: the smallest id reachable over
-    ``edges`` (a, b). Alternates linking each node's larger neighbours, then
-    its smaller ones, to the smallest neighbour until every edge points to its
-    component's smallest id; the number of passes grows with the logarithm of a
-    component's size. Edges and labels stay in the cluster."""
-    spark = nodes.sparkSession
-    links = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                    .where("u != v").distinct(), "links")
+def contract(edges: DataFrame) -> DataFrame:
+    """One pass over edges (u, v): each node's larger neighbours, then its
+    smaller ones, are linked to its smallest neighbour instead. What is connected stays so."""
+    links = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
+    both = links.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
+                        .alias("e")).select("e.u", "e.v")
+    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    small_low = large.groupBy("u").agg(F.min("v").alias("m"))
+    small = large.join(small_low, "u").select(F.explode(F.array(
+        F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+    return written(small.select("e.u", "e.v").where("u != v").distinct(), "links")
+
+
+def labels(links: DataFrame) -> DataFrame:
+    """(id, comp): the smallest neighbour of each larger end."""
+    return links.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("comp"))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``links`` (u, v) contracted until every one points to the smallest id of its
+    component; the number of passes grows with the logarithm of a component's
+    size. Links stay in the cluster."""
     before = None
     while True:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u != v").distinct())
-        small_low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(small_low, "u")
-                 .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
-                                           F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
-                         .alias("e")).select("e.u", "e.v").where("u != v").distinct())
-        links = written(small, "links")
+        links = contract(links)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
-            break
+            return links
         before = now
-    comp = links.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("comp"))
-    return nodes.select("id").join(comp, "id", "left").select(
-        "id", F.coalesce("comp", "id").alias("comp"))
 
 
 def _different(x: str, y: str):
@@ -169,14 +175,37 @@ def _sizes_fit(x: str, y: str, percent: int):
     return ((F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent))
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _light(df: DataFrame) -> DataFrame:
+    """``df`` (written, narrow), marked for broadcast if its counted rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose full shingle sets are similar."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = texts.join(needed, "id", "left_semi").mapInArrow(_sets(size), "id long, shingles binary")
-    full = written(sets, "sets")
-    joined = (pairs.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
-              .join(full.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b"))
-    return joined.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a long, b long")
+    with_b = sets.withColumnsRenamed({"id": "b", "shingles": "set_b"}).join(_light(pairs), "b")
+    centres = _light(written(pairs.select(F.col("a").alias("id")).distinct(), "centres"))
+    of_a = sets.join(centres, "id", "left_semi").withColumnsRenamed({"id": "a", "shingles": "set_a"})
+    joined = with_b.join(of_a.hint("merge"), "a")
+    return written(joined.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "u long, v long"), "confirmed")
+
+
+def _best_stars(rows: DataFrame, sketches: DataFrame, turn: int, percent: int) -> DataFrame:
+    """One promising pair for each class: its bucket centres of other
+    components (the two ends of a bucket by a hash that changes each turn), the
+    closest by sketch. ``rows`` has id, band, key, comp."""
+    place = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "comp") if turn else F.struct("id", "comp")
+    ends = (rows.groupBy("band", "key").agg(F.min(place).alias("x"), F.max(place).alias("y"),
+                                            F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2"))
+    centre = F.when(F.col("x.comp") != F.col("comp"), F.col("x.id")).when(F.col("y.comp") != F.col("comp"), F.col("y.id"))
+    pairs = (rows.join(ends.select("band", "key", "x", "y"), ["band", "key"])
+             .select(centre.alias("a"), F.col("id").alias("b")).where("a is not null").distinct())
+    pairs = written(pairs, "stars")
+    def side(s):
+        return sketches.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"s_{s}"))
+    best = (pairs.join(side("a"), "a").join(side("b"), "b").where(_sizes_fit("n_a", "n_b", percent))
+            .withColumn("diff", _different("s_a", "s_b")).where(F.col("diff") <= MAX_DIFFERENT)
+            .groupBy("b").agg(F.min(F.struct("diff", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
+    return written(best, "pairs")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -188,47 +217,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     that id. Rows with a null id have a null component and are kept.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketches = written(texts.mapInArrow(_sign(size), SIGNED_SCHEMA), "sketches")
-    known = sketches.where("id is not null and n_shingles > 0")
-    classes = known.groupBy("set_id").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"),
-                                          F.first("bands").alias("bands"),
-                                          F.first("sketch").alias("sketch"))
-    classes = written(classes, "classes")
-    # An id with two different texts (repeated rows) carries its smallest class.
-    nodes = classes.groupBy(F.col("rep").alias("id")).agg(F.min("set_id").alias("set_id"))
-    reps = classes.join(nodes.select("set_id"), "set_id", "left_semi").select(
-        F.col("rep").alias("id"), "n", "bands", "sketch")
+    signed_rows = written(texts.mapInArrow(_sign(size), SIGNED_SCHEMA), "sketches")
+    known = signed_rows.where("id is not null and n_shingles > 0")
+    classes = written(known.groupBy("set_id").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"),
+                                                  F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
+                      "classes")
+    # An id with two different texts (repeated rows) stands for the smaller set's class.
+    chosen = classes.groupBy("id").agg(F.min("set_id").alias("set_id"))
+    reps = classes.join(chosen, ["id", "set_id"], "left_semi") if not _unique_ids(known) else classes
+
+    # Buckets with one member have no pair.
     rows = reps.select("id", F.posexplode("bands").alias("band", "key"))
-
-    stars = rows.groupBy("band", "key").agg(F.min("id").alias("a"), F.max("id").alias("top")).where("a != top")
-    rep_a = reps.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    rep_b = reps.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    star_pairs = (rows.join(stars, ["band", "key"]).where("id != a")
-                  .select("a", F.col("id").alias("b")).distinct())
-    best = (star_pairs.join(rep_a, "a").join(rep_b, "b")
-            .where(_sizes_fit("n_a", "n_b", percent))
-            .withColumn("diff", _different("s_a", "s_b")).where(F.col("diff") <= MAX_DIFFERENT)
-            .groupBy("b").agg(F.min(F.struct("diff", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
-    texts_of_reps = texts.where("id is not null")
-    one_text = (texts_of_reps if _unique_ids(known) else
-                _text_of_class(texts_of_reps, nodes, size))
-    links = written(_confirmed(written(best, "pairs"), one_text, size, percent), "confirmed")
-    comp = written(components(nodes, links), "components")
+    full = rows.groupBy("band", "key").agg(F.count("*").alias("m")).where("m > 1").select("band", "key")
+    rows = written(rows.join(full, ["band", "key"], "left_semi"), "rows")
+    candidates = _light(written(rows.select("id").distinct(), "candidates"))
+    one_text = texts.where("id is not null").join(candidates, "id", "left_semi")
+    if not _unique_ids(known):
+        one_text = _text_of_class(one_text, chosen, size)
+    sets = written(one_text.mapInArrow(_sets(size), "id long, shingles binary"), "sets")
+    narrow = written(reps.join(candidates, "id", "left_semi").select("id", "n", "bands", "sketch"), "narrow")
+
+    links = None
+    for turn in range(TURNS):
+        placed = rows.withColumn("comp", F.col("id")) if links is None else _placed(rows, links)
+        found = _confirmed(_best_stars(placed, narrow, turn, percent), sets, percent)
+        links = found if links is None else links.unionByName(found)
+        links = contract(links) if turn < TURNS - 1 else components(links)
 
     # Buckets that still hold several components.
-    placed = rows.join(comp, "id")
+    placed = _placed(rows, links)
     per_comp = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("m"))
     mixed = (per_comp.groupBy("band", "key").agg(F.max(F.struct("m", "comp")).alias("t"),
                                                  F.count("*").alias("comps"))
              .where("comps > 1").select("band", "key", F.col("t.comp").alias("largest")))
-    members = written(placed.join(mixed, ["band", "key"]).join(reps, "id"), "mixed")
+    members = written(placed.join(mixed, ["band", "key"]), "mixed").join(narrow, "id")
+    members = written(members, "members")
     left = members.where("comp != largest").select(
         "band", "key", *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "bands", "sketch")])
     right = members.select(
         "band", "key", "largest", *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "bands", "sketch")])
-    shared_before = F.exists(F.slice(F.zip_with("bands_a", "bands_b", lambda p, q: p == q), 1,
-                                     F.greatest(F.col("left.band"), F.lit(1))),
-                             lambda e: e) & (F.col("left.band") > 0)
+    shared_before = (F.col("left.band") > 0) & F.exists(
+        F.slice(F.zip_with("bands_a", "bands_b", lambda p, q: p == q), 1, F.greatest(F.col("left.band"), F.lit(1))),
+        lambda e: e)
     rest = left.alias("left").join(
         right.alias("right"),
         (F.col("left.band") == F.col("right.band")) & (F.col("left.key") == F.col("right.key"))
@@ -236,12 +266,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         & ((F.col("comp_b") == F.col("largest")) | (F.col("id_a") < F.col("id_b")))
         & _sizes_fit("n_a", "n_b", percent)
         & (_different("sketch_a", "sketch_b") <= MAX_DIFFERENT) & ~shared_before)
-    rest = written(rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "pairs")
-    more = _confirmed(rest, one_text, size, percent)
-    comp2 = written(components(nodes, links.unionByName(more)), "components")
-    by_set = classes.select("set_id", F.col("rep").alias("id")).join(comp2, "id").select(
-        "set_id", "comp")
-    return (sketches.select(F.col("id").alias(id_col), "n_shingles", "set_id")
+    rest = written(rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "pairs")
+    more = _confirmed(rest, sets, percent)
+    final = labels(components(links.unionByName(more)))
+    by_set = classes.select("set_id", "id").join(final, "id", "left").select(
+        "set_id", F.coalesce("comp", "id").alias("comp"))
+    return (signed_rows.select(F.col("id").alias(id_col), "n_shingles", "set_id")
             .join(by_set, "set_id", "left")
             .select(id_col, "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col(id_col)).alias("component_id"))
@@ -249,6 +279,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
 
 
+def _placed(rows: DataFrame, links: DataFrame) -> DataFrame:
+    return rows.join(_light(written(labels(links), "labels")), "id", "left").select("id", "band", "key", F.coalesce("comp", "id").alias("comp"))
+
+
 def _unique_ids(known: DataFrame) -> bool:
     n = known.agg(F.count("*").alias("n"), F.count_distinct("id").alias("u")).first()
     return n["n"] == n["u"]
