@@ -14,9 +14,9 @@ densification, banded buckets and star-shaped candidate edges.
    turns with changing centres leave few buckets with several components.
 4. In those, the members outside the bucket's largest component are compared
    with its members of other components, so that no link found by the
-   buckets is lost to the star shape. Sizes and sketches (four bits of
-   each bin) discard hopeless pairs inside the join; the rest is confirmed on
-   full sets.
+   buckets is lost to the star shape. Hopeless pairs are discarded inside the join: by
+   sizes and by the shingles that only one member has, an exact bound, then by
+   sketches (four bits of each bin). The rest is confirmed on full sets.
 
 Probability that a pair at similarity 0.8 shares no bucket:
 (1 - 0.8**4)**32 = 5e-8; that the sketch discards it: about 3e-6. The result
@@ -250,12 +250,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = (per_comp.groupBy("band", "key").agg(F.max(F.struct("m", "comp")).alias("t"),
                                                  F.count("*").alias("comps"))
              .where("comps > 1").select("band", "key", F.col("t.comp").alias("largest")))
-    members = written(placed.join(mixed, ["band", "key"]), "mixed").join(narrow, "id")
-    members = written(members, "members")
+    members = written(placed.join(mixed, ["band", "key"]), "mixed")
+    members = written(members.join(narrow, "id").join(_light(_own_shingles(members, sets)), "id", "left")
+                      .withColumn("own", F.coalesce("own", F.lit(0))), "members")
     left = members.where("comp != largest").select(
-        "band", "key", *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "bands", "sketch")])
+        "band", "key", *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "own", "bands", "sketch")])
     right = members.select(
-        "band", "key", "largest", *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "bands", "sketch")])
+        "band", "key", "largest", *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "own", "bands", "sketch")])
     shared_before = (F.col("left.band") > 0) & F.exists(
         F.slice(F.zip_with("bands_a", "bands_b", lambda p, q: p == q), 1, F.greatest(F.col("left.band"), F.lit(1))),
         lambda e: e)
@@ -264,7 +265,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (F.col("left.band") == F.col("right.band")) & (F.col("left.key") == F.col("right.key"))
         & (F.col("comp_a") != F.col("comp_b"))
         & ((F.col("comp_b") == F.col("largest")) | (F.col("id_a") < F.col("id_b")))
-        & _sizes_fit("n_a", "n_b", percent)
+        & (100 * F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))
+           >= percent * F.greatest(F.col("n_a") + F.col("own_b"), F.col("n_b") + F.col("own_a")))
         & (_different("sketch_a", "sketch_b") <= MAX_DIFFERENT) & ~shared_before)
     rest = written(rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "pairs")
     more = _confirmed(rest, sets, percent)
@@ -279,6 +281,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
 
 
+def _own_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, own): shingles of a member that no other member has. They are in no
+    intersection and in every union, which bounds a pair's similarity."""
+    ids = _light(written(members.select("id").distinct(), "member_ids"))
+    shingles = sets.join(ids, "id", "left_semi").mapInArrow(_each_shingle, "id long, g long")
+    single = shingles.groupBy("g").agg(F.count("*").alias("m"), F.min("id").alias("id")).where("m = 1")
+    return written(single.groupBy("id").agg(F.count("*").alias("own")), "own")
+
+
+def _each_shingle(batches):
+    for batch in batches:
+        for one, data in zip(batch.column("id"), batch.column("shingles")):
+            g = np.frombuffer(data.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), one.as_py()), pa.int64()), pa.array(g, pa.int64())],
+                                             names=["id", "g"])
+
+
 def _placed(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(_light(written(labels(links), "labels")), "id", "left").select("id", "band", "key", F.coalesce("comp", "id").alias("comp"))
 
