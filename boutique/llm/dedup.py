@@ -276,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return (signed_rows.select(F.col("id").alias(id_col), "n_shingles", "set_id")
             .join(by_set, "set_id", "left")
             .select(id_col, "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col(id_col)).alias("component_id"))
+                    F.when(F.col(id_col).isNotNull() & (F.col("n_shingles") > 0), F.col("comp")).otherwise(F.col(id_col)).alias("component_id"))
             .withColumn("component_id", F.coalesce("component_id", id_col))
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
 

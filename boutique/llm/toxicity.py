@@ -23,7 +23,6 @@ import unicodedata
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,15 +133,26 @@ def _counts(batches):
     """Texts of each class that have a word with a given beginning: summed over
     a partition before the shuffle."""
     toxic, clean = Counter(), Counter()
-    for pdf in batches:
-        for text, y in zip(pdf["text"], pdf["toxic"]):
+    for batch in batches:
+        for text, y in _labelled(batch):
             seen = set()
             for w in set(_WORD.findall(fold(text))):
                 seen.update(w[:k] for k in range(SHORTEST, min(len(w), LONGEST) + 1))
             (toxic if y else clean).update(seen)
-    keys = list(toxic.keys() | clean.keys())
-    yield pd.DataFrame({"entry": keys, "toxic": [toxic[k] for k in keys],
-                        "clean": [clean[k] for k in keys]})
+    yield from _count_batches("entry", toxic, clean)
+
+
+def _labelled(batch):
+    return zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist())
+
+
+def _count_batches(name: str, toxic: Counter, clean: Counter, rows: int = 50_000):
+    keys = sorted(toxic.keys() | clean.keys())
+    for at in range(0, len(keys), rows):
+        some = keys[at:at + rows]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.string()), pa.array([toxic[k] for k in some], pa.int64()),
+             pa.array([clean[k] for k in some], pa.int64())], names=[name, "toxic", "clean"])
 
 
 def choose_entries(rows: list[tuple[str, int, float]]) -> dict[str, float]:
@@ -193,14 +203,14 @@ def train(docs: DataFrame, labels: DataFrame, exceptions: list[str] = ()) -> dic
         odds = (F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0)))
         # Support grows slowly with the labelled rows, so chance words stay out.
         support = max(MIN_SUPPORT, int(0.015 * n1))
-        found = (sample.select("text", "toxic").mapInPandas(_counts, "entry string, toxic long, clean long")
+        found = (sample.select("text", "toxic").mapInArrow(_counts, "entry string, toxic long, clean long")
                  .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
                  .where(F.col("toxic") >= support).withColumn("w", odds)
                  .where(F.col("w") >= MIN_LOG_ODDS)
                  .orderBy(F.desc("w"), "entry").limit(MAX_ENTRIES).collect())
         model["entries"] = choose_entries([(r["entry"], r["toxic"], r["w"]) for r in found])
         model["exceptions"] += _learn_exceptions(sample, model)
-        got = sample.select("text", "toxic").mapInPandas(_featurise(model), "a double, b double, toxic int").toPandas()
+        got = sample.select("text", "toxic").mapInArrow(_featurise(model), "a double, b double, toxic int").toPandas()
         if len(got):
             x = got[["a", "b"]].to_numpy()
             model["coef"] = [float(v) for v in fit_logistic(x, got["toxic"].to_numpy())]
@@ -214,9 +224,9 @@ def _learn_exceptions(sample: DataFrame, model: dict) -> list[str]:
 
     def pairs(batches):
         machine = automaton(entries, [])
-        for pdf in batches:
-            out = Counter()
-            for text, y in zip(pdf["text"], pdf["toxic"]):
+        toxic, clean = Counter(), Counter()
+        for batch in batches:
+            for text, y in _labelled(batch):
                 folded, seen = fold(text), set()
                 for s, e, _ in hits(folded, machine):
                     before = re.search(r"\w+ $", folded[max(0, s - 40):s])
@@ -226,11 +236,10 @@ def _learn_exceptions(sample: DataFrame, model: dict) -> list[str]:
                         seen.add(before[0] + folded[s:end])
                     if after:
                         seen.add(folded[s:e] + after[0])
-                out.update((p, int(y)) for p in seen)
-            yield pd.DataFrame([(p, n if y else 0, 0 if y else n) for (p, y), n in out.items()],
-                               columns=["phrase", "toxic", "clean"])
+                (toxic if y else clean).update(seen)
+        yield from _count_batches("phrase", toxic, clean)
 
-    found = (sample.select("text", "toxic").mapInPandas(pairs, "phrase string, toxic long, clean long")
+    found = (sample.select("text", "toxic").mapInArrow(pairs, "phrase string, toxic long, clean long")
              .groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
              .where((F.col("clean") >= MIN_SUPPORT) & (F.col("toxic") == 0))
              .orderBy("phrase").limit(MAX_ENTRIES).collect())
@@ -240,9 +249,10 @@ def _learn_exceptions(sample: DataFrame, model: dict) -> list[str]:
 def _featurise(model: dict):
     def run(batches):
         machine = automaton(model["entries"], model["exceptions"])
-        for pdf in batches:
-            f = [features(fold(t), machine) for t in pdf["text"]]
-            yield pd.DataFrame({"a": [x[0] for x in f], "b": [x[1] for x in f], "toxic": pdf["toxic"]})
+        for batch in batches:
+            f = [features(fold(t), machine) for t, _ in _labelled(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in f], pa.float64()), pa.array([x[1] for x in f], pa.float64()),
+                                              batch.column("toxic")], names=["a", "b", "toxic"])
     return run
 
 
