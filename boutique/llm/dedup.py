@@ -37,41 +37,52 @@ from pyspark.sql import functions as F
 
 from boutique.llm.common import each_shingle_set, mix64, signed, written
 
-BINS = 256
+BINS = 1024
 BANDS = 32
 BAND_ROWS = 4
 #: Differing bins up to which a pair is confirmed on the full sets: the
 #: expectation at 0.8 (0.2 * 15/16 of the bins) plus 4.5 deviations.
-MAX_DIFFERENT = 78
+MAX_DIFFERENT = 248
 #: Turns of star edges before the remaining pairs are compared.
 TURNS = 3
 #: Rows of one or two longs that may be broadcast (16 MB), after a count; more are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Probes of an empty bin before all filled bins are ranked at once.
+PROBES = 16
 #: Of four bits, one in each position that a sketch word holds 16 times.
 _NIBBLES = 0x1111111111111111
 
 SIGNED_SCHEMA = ("id long, n_shingles long, set_id binary, bands array<long>, sketch array<long>")
 
 
-def _probe_order() -> np.ndarray:
-    """rank[e, j]: place of bin j in the fixed random probing order of bin e."""
+def _probe_order() -> tuple[np.ndarray, np.ndarray]:
+    """rank[e, j]: place of bin j in the fixed random probing order of bin e;
+    and the first bins of each order."""
     e, j = np.meshgrid(np.arange(BINS, dtype=np.uint64), np.arange(BINS, dtype=np.uint64),
                        indexing="ij")
-    return mix64(mix64(e + np.uint64(1)) + j * np.uint64(0x9E3779B97F4A7C15))
+    rank = mix64(mix64(e + np.uint64(1)) + j * np.uint64(0x9E3779B97F4A7C15))
+    return rank, np.argsort(rank, axis=1)[:, :PROBES]
 
 
-def bin_minima(hashes: np.ndarray, order: np.ndarray) -> np.ndarray:
+def bin_minima(hashes: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Smallest hash of each bin of a sorted, non-empty set, empty bins
     densified."""
-    bins = (hashes >> np.uint64(64 - 8)).astype(np.int64)
+    bins = (hashes >> np.uint64(64 - 10)).astype(np.int64)
     first = np.flatnonzero(np.diff(bins, prepend=-1))
     filled = bins[first]
     out = np.zeros(BINS, np.uint64)
     out[filled] = hashes[first]
-    empty = np.ones(BINS, bool)
-    empty[filled] = False
-    if empty.any():
-        donor = filled[np.argmin(order[np.ix_(empty, filled)], axis=1)]
+    full = np.zeros(BINS, bool)
+    full[filled] = True
+    empty = np.flatnonzero(~full)
+    if len(empty):
+        rank, probes = order
+        tried = full[probes[empty]]
+        place = tried.argmax(axis=1)
+        donor = probes[empty, place]
+        far = np.flatnonzero(~tried[np.arange(len(empty)), place])
+        if len(far):
+            donor[far] = filled[np.argmin(rank[np.ix_(empty[far], filled)], axis=1)]
         out[empty] = out[donor]
     return out
 
@@ -95,7 +106,7 @@ def _sign(size: int):
                 minima = bin_minima(s, order)
                 rows = minima[:BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
                 bands.append(signed(mix64((rows * factors).sum(axis=1, dtype=np.uint64) + band_no)))
-                bits = (mix64(minima) & np.uint64(15)).reshape(16, 16)
+                bits = (mix64(minima) & np.uint64(15)).reshape(BINS // 16, 16)
                 sketches.append(signed((bits << shifts).sum(axis=1, dtype=np.uint64)))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -162,7 +173,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _different(x: str, y: str):
-    """Number of differing bins of two sketches (16 words of 16 four-bit values)."""
+    """Number of differing bins of two sketches (words of 16 four-bit values)."""
     def differ(p, q):
         d = p.bitwiseXOR(q)
         d = d.bitwiseOR(F.shiftright(d, 1))
