@@ -85,13 +85,13 @@ def _ranges(docs: DataFrame) -> tuple[list[int], int]:
 def _range_of(cuts: list[int]) -> Column:
     """Number of the range of an id, in two short searches over the cut points."""
     if not cuts:
-        return F.lit(0)
+        return F.when(F.col("doc_id").isNull(), F.lit(1)).otherwise(F.lit(0))
     step = max(1, int(len(cuts) ** 0.5))
     coarse, fine = cuts[step - 1::step], cuts
     lit = lambda xs: F.array(*[F.lit(x).cast("bigint") for x in xs]) if xs else F.array().cast("array<bigint>")
     skipped = F.size(F.filter(lit(coarse), lambda c: c > F.col("doc_id"))) * step
     rest = F.size(F.filter(F.slice(lit(fine), skipped + 1, F.lit(step)), lambda c: c > F.col("doc_id")))
-    return F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(skipped + rest)
+    return F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(skipped + rest)
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
