@@ -60,6 +60,16 @@ def as_vectors(df: DataFrame, vec: str) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col(vec)))
 
 
+class FewRows:
+    """Stands for a fitted model of no row or one row: the row is the center."""
+
+    def __init__(self, centers: list):
+        self._centers = centers
+
+    def clusterCenters(self) -> list:
+        return self._centers
+
+
 def kmeans(df: DataFrame, vec: str, k: int, seed: int, max_iter: int = 20):
     """Fit ``pyspark.ml`` k-means (k-means|| start) on every row.
 
@@ -68,9 +78,12 @@ def kmeans(df: DataFrame, vec: str, k: int, seed: int, max_iter: int = 20):
     the same result as the row solver (same cost, measured) at a fraction
     of the time."""
     data = as_vectors(df, vec).cache()
-    # Spark's k-means needs k ≤ rows; a smaller table gets one center per row.
+    # Spark's k-means needs 2 ≤ k ≤ rows; a smaller table gets one center per row.
     n = data.count()
-    k = max(1, min(k, n))
+    if n < 2:
+        only = FewRows([r[0] for r in data.select(vec).collect()])
+        return only, data.drop("features").withColumn("cluster", F.lit(0))
+    k = max(2, min(k, n))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                    predictionCol="cluster", solver="block").fit(data)
     return model, model.transform(data).drop("features")
@@ -199,6 +212,9 @@ def ward_micro(df: DataFrame, key: str, vec: str, k: int, micro: int, seed: int)
              assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
     centers = np.array(model.clusterCenters())
     used = sorted(sizes)
+    if not used:  # an empty segment
+        table = spark.createDataFrame([], "micro int, ward_cluster int, leaf_pos int")
+        return assigned.select(key, F.col("cluster").alias("micro")).join(table, "micro"), table
     c = centers[used]
     s = np.array([sizes[i] for i in used])
     merges = ward_tree(c, s)
@@ -239,7 +255,7 @@ def sweep(df: DataFrame, key: str, vec: str, ks: list[int], seed: int,
           sample: int, method: str = "kmeans") -> DataFrame:
     """Fit once per k and score each fit (C9, C10): one row per k with
     davies_bouldin_score, silhouette_score, calinski_harabasz_score,
-    n_features and n_noise. A k that fails is reported with null scores.
+    n_features and n_noise. A fit that fails ends the sweep.
 
     ``method="ward"`` fits the micro-clusters and the Ward tree once (for
     the largest k) and cuts that one tree at every k."""
@@ -260,18 +276,15 @@ def sweep(df: DataFrame, key: str, vec: str, ks: list[int], seed: int,
         tree = (used, ward_tree(centers, np.array([sizes[i] for i in used])))
         micro_rows = assigned.select(key, vec, F.col("cluster").alias("micro")).checkpoint(eager=True)
     for k in ks:
-        try:
-            if method == "ward":
-                used, merges = tree
-                labels = cut_tree(len(used), merges, k)
-                table = spark.createDataFrame([(int(u), int(labels[i])) for i, u in enumerate(used)],
-                                              "micro int, cluster int")
-                lab = micro_rows.join(F.broadcast(table), "micro")
-            else:
-                _, lab = kmeans(data, vec, k, seed)
-            out.append(_score_labels(lab, key, vec, dim, k, seed, sample))
-        except Exception:  # a k that cannot be fitted is recorded, not fatal
-            out.append((k, None, None, None, None, None))
+        if method == "ward":
+            used, merges = tree
+            labels = cut_tree(len(used), merges, k)
+            table = spark.createDataFrame([(int(u), int(labels[i])) for i, u in enumerate(used)],
+                                          "micro int, cluster int")
+            lab = micro_rows.join(F.broadcast(table), "micro")
+        else:
+            _, lab = kmeans(data, vec, k, seed)
+        out.append(_score_labels(lab, key, vec, dim, k, seed, sample))
     return spark.createDataFrame(out, SWEEP_SCHEMA)
 
 

@@ -44,7 +44,7 @@ def live_articles(articles: DataFrame, lifespans: DataFrame, cutoff: str) -> Dat
 def unsold_articles(articles: DataFrame, tx: DataFrame) -> DataFrame:
     """Articles with no transaction (F8/J15): an anti join, which — unlike
     SQL ``NOT IN`` — is not emptied by a null id on the other side."""
-    return articles.join(tx.select("article_id"), "article_id", "left_anti")
+    return articles.join(tx.select("article_id").distinct(), "article_id", "left_anti")
 
 
 def with_lifespans(articles: DataFrame, lifespans: DataFrame) -> DataFrame:

@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from boutique import params
 
-INFO_COLS = ["FN", "fashion_news_frequency_Regularly", "club_member_status_LEFT CLUB",
-             "club_member_status_PRE-CREATE", "female", "male", "children"]
-CLUSTER_COLS = ["full_order", "mens_order", "womens_order", "fam_order"]
+INFO_COLS = params.INFO_COLS
+CLUSTER_COLS = params.CLUSTER_COLS
 
 
 def age_category(info: DataFrame, n_cat: int = params.AGE_CATEGORIES) -> DataFrame:
@@ -105,11 +104,12 @@ def gram(x: DataFrame, shares: DataFrame, cols: list[str], group: str | None = N
     return out.filter(F.col("_c") > 0).select(*g, "block", "i", "j", "value")
 
 
-def lasso_gram(G: np.ndarray, C: np.ndarray, n: float, lam: float,
-               tol: float = 1e-8, max_iter: int = 2000) -> np.ndarray:
+def lasso_gram(G: np.ndarray, C: np.ndarray, n: float, lam: float | np.ndarray,
+               tol: float = 1e-8, max_iter: int = 5000) -> np.ndarray:
     """Minimise (1/2n)‖Y − XB‖² + lam Σ_{i≥1} |B_i| (row 0 = unpenalised
     bias) by coordinate descent on the Gram: G = XᵀX, C = XᵀY. All
-    targets are updated together."""
+    targets are updated together; ``lam`` may differ by target. Raises if
+    ``max_iter`` sweeps do not converge."""
     p, f = C.shape
     B = np.zeros((p, f))
     Gn, Cn = G / n, C / n
@@ -131,7 +131,30 @@ def lasso_gram(G: np.ndarray, C: np.ndarray, n: float, lam: float,
                 B[j] = new
                 delta = max(delta, float(np.abs(step).max()))
         if delta < tol:
-            break
+            return B
+    raise RuntimeError(f"no convergence in {max_iter} sweeps: last step {delta:.3g}")
+
+
+def lasso_standardised(G: np.ndarray, C: np.ndarray, n: float, strength: float) -> np.ndarray:
+    """L1 regression on standardised columns, from the Gram of the raw ones.
+
+    Row 0 is the bias. Each target's penalty is ``strength`` times the
+    smallest one that zeroes all its coefficients, max_j |corr(x_j, y)|.
+    Columns that never vary get 0. Coefficients are returned on the raw
+    scale."""
+    mean, y_mean = G[0] / n, C[0] / n
+    sd = np.sqrt(np.maximum(np.diag(G) / n - mean ** 2, 0.0))
+    sd[0] = 0.0
+    live = np.flatnonzero(sd > 1e-12)
+    B = np.zeros(C.shape)
+    if len(live):
+        S = np.eye(1 + len(live))
+        S[1:, 1:] = (G[np.ix_(live, live)] / n - np.outer(mean[live], mean[live])) / np.outer(sd[live], sd[live])
+        T = np.zeros((1 + len(live), C.shape[1]))
+        T[1:] = (C[live] / n - np.outer(mean[live], y_mean)) / sd[live][:, None]
+        lam = strength * np.abs(T[1:]).max(axis=0)
+        B[live] = lasso_gram(S, T, 1.0, lam)[1:] / sd[live][:, None]
+    B[0] = y_mean - mean[live] @ B[live]
     return B
 
 
@@ -162,7 +185,7 @@ def fit_pref_regression(gram_df: DataFrame, p: int, width: int, lam: float = par
         G, C, n = _dense(part, p, width)
         if n <= 0:
             continue
-        B = lasso_gram(G, C, n, lam)
+        B = lasso_standardised(G, C, n, lam)
         nz = np.argwhere(B != 0)
         rows += [((key,) if group else ()) + (int(i), int(f), float(B[i, f])) for i, f in nz]
     schema = ("" if group is None else f"{group} string, ") + "x_idx long, feature_idx long, coef double"
@@ -182,21 +205,19 @@ def coef_matrix(coefs: DataFrame, p: int, width: int, group: str | None = None,
 def predict_prefs(x: DataFrame, B: np.ndarray, cols: list[str],
                   n_age: int = params.AGE_CATEGORIES) -> DataFrame:
     """(customer_id, pred array<double>[width]) with
-    pred = b0 + b_age + Σ_p x_p b_p (first half of M8). The coefficients
-    (bounded by the feature counts) are literals in one row expression, so
-    no join is needed and each customer yields one vector."""
-    width = B.shape[1]
+    pred = b0 + b_age + Σ_p x_p b_p (first half of M8): one matrix product
+    per Arrow batch with the coefficients, whose size the feature counts
+    bound."""
     base = 1 + n_age
-    b0 = F.lit([float(v) for v in B[0]])
-    ages = F.lit([[float(v) for v in B[1 + a]] for a in range(n_age)])
-    bp = [F.lit([float(v) for v in B[base + i]]) for i in range(len(cols))]
-    seq = F.sequence(F.lit(0), F.lit(width - 1))
-    age_row = ages[F.col("age_idx")]
-
-    def at(f):
-        out = b0[f] + age_row[f]
-        for i, c in enumerate(cols):
-            out = out + F.col(f"`{c}`") * bp[i][f]
-        return out
-
-    return x.select("customer_id", F.transform(seq, at).alias("pred"))
+    ages, rest = B[0] + B[1:base], B[base:base + len(cols)]
+
+    def run(batches):
+        for pdf in batches:
+            values = pdf[[f"x{i}" for i in range(len(cols))]].to_numpy(float)
+            pred = ages[pdf["age_idx"].to_numpy(int)] + values @ rest
+            yield pd.DataFrame({"customer_id": pdf["customer_id"], "pred": list(pred)})
+
+    kind = x.schema["customer_id"].dataType.simpleString()
+    narrow = x.select("customer_id", "age_idx", *[F.col(f"`{c}`").cast("double").alias(f"x{i}")
+                                                 for i, c in enumerate(cols)])
+    return narrow.mapInPandas(run, f"customer_id {kind}, pred array<double>")

@@ -74,14 +74,19 @@ KGRID_ALL = (200, 550, 5)
 
 # Model widths.
 PREFERENCE_WIDTH = 620
-L1_STRENGTH = 0.01
+# Share of the smallest penalty that zeroes every coefficient of a target.
+L1_STRENGTH = 0.1
+
+# Model input columns.
+INFO_COLS = ["FN", "fashion_news_frequency_Regularly", "club_member_status_LEFT CLUB",
+             "club_member_status_PRE-CREATE", "female", "male", "children"]
+CLUSTER_COLS = ["full_order", "mens_order", "womens_order", "fam_order"]
 
 # ---------------------------------------------------------------------------
 # Parameters for the driver's test tables (stand-ins for the original dates
 # and group names, chosen to fall inside the generated date range).
 # ---------------------------------------------------------------------------
 
-RECENT_FROM = "2001-01-01"     # start of the window used for shares/prefs
 LIVE_CUTOFF = "2001-04-12"     # live articles: last sale on/after this
 SPLIT_CUTOFF = "2001-06-07"    # train/test split on last sale
 TEST_CUTOFF = "2001-07-10"     # test articles / test purchases from this
@@ -101,8 +106,7 @@ def original_settings() -> None:
     """Switch the date and group parameters to the surveyed values, for runs
     on the original CSV files: every transaction counts towards shares and
     preferences, and the five original product groups merge into Items."""
-    global RECENT_FROM, LIVE_CUTOFF, SPLIT_CUTOFF, TEST_CUTOFF, ITEMS_GROUPS
-    RECENT_FROM = "1900-01-01"
+    global LIVE_CUTOFF, SPLIT_CUTOFF, TEST_CUTOFF, ITEMS_GROUPS
     LIVE_CUTOFF = ORIGINAL_LIVE_CUTOFF
     SPLIT_CUTOFF = ORIGINAL_SPLIT_CUTOFF
     TEST_CUTOFF = ORIGINAL_TEST_CUTOFF

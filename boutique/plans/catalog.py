@@ -97,7 +97,7 @@ def test_articles(spark, d):
 
 @register("unsold_articles", q("""
 SELECT a.* FROM articles a
-WHERE NOT EXISTS (SELECT 1 FROM recent_transactions t WHERE t.article_id = a.article_id)"""))
+WHERE NOT EXISTS (SELECT 1 FROM transactions t WHERE t.article_id = a.article_id)"""))
 def unsold_articles(spark, d):
     return lifespan.unsold_articles(src.articles(spark, d), R.recent(spark, d))
 
@@ -110,10 +110,10 @@ SELECT coalesce(a.article_id, l.article_id) AS article_id, a.product_code, a.pro
 FROM articles a FULL OUTER JOIN
      (SELECT article_id, min(t_dat) AS First_Date, max(t_dat) AS Last_Date,
              CAST(date_diff('day', min(t_dat), max(t_dat)) AS BIGINT) AS duration
-      FROM recent_transactions GROUP BY article_id) l
+      FROM transactions GROUP BY article_id) l
 ON a.article_id = l.article_id"""))
 def articles_lifespan_full(spark, d):
-    # Lifespans over the recent window, so unsold articles give null dates.
+    # Lifespans over the whole history, so unsold articles give null dates.
     return lifespan.with_lifespans(src.articles(spark, d), lifespan.lifespan(R.recent(spark, d)))
 
 
@@ -262,7 +262,7 @@ SELECT t.article_id, t.customer_id,
        i.FN, i.age, i."fashion_news_frequency_Regularly", i."club_member_status_LEFT CLUB",
        i."club_member_status_PRE-CREATE", i.female, i.male, i.children,
        a.product_code, l.feature_idx
-FROM recent_transactions t
+FROM transactions t
 LEFT JOIN cx_info i ON t.customer_id = i.customer_id
 LEFT JOIN articles a ON t.article_id = a.article_id
 LEFT JOIN art_long l ON t.article_id = l.article_id"""))

@@ -300,7 +300,7 @@ def pref_regression_by_segment(spark, d):
 def train_segment(spark, d, segment: str):
     """Per-segment fit for one gender segment (M7); other labels raise."""
     if segment not in ("male", "female"):
-        raise ValueError("try again")
+        raise ValueError(f"no model for segment {segment!r}: male and female only")
     coefs = _fit(spark, d, "segment")[0]
     return coefs.filter(F.col("segment") == segment)
 
@@ -357,7 +357,7 @@ def topk_articles(spark, d):
 
 
 _TRAIN_SQL = f""",
-purch_tr AS (SELECT customer_id, article_id, count(*) AS n FROM recent_transactions
+purch_tr AS (SELECT customer_id, article_id, count(*) AS n FROM transactions
              WHERE t_dat < DATE '{P.TEST_CUTOFF}' GROUP BY 1, 2),
 pc_tr AS (SELECT p.customer_id, a.feature_idx, sum(p.n) AS n
           FROM purch_tr p JOIN art_long a ON p.article_id = a.article_id GROUP BY 1, 2),

@@ -36,7 +36,6 @@ def base_ctes() -> str:
     p = params
     ctes = [f"{name} AS ({sql}\n)" for name, sql in ADAPTER_SQL.items()]
     ctes += [
-        f"recent_transactions AS (SELECT * FROM transactions WHERE t_dat >= DATE '{p.RECENT_FROM}')",
         "embeds AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings)",
         f"""arts AS (SELECT * REPLACE (CASE WHEN product_group_name IN ({_sql_list(p.ITEMS_GROUPS)})
             THEN '{p.ITEMS_LABEL}' ELSE product_group_name END AS product_group_name) FROM articles)""",
@@ -66,7 +65,7 @@ def base_ctes() -> str:
             {_flag(p.FEMALE_INDEX_GROUPS, p.FEMALE_SECTION)} AS female,
             {_flag(p.MALE_INDEX_GROUPS, p.MALE_SECTION)} AS male,
             {_flag(p.CHILDREN_INDEX_GROUPS, p.CHILDREN_SECTION)} AS children FROM articles)""",
-        """purch AS (SELECT customer_id, article_id, count(*) AS n FROM recent_transactions GROUP BY 1, 2)""",
+        """purch AS (SELECT customer_id, article_id, count(*) AS n FROM transactions GROUP BY 1, 2)""",
         """gsum AS (SELECT p.customer_id,
             CAST(coalesce(sum(f.female * p.n), 0) AS BIGINT) AS female,
             CAST(coalesce(sum(f.male * p.n), 0) AS BIGINT) AS male,

@@ -71,7 +71,8 @@ def feature_width(spark: SparkSession, d: str) -> int:
 
 
 def recent(spark: SparkSession, d: str) -> DataFrame:
-    return src.recent_transactions(spark, d, params.RECENT_FROM)
+    """Every transaction line counts towards shares and preferences."""
+    return src.transactions(spark, d)
 
 
 def lifespans(spark: SparkSession, d: str) -> DataFrame:

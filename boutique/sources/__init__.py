@@ -1,6 +1,6 @@
 from boutique.sources.tables import (ADAPTER_SQL, articles, customers,
-                                     embeddings, read_table, recent_transactions,
+                                     embeddings, read_table,
                                      transactions)
 
 __all__ = ["ADAPTER_SQL", "articles", "customers", "embeddings",
-           "read_table", "recent_transactions", "transactions"]
+           "read_table", "transactions"]

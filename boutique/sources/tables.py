@@ -155,10 +155,6 @@ def transactions(spark: SparkSession, sf_dir: str, since: str | None = None) ->
     )
 
 
-def recent_transactions(spark: SparkSession, sf_dir: str, since: str) -> DataFrame:
-    return transactions(spark, sf_dir, since=since)
-
-
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(vec_id, embedding array<double>, label) — the given labelled points."""
     e = read_table(spark, sf_dir, "embeddings")
