@@ -1,7 +1,7 @@
 """Clustering.
 
-k-means runs on Spark (``pyspark.ml`` or the fixed-start Lloyd steps
-below). The agglomerative (Ward) tree of the surveyed code is quadratic in
+k-means is Lloyd's steps over Spark partitions from fixed start rows, with
+exact sums. The agglomerative (Ward) tree of the surveyed code is quadratic in
 rows, so it is re-aimed: Spark k-means cuts the rows into m micro-clusters,
 the m weighted centroids (m bounded by a parameter, not by the data) are
 merged with Ward's criterion, and the micro → cluster map is joined back.
@@ -10,8 +10,7 @@ merged with Ward's criterion, and the micro → cluster map is joined back.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,37 +55,80 @@ def lloyd(points: DataFrame, key: str, vec: str, k: int, steps: int) -> DataFram
     return assign_nearest(pts, vec, centers).select(key, "cluster")
 
 
-def as_vectors(df: DataFrame, vec: str) -> DataFrame:
-    return df.withColumn("features", array_to_vector(F.col(vec)))
+#: Vector entries are summed as whole multiples of this, so that a centre does
+#: not depend on the order of rows or the number of partitions.
+UNIT = 2.0 ** -40
 
 
-class FewRows:
-    """Stands for a fitted model of no row or one row: the row is the center."""
+def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Nearest centre of each row, ties (to nine digits) to the lowest index."""
+    d2 = (x * x).sum(axis=1)[:, None] + (centers * centers).sum(axis=1)[None, :] - 2.0 * (x @ centers.T)
+    return np.round(d2, 9).argmin(axis=1)
 
-    def __init__(self, centers: list):
-        self._centers = centers
 
-    def clusterCenters(self) -> list:
-        return self._centers
+def _partial_sums(vec: str, centers: np.ndarray):
+    """One task's sums: (cluster, dim, s) with dim -1 for the row count."""
+    def run(batches):
+        k, dim = centers.shape
+        sums, sizes = np.zeros((k, dim), np.int64), np.zeros(k, np.int64)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.vstack(pdf[vec].to_numpy()).astype(float)
+            label = _nearest(x, centers)
+            np.add.at(sums, label, np.rint(x / UNIT).astype(np.int64))
+            sizes += np.bincount(label, minlength=k)
+        c, i = np.nonzero(sums)
+        used = np.flatnonzero(sizes)
+        yield pd.DataFrame({"cluster": np.concatenate((used, c)), "dim": np.concatenate((np.full(len(used), -1), i)),
+                            "s": np.concatenate((sizes[used], sums[c, i]))})
+    return run
 
 
-def kmeans(df: DataFrame, vec: str, k: int, seed: int, max_iter: int = 20):
-    """Fit ``pyspark.ml`` k-means (k-means|| start) on every row.
+def assign(points: DataFrame, key: str, vec: str, centers: np.ndarray) -> DataFrame:
+    """(key, vec, cluster): the nearest centre of each row."""
+    kinds = dict(points.dtypes)
 
-    The preference vectors are dense, so the block solver is used: rows are
-    stacked into matrices and distances computed with level-3 BLAS, with
-    the same result as the row solver (same cost, measured) at a fraction
-    of the time."""
-    data = as_vectors(df, vec).cache()
-    # Spark's k-means needs 2 ≤ k ≤ rows; a smaller table gets one center per row.
-    n = data.count()
-    if n < 2:
-        only = FewRows([r[0] for r in data.select(vec).collect()])
-        return only, data.drop("features").withColumn("cluster", F.lit(0))
-    k = max(2, min(k, n))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
-                   predictionCol="cluster", solver="block").fit(data)
-    return model, model.transform(data).drop("features")
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                x = np.vstack(pdf[vec].to_numpy()).astype(float)
+                yield pdf.assign(cluster=_nearest(x, centers).astype(np.int32))
+
+    return points.select(key, vec).mapInPandas(run, f"`{key}` {kinds[key]}, `{vec}` {kinds[vec]}, cluster int")
+
+
+def kmeans(df: DataFrame, key: str, vec: str, k: int, seed: int,
+           max_iter: int = 1000) -> tuple[np.ndarray, DataFrame]:
+    """k-means on every row (C1): (centres, rows with their cluster).
+
+    Starts from the k rows with the smallest seeded key hashes and repeats
+    Lloyd steps until no sum changes; the result is the same for any layout
+    of the rows. A step is one pass and one aggregate; the driver gets k
+    centres. A centre without rows stays. Asking for more clusters than rows
+    raises, and so do ``max_iter`` steps without an end."""
+    data = df.select(key, vec).checkpoint(eager=True)
+    start = quality.sample_points(data, key, k, seed).collect()
+    if len(start) < k:
+        raise ValueError(f"{k} clusters of {len(start)} rows")
+    if not start:
+        return np.zeros((0, 0)), data.withColumn("cluster", F.lit(0))
+    centers = np.array([r[vec] for r in start], dtype=float)
+    before = None
+    for _ in range(max_iter):
+        part = data.select(vec).mapInPandas(_partial_sums(vec, centers), "cluster int, dim int, s long")
+        rows = part.groupBy("cluster", "dim").agg(F.sum(F.col("s").cast("decimal(38,0)")).alias("s")).collect()
+        now = {(r["cluster"], r["dim"]): int(r["s"]) for r in rows}
+        if now == before:
+            return centers, assign(data, key, vec, centers)
+        before = now
+        used = sorted(c for c, i in now if i == -1)
+        centers = centers.copy()
+        centers[used] = 0.0
+        for (c, i), total in now.items():
+            if i >= 0:
+                centers[c, i] = total / now[(c, -1)] * UNIT
+    raise RuntimeError(f"no convergence in {max_iter} steps")
 
 
 # ------------------------------------------------------------------ Ward merge
@@ -205,19 +247,17 @@ def leaf_order(m: int, merges) -> np.ndarray:
 
 def ward_micro(df: DataFrame, key: str, vec: str, k: int, micro: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """Agglomerative (Ward) clustering to k clusters via m micro-clusters
-    (C4). Returns (rows: key, micro, cluster, leaf_pos; micro table)."""
+    (C4), one for each row if there are fewer rows. Returns (rows: key,
+    micro, cluster, leaf_pos; micro table)."""
     spark = df.sparkSession
-    model, assigned = kmeans(df, vec, max(micro, k), seed)
+    centers, assigned = kmeans(df, key, vec, min(max(micro, k), df.count()), seed)
     sizes = {int(r["cluster"]): int(r["n"]) for r in
              assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
-    centers = np.array(model.clusterCenters())
     used = sorted(sizes)
     if not used:  # an empty segment
         table = spark.createDataFrame([], "micro int, ward_cluster int, leaf_pos int")
         return assigned.select(key, F.col("cluster").alias("micro")).join(table, "micro"), table
-    c = centers[used]
-    s = np.array([sizes[i] for i in used])
-    merges = ward_tree(c, s)
+    merges = ward_tree(centers[used], np.array([sizes[i] for i in used]))
     labels = cut_tree(len(used), merges, k)
     pos = leaf_order(len(used), merges)
     table = spark.createDataFrame(
@@ -234,14 +274,13 @@ def leaf_rank(rows: DataFrame, key: str, out: str = "order") -> DataFrame:
     return dense_codes(rows.select("leaf_pos", key), ["leaf_pos", key], out).select(key, out)
 
 
-def _score_labels(lab: DataFrame, key: str, vec: str, dim: int, k: int, seed: int,
-                  sample: int) -> tuple:
+def _score_labels(lab: DataFrame, key: str, vec: str, dim: int, k: int) -> tuple:
     lab = lab.select(key, vec, "cluster").cache()
     st = quality.cluster_stats(lab, vec, "cluster", dim).cache()
     db = quality.davies_bouldin_from_stats(st, "cluster").first()[0]
     ch = quality.calinski_from_stats(st, lab, vec, dim).first()[0]
     st.unpersist()
-    si = quality.silhouette(lab, key, vec, "cluster", sample, seed).first()[0]
+    si = quality.silhouette(lab, key, vec, "cluster").first()[0]
     nz = quality.noise_count(lab, "cluster").first()
     lab.unpersist()
     return (k, db, si, ch, nz["n_features"], nz["n_noise"])
@@ -253,38 +292,37 @@ SWEEP_SCHEMA = ("k int, davies_bouldin_score double, silhouette_score double, "
 
 def sweep(df: DataFrame, key: str, vec: str, ks: list[int], seed: int,
           sample: int, method: str = "kmeans") -> DataFrame:
-    """Fit once per k and score each fit (C9, C10): one row per k with
-    davies_bouldin_score, silhouette_score, calinski_harabasz_score,
-    n_features and n_noise. A fit that fails ends the sweep.
+    """Take one repeatable sample (F9), fit it once per k and score each fit
+    on the same rows (C9, C10): one row per k with davies_bouldin_score,
+    silhouette_score, calinski_harabasz_score, n_features and n_noise. Values
+    of k above the number of rows have no fit and no row.
 
     ``method="ward"`` fits the micro-clusters and the Ward tree once (for
     the largest k) and cuts that one tree at every k."""
     spark = df.sparkSession
     # Many small jobs follow; cut the lineage once (reliable checkpoint in
     # spark.checkpoint.dir) so each plans against a shallow table.
-    data = df.select(key, vec).checkpoint(eager=True)
+    data = quality.sample_points(df.select(key, vec), key, sample, seed).checkpoint(eager=True)
+    n = data.count()
+    ks = [k for k in ks if k <= n]
     dim = quality.vector_dim(data, vec)
     out = []
-    tree = None
-    if method == "ward":
-        micro = max(4 * max(ks), 64)
-        model, assigned = kmeans(data, vec, micro, seed)
+    if method == "ward" and ks:
+        centers, assigned = kmeans(data, key, vec, min(max(4 * max(ks), 64), n), seed)
         sizes = {int(r["cluster"]): int(r["n"]) for r in
                  assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
         used = sorted(sizes)
-        centers = np.array(model.clusterCenters())[used]
-        tree = (used, ward_tree(centers, np.array([sizes[i] for i in used])))
+        merges = ward_tree(centers[used], np.array([sizes[i] for i in used]))
         micro_rows = assigned.select(key, vec, F.col("cluster").alias("micro")).checkpoint(eager=True)
     for k in ks:
         if method == "ward":
-            used, merges = tree
             labels = cut_tree(len(used), merges, k)
             table = spark.createDataFrame([(int(u), int(labels[i])) for i, u in enumerate(used)],
                                           "micro int, cluster int")
             lab = micro_rows.join(F.broadcast(table), "micro")
         else:
-            _, lab = kmeans(data, vec, k, seed)
-        out.append(_score_labels(lab, key, vec, dim, k, seed, sample))
+            _, lab = kmeans(data, key, vec, k, seed)
+        out.append(_score_labels(lab, key, vec, dim, k))
     return spark.createDataFrame(out, SWEEP_SCHEMA)
 
 

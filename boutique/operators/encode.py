@@ -5,8 +5,8 @@ One-hot contract: categories are the sorted non-null values of an
 attribute (numbers sort as numbers, text as text); the first is dropped; a
 null encodes as all zeros. Instead of one column per value, an article is a
 handful of ``(article_id, feature_idx)`` rows, so 620 features or one
-column per article never reach the plan; wide frames are produced only at
-the sink with an explicit value list.
+column per article never reach the plan; a wide row is a pair of index and
+value arrays, whatever the width.
 """
 
 from __future__ import annotations
@@ -20,10 +20,6 @@ from boutique.operators.bounded import bounded_broadcast
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
-# A category list is collected to the driver only to name wide columns;
-# beyond this many values the wide form is refused (stay long).
-MAX_WIDE_VALUES = 10_000
-
 
 def _long_values(df: DataFrame, key: str | None, attributes: list[str]) -> DataFrame:
     """Unpivot attributes to (key, attribute, attr_pos, value, value_num)."""
@@ -98,13 +94,12 @@ def onehot_long(df: DataFrame, key: str, attributes: list[str],
 
 def categories(df: DataFrame, attributes: list[str]) -> dict[str, list]:
     """Sorted distinct non-null values of several low-cardinality
-    attributes in one job (numbers sorted as numbers), each list bounded by
-    MAX_WIDE_VALUES."""
-    rows = (_long_values(df, None, attributes).filter(F.col("value").isNotNull())
-            .select("attribute", "value", "value_num").distinct()
-            .limit(len(attributes) * MAX_WIDE_VALUES + 1).collect())
-    if len(rows) > len(attributes) * MAX_WIDE_VALUES:
-        raise ValueError("too many category values; stay long")
+    attributes in one job (numbers sorted as numbers). The distinct raw
+    values are counted down before they are unpivoted; the driver gets one
+    row per value, each of which names a column."""
+    rows = (_long_values(df.select(*attributes).distinct(), None, attributes)
+            .filter(F.col("value").isNotNull())
+            .select("attribute", "value", "value_num").distinct().collect())
     types = dict(df.dtypes)
     out: dict[str, list] = {a: [] for a in attributes}
     for r in rows:
@@ -114,8 +109,6 @@ def categories(df: DataFrame, attributes: list[str]) -> dict[str, list]:
         integral = types[a] in ("tinyint", "smallint", "int", "bigint")
         out[a] = [int(r["value_num"]) if integral else
                   (r["value_num"] if r["value_num"] is not None else r["value"]) for r in vals]
-        if len(out[a]) > MAX_WIDE_VALUES:
-            raise ValueError(f"{a} has more than {MAX_WIDE_VALUES} values; stay long")
     return out
 
 
@@ -134,16 +127,13 @@ def onehot_columns(df: DataFrame, attributes: list[str], drop_first: bool = True
     return df.select(*keep, *new_cols)
 
 
-def wide_from_long(long: DataFrame, key: str, pivot_col: str, value_col: str,
-                   values: list) -> DataFrame:
-    """Pivot long rows to one column per value, missing cells 0 (E5).
-
-    The value list is explicit, so Spark does not run a distinct job and
-    the width is fixed by the dictionary."""
-    if len(values) > MAX_WIDE_VALUES:
-        raise ValueError("too many values for a wide frame; stay long")
-    wide = long.groupBy(key).pivot(pivot_col, values).agg(F.first(value_col))
-    return wide.na.fill(0, subset=[str(v) for v in values])
+def wide_from_long(long: DataFrame, key: str, index_col: str, value_col: str) -> DataFrame:
+    """One wide row per key (E5) in a fixed schema: the sorted indices of its
+    non-zero cells and their values. Every other cell is 0. An array holds at
+    most one entry per column of the wide frame."""
+    cells = F.sort_array(F.collect_list(F.struct(F.col(index_col).alias("i"), F.col(value_col).alias("v"))))
+    return long.groupBy(key).agg(cells.alias("c")).select(
+        key, F.col("c.i").alias("idx"), F.col("c.v").alias("val"))
 
 
 def dense_codes(df: DataFrame, keys: list[str], code_col: str = "code",

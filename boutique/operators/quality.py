@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boutique.functions.clean import distance, squared_distance
@@ -55,16 +55,24 @@ def cluster_stats(points: DataFrame, vec: str, label: str, dim: int | None = Non
 
 
 def davies_bouldin_from_stats(st: DataFrame, label: str) -> DataFrame:
-    """Davies–Bouldin from the k-row cluster table of :func:`cluster_stats`."""
-    allc = st.withColumn("_all", F.collect_list(F.struct(
-        F.col(label).alias("l"), F.col("centroid").alias("c"), F.col("spread").alias("s")))
-        .over(Window.partitionBy()))
-    ratio = F.aggregate(
-        F.filter("_all", lambda o: o["l"] != F.col(label)), F.lit(0.0),
-        lambda acc, o: F.greatest(acc, F.coalesce(F.try_divide(
-            F.col("spread") + o["s"], F.nullif(distance("centroid", o["c"]), F.lit(0.0))),
-            F.lit(0.0))))
-    return allc.select(ratio.alias("r")).agg(F.round(F.avg("r"), 6).alias("davies_bouldin_score"))
+    """Davies–Bouldin from the k-row cluster table of :func:`cluster_stats`:
+    executors compare their clusters with all k (one matrix row at a time)."""
+    rows = st.select(label, "centroid", "spread").collect()
+    labels = np.array([r[label] for r in rows])
+    centres = np.array([r["centroid"] for r in rows], dtype=float)
+    spreads = np.array([r["spread"] for r in rows], dtype=float)
+
+    def worst(batches):
+        for pdf in batches:
+            out = []
+            for one, c, s in zip(pdf["l"], pdf["c"], pdf["s"]):
+                far = np.sqrt(((centres - np.asarray(c)) ** 2).sum(axis=1))
+                ratio = np.divide(s + spreads, far, out=np.zeros(len(far)), where=(far > 0) & (labels != one))
+                out.append(ratio.max())
+            yield pd.DataFrame({"r": out})
+
+    per = st.select(F.col(label).alias("l"), F.col("centroid").alias("c"), F.col("spread").alias("s"))
+    return per.mapInPandas(worst, "r double").agg(F.round(F.avg("r"), 6).alias("davies_bouldin_score"))
 
 
 def davies_bouldin(points: DataFrame, vec: str = "embedding", label: str = "label",
@@ -95,12 +103,8 @@ def calinski_harabasz(points: DataFrame, vec: str = "embedding", label: str = "l
 
 
 def label_counts(points: DataFrame, label: str = "label") -> DataFrame:
-    """Cluster sizes in descending order with a rank (A11, W5); the ranked
-    table has one row per label."""
-    c = points.filter(F.col(label).isNotNull()).groupBy(label).agg(
-        F.count(F.lit(1)).alias("n"))
-    return c.withColumn("rank", F.row_number().over(
-        Window.orderBy(F.desc("n"), F.col(label))).cast("bigint"))
+    """Rows of each label (A11, W5); ``orderBy`` the count shows the largest first."""
+    return points.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
 def noise_count(points: DataFrame, label: str = "label") -> DataFrame:
@@ -113,68 +117,63 @@ def noise_count(points: DataFrame, label: str = "label") -> DataFrame:
 
 def sample_points(points: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """A repeatable sample of exactly min(n, N) rows (F9): the n smallest
-    rows by a seeded hash of the key. Spark keeps the n best per partition
+    rows by the MD5 of seed and key. Spark keeps the n best per partition
     and merges those, so no task sees more than n × partitions rows."""
-    h = F.xxhash64(F.lit(seed), F.col(key))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     return points.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 
-def _silhouette_rows(x: np.ndarray, lab: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Per-row silhouette of ``rows`` against all points (Euclidean)."""
-    uniq, inv = np.unique(lab, return_inverse=True)
-    k = len(uniq)
-    sizes = np.bincount(inv, minlength=k).astype(float)
-    onehot = np.zeros((len(lab), k))
-    onehot[np.arange(len(lab)), inv] = 1.0
-    sq = (x * x).sum(axis=1)
-    out = np.empty(len(rows))
-    for s in range(0, len(rows), 512):
-        r = rows[s:s + 512]
-        d2 = sq[r, None] + sq[None, :] - 2.0 * (x[r] @ x.T)
-        d = np.sqrt(np.maximum(d2, 0.0))
-        d[np.arange(len(r)), r] = 0.0
-        sums = d @ onehot
-        own = inv[r]
-        own_n = sizes[own]
-        a = np.where(own_n > 1, sums[np.arange(len(r)), own] / np.maximum(own_n - 1, 1), 0.0)
-        means = sums / sizes[None, :]
-        means[np.arange(len(r)), own] = np.inf
-        b = means.min(axis=1) if k > 1 else np.zeros(len(r))
-        denom = np.maximum(a, b)
-        sil = np.where((own_n > 1) & (denom > 0), (b - a) / np.where(denom > 0, denom, 1.0), 0.0)
-        out[s:s + 512] = sil
-    return out
+#: Rows of a block of :func:`silhouette`: two blocks and their distances fit a task.
+SILHOUETTE_BLOCK = 2048
+
+
+def _block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """(k, label, other, s): each left row's summed distance to the right
+    rows of every label."""
+    if left.empty or right.empty:
+        return pd.DataFrame({"k": [], "label": [], "other": [], "s": []})
+    x = np.vstack(left["v"].to_numpy()).astype(float)
+    y = np.vstack(right["v2"].to_numpy()).astype(float)
+    d2 = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2.0 * (x @ y.T)
+    dist = np.sqrt(np.maximum(d2, 0.0))
+    dist[left["k"].to_numpy()[:, None] == right["k2"].to_numpy()[None, :]] = 0.0
+    others, inverse = np.unique(right["label2"].to_numpy(), return_inverse=True)
+    onehot = np.zeros((len(y), len(others)))
+    onehot[np.arange(len(y)), inverse] = 1.0
+    return pd.DataFrame({"k": np.repeat(left["k"].to_numpy(), len(others)),
+                         "label": np.repeat(left["label"].to_numpy(), len(others)),
+                         "other": np.tile(others, len(x)), "s": (dist @ onehot).reshape(-1)})
 
 
 def silhouette(points: DataFrame, key: str, vec: str = "embedding", label: str = "label",
-               sample: int = 20000, seed: int = 42, partitions: int | None = None) -> DataFrame:
-    """Exact Euclidean silhouette on a repeatable sample of at most
-    ``sample`` rows (the whole table when smaller), as the surveyed code
-    scores each sweep on its 20 000-row training sample.
-
-    The sample is bounded by ``sample`` and broadcast; the quadratic work is
-    split into row blocks that executors process against it, and only one
-    number per row comes back through Spark's aggregate.
-    """
-    spark = points.sparkSession
-    smp = sample_points(points.select(key, vec, label), key, sample, seed)
-    pdf = smp.toPandas()
-    if len(pdf) == 0:
-        return spark.range(1).select(F.lit(None).cast("double").alias("silhouette_score"))
-    x = np.vstack(pdf[vec].map(lambda v: np.asarray(v, dtype=float)).to_numpy())
-    lab = pdf[label].to_numpy()
-    bx = spark.sparkContext.broadcast((x, lab))
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    idx = spark.range(0, len(pdf), numPartitions=max(1, min(parts, len(pdf))))
-
-    def score(batches):
-        xx, ll = bx.value
-        for b in batches:
-            rows = b["id"].to_numpy()
-            yield pd.DataFrame({"s": _silhouette_rows(xx, ll, rows)})
-
-    per_row = idx.mapInPandas(score, "s double")
-    return per_row.agg(F.round(F.avg("s"), 6).alias("silhouette_score"))
+               block: int = SILHOUETTE_BLOCK) -> DataFrame:
+    """Exact Euclidean silhouette over every row.
+
+    The score needs each row's mean distance to every cluster, which is
+    quadratic work. Rows are cut into blocks by a hash of the key; executors
+    take one pair of blocks at a time and emit one partial sum per (row,
+    label), never a pair of rows. Keys are distinct; rows without a label
+    have no score."""
+    n = points.count()
+    blocks = max(1, -(-n // block))
+    pts = points.where(F.col(label).isNotNull()).select(
+        F.col(key).alias("k"), F.col(label).alias("label"), F.col(vec).alias("v"),
+        F.pmod(F.xxhash64(key), F.lit(blocks)).alias("b"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    left = pts.select("k", "label", "v", "b", every.alias("c"))
+    right = pts.select(*[F.col(c).alias(f"{c}2") for c in ("k", "label", "v")], F.col("b").alias("c2"),
+                       every.alias("b2"))
+    kind = dict(pts.dtypes)
+    part = left.groupBy("b", "c").cogroup(right.groupBy("b2", "c2")).applyInPandas(
+        _block_sums, f"k {kind['k']}, label {kind['label']}, other {kind['label']}, s double")
+    sizes = pts.groupBy(F.col("label").alias("other")).agg(F.count("*").alias("n"))
+    per = part.groupBy("k", "label", "other").agg(F.sum("s").alias("s")).join(sizes, "other")
+    own = F.col("label") == F.col("other")
+    ab = per.groupBy("k").agg(F.max(F.when(own, F.try_divide(F.col("s"), F.col("n") - 1))).alias("a"),
+                              F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"))
+    score = F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return ab.agg(F.round(F.avg(score), 6).alias("silhouette_score"))
 
 
 def silhouette_squared(points: DataFrame, vec: str = "embedding", label: str = "label",

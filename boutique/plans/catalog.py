@@ -174,27 +174,16 @@ def article_onehot_long(spark, d):
     return R.art_long(spark, d)
 
 
-def _feature_names(spark, d) -> list[str]:
-    rows = (encode.kept_features(R.dictionary(spark, d)).select("feature", "feature_idx")
-            .orderBy("feature_idx").limit(encode.MAX_WIDE_VALUES + 1).collect())
-    return [r["feature"] for r in rows]
-
-
-def _wide_sql(table: str, key: str, value: str) -> str:
-    """DuckDB pivot over every kept feature of the dictionary (so absent
-    features still get a column of zeros)."""
+def _wide_sql(table: str, key: str, index: str, value: str) -> str:
     return q(f"""
-SELECT * EXCLUDE (_keep) FROM (
-  PIVOT (SELECT {key}, feature, {value} AS v, 1 AS _keep FROM {table}
-         UNION ALL SELECT NULL, feature, NULL, NULL FROM dictionary WHERE feature_idx IS NOT NULL)
-  ON feature USING coalesce(max(v), 0) GROUP BY {key}, _keep)
-WHERE _keep = 1""")
+SELECT {key}, list({index} ORDER BY {index}) AS idx, list({value} ORDER BY {index}) AS val
+FROM {table} GROUP BY {key}""")
 
 
-@register("article_onehot_wide", _wide_sql("art_long", "article_id", "1"))
+@register("article_onehot_wide", _wide_sql("art_long", "article_id", "feature_idx", "1"))
 def article_onehot_wide(spark, d):
     long = R.art_long(spark, d).withColumn("one", F.lit(1))
-    return encode.wide_from_long(long, "article_id", "feature", "one", _feature_names(spark, d))
+    return encode.wide_from_long(long, "article_id", "feature_idx", "one")
 
 
 @register("customer_codes", q("""
@@ -287,13 +276,9 @@ def pref_int(spark, d):
     return prefs.pref_int(R.shares(spark, d))
 
 
-@register("pref_wide", _wide_sql(
-    "(SELECT s.customer_id, k.feature, s.share FROM pshares s JOIN dictionary k ON s.feature_idx = k.feature_idx)",
-    "customer_id", "share"))
+@register("pref_wide", _wide_sql("pshares", "customer_id", "feature_idx", "share"))
 def pref_wide(spark, d):
-    dic = encode.kept_features(R.dictionary(spark, d)).select("feature_idx", "feature")
-    long = R.shares(spark, d).join(dic, "feature_idx")
-    return encode.wide_from_long(long, "customer_id", "feature", "share", _feature_names(spark, d))
+    return encode.wide_from_long(R.shares(spark, d), "customer_id", "feature_idx", "share")
 
 
 @register("article_pref_counts", q("""

@@ -3,6 +3,8 @@ and evaluation."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from boutique import params
@@ -76,8 +78,7 @@ FROM embeds e LEFT JOIN ab ON e.vec_id = ab.vec_id""")
 @register("quality_silhouette", _silhouette_sql("list_distance(a.embedding, b.embedding)",
                                                 "silhouette_score"))
 def quality_silhouette(spark, d):
-    return quality.silhouette(src.embeddings(spark, d), "vec_id", "embedding", "label",
-                              sample=P.CLUSTER_SAMPLE, seed=P.SEED)
+    return quality.silhouette(src.embeddings(spark, d), "vec_id", "embedding", "label")
 
 
 @register("quality_silhouette_squared", _silhouette_sql(SQ.format(a="a.embedding", b="b.embedding"),
@@ -87,9 +88,7 @@ def quality_silhouette_squared(spark, d):
 
 
 @register("label_counts", q("""
-SELECT label, count(*) AS n,
-       CAST(row_number() OVER (ORDER BY count(*) DESC, label) AS BIGINT) AS rank
-FROM embeds WHERE label IS NOT NULL GROUP BY label"""))
+SELECT label, count(*) AS n FROM embeds WHERE label IS NOT NULL GROUP BY label"""))
 def label_counts(spark, d):
     return quality.label_counts(src.embeddings(spark, d), "label")
 
@@ -154,17 +153,46 @@ def _pref_vectors(spark, d):
     return prefs.pref_vectors(R.shares(spark, d), width), width
 
 
-@register("sample_fixed")
+@register("sample_fixed", q(f"""
+SELECT customer_id FROM (SELECT DISTINCT customer_id FROM pshares)
+ORDER BY md5('{P.SEED}:' || customer_id), customer_id LIMIT {P.CLUSTER_SAMPLE}"""))
 def sample_fixed(spark, d):
+    """The sample of one sweep: its size is the feature."""
+    customers = R.shares(spark, d).select("customer_id").distinct()
+    return quality.sample_points(customers, "customer_id", P.CLUSTER_SAMPLE, P.SEED)
+
+
+def _kmeans_all(spark, d):
+    """The final fit; a table with fewer rows has one cluster for each."""
     vecs, _ = _pref_vectors(spark, d)
-    return quality.sample_points(vecs.select("customer_id"), "customer_id", P.CLUSTER_SAMPLE, P.SEED)
+    return cluster.kmeans(vecs, "customer_id", "prefs", min(KMEANS_K_ALL, vecs.count()), P.SEED)
 
 
 @register("kmeans_fit")
 def kmeans_fit(spark, d):
-    vecs, _ = _pref_vectors(spark, d)
-    _, assigned = cluster.kmeans(vecs, "prefs", KMEANS_K_ALL, P.SEED)
-    return assigned.select("customer_id", "cluster")
+    return _kmeans_all(spark, d)[1].select("customer_id", "cluster")
+
+
+@register("kmeans_conditions", q("""
+SELECT customer_id, true AS nearest FROM (SELECT DISTINCT customer_id FROM pshares)"""))
+def kmeans_conditions(spark, d):
+    """Whether each row's own cluster mean, averaged anew from its rows, is
+    the closest of all cluster means."""
+    _, rows = _kmeans_all(spark, d)
+    rows = rows.checkpoint(eager=True)
+    means = quality.centroids(rows, "prefs", "cluster", 0).collect()
+    labels, mat = np.array([r["cluster"] for r in means]), np.array([r["centroid"] for r in means])
+
+    def check(batches):
+        for pdf in batches:
+            if len(pdf):
+                x = np.vstack(pdf["prefs"].to_numpy())
+                far = ((x * x).sum(axis=1)[:, None] + (mat * mat).sum(axis=1)[None, :] - 2 * x @ mat.T)
+                own = far[labels[None, :] == pdf["cluster"].to_numpy()[:, None]]
+                yield pd.DataFrame({"customer_id": pdf["customer_id"], "nearest": own <= far.min(axis=1) + 1e-8})
+
+    kind = dict(rows.dtypes)["customer_id"]
+    return rows.mapInPandas(check, f"customer_id {kind}, nearest boolean")
 
 
 def _segment_vectors(spark, d, segment: str | None):
@@ -486,29 +514,21 @@ def eval_auc(spark, d):
 
 
 @register("purchase_matrix_wide", q(f"""
-SELECT * EXCLUDE (_keep) FROM (
-  PIVOT (SELECT c.code AS customer_code, CAST(p.article_id AS VARCHAR) AS article, p.n AS v, 1 AS _keep
-         FROM (SELECT customer_id, article_id, count(*) AS n FROM transactions GROUP BY 1, 2) p
-         JOIN (SELECT customer_id, CAST(row_number() OVER (ORDER BY customer_id) - 1 AS BIGINT) AS code
-               FROM (SELECT DISTINCT customer_id FROM customers)) c ON p.customer_id = c.customer_id
-         WHERE p.article_id IN (SELECT article_id FROM lifespans WHERE Last_Date >= DATE '{P.TEST_CUTOFF}')
-         UNION ALL
-         SELECT NULL, CAST(article_id AS VARCHAR), NULL, NULL FROM lifespans
-         WHERE Last_Date >= DATE '{P.TEST_CUTOFF}')
-  ON article USING coalesce(max(v), 0) GROUP BY customer_code, _keep)
-WHERE _keep = 1"""))
+SELECT c.code AS customer_code, list(p.article_id ORDER BY p.article_id) AS idx, list(p.n ORDER BY p.article_id) AS val
+FROM (SELECT customer_id, article_id, count(*) AS n FROM transactions GROUP BY 1, 2) p
+JOIN (SELECT customer_id, CAST(row_number() OVER (ORDER BY customer_id) - 1 AS BIGINT) AS code
+      FROM (SELECT DISTINCT customer_id FROM customers)) c ON p.customer_id = c.customer_id
+WHERE p.article_id IN (SELECT article_id FROM lifespans WHERE Last_Date >= DATE '{P.TEST_CUTOFF}')
+GROUP BY c.code"""))
 def purchase_matrix_wide(spark, d):
-    """Customer × test-article purchase counts, one column per test article
-    (E5). The article list is explicit and bounded (``MAX_WIDE_VALUES``);
-    past that bound only the long form is offered."""
+    """Customer × test-article purchase counts (E5): the bought articles of a
+    customer and their counts."""
     from boutique.operators import encode, lifespan
     test = lifespan.last_sale_between(R.lifespans(spark, d), first_cutoff=P.TEST_CUTOFF)
-    ids = [r[0] for r in test.select("article_id").orderBy("article_id")
-           .limit(encode.MAX_WIDE_VALUES + 1).collect()]
     codes = encode.dense_codes(src.customers(spark, d), ["customer_id"], "code")
     long = prefs.purchase_matrix(src.transactions(spark, d), codes).join(
         test.select("article_id"), "article_id", "left_semi")
-    return encode.wide_from_long(long, "customer_code", "article_id", "n", ids)
+    return encode.wide_from_long(long.where("customer_code is not null"), "customer_code", "article_id", "n")
 
 
 @register("target_class_count", q(f"""

@@ -58,6 +58,8 @@ def digest(columns: list[str], rows: list[tuple]) -> tuple[list[str], int, str]:
 
 def _spark_type(t: str) -> str:
     t = t.lower()
+    if t.startswith("array<"):
+        return _spark_type(t[6:-1]) + "[]"
     return {"tinyint": "int32", "smallint": "int32", "int": "int32", "bigint": "int64",
             "float": "float", "double": "float", "string": "string"}.get(
         t, "decimal" if t.startswith("decimal") else t)
@@ -65,6 +67,8 @@ def _spark_type(t: str) -> str:
 
 def _duck_type(t) -> str:
     t = str(t).upper()
+    if t.endswith("[]"):
+        return _duck_type(t[:-2]) + "[]"
     return {"TINYINT": "int32", "SMALLINT": "int32", "INTEGER": "int32", "BIGINT": "int64",
             "HUGEINT": "int128", "FLOAT": "float", "DOUBLE": "float", "VARCHAR": "string"}.get(
         t, "decimal" if t.startswith("DECIMAL") else t.lower())

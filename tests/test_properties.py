@@ -149,10 +149,10 @@ def test_topk_blocks_equal_single_block(spark):
     assert all(abs(a[c] - b[c]) < 1e-9 for c in a)
 
 
-def test_silhouette_sample_bound(spark):
+def test_silhouette_over_blocks_matches_brute_force(spark):
     from boutique import sources
     emb = sources.embeddings(spark, SF001)
-    full = quality.silhouette(emb, "vec_id", sample=10_000).first()[0]
+    full = quality.silhouette(emb, "vec_id", block=50).first()[0]
     x = np.array([r.embedding for r in emb.orderBy("vec_id").collect()])
     lab = np.array([r.label for r in emb.orderBy("vec_id").collect()])
     d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
@@ -216,3 +216,21 @@ def test_regression_depends_on_its_inputs(spark):
             model.predict_prefs(x, B, cols, n_age=4).join(x, "customer_id").collect()}
     assert abs(pred[0, 1.0][0] - 0.02) < 1e-3 and abs(pred[0, 0.0][0] - 0.01) < 1e-3
     assert pred[2, 0.0][1] > pred[1, 0.0][1] + 0.005
+
+
+def test_kmeans_does_not_depend_on_the_layout(spark):
+    from boutique import sources
+    emb = sources.embeddings(spark, SF001)
+    runs = [cluster.kmeans(emb.repartition(n), "vec_id", "embedding", 7, 42) for n in (1, 4, 16)]
+    labels = [sorted(map(tuple, rows.select("vec_id", "cluster").collect())) for _, rows in runs]
+    assert labels[0] == labels[1] == labels[2]
+    assert all((runs[0][0] == c).all() for c, _ in runs)
+    with pytest.raises(ValueError):
+        cluster.kmeans(emb.limit(3), "vec_id", "embedding", 4, 42)
+
+
+def test_wide_rows_hold_every_nonzero_cell(spark):
+    from boutique.operators import encode
+    long = spark.createDataFrame([("a", 3, 2), ("a", 1, 5), ("b", 2, 7)], "k string, i int, v int")
+    got = {r.k: (r.idx, r.val) for r in encode.wide_from_long(long, "k", "i", "v").collect()}
+    assert got == {"a": ([1, 3], [5, 2]), "b": ([2], [7])}
