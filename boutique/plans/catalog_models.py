@@ -15,6 +15,7 @@ from boutique.operators import prefs
 from boutique.plans import retail as R
 from boutique.plans.catalog import register
 from boutique.plans.oracle import q
+from boutique.sources.tables import kept
 
 P = params
 LLOYD_K = 10
@@ -445,7 +446,7 @@ def eval_mse(spark, d):
     Σp² (scoring pass) − 2Σyp + Σy² (purchased pairs only)."""
     width = R.feature_width(spark, d)
     counts = _train_counts(spark, d)
-    slots = _live_slots(spark, d).cache()
+    slots = kept(_live_slots(spark, d))
     n_art = slots.count()
     top = score.topk(score.count_vectors(counts, width), slots, width, 1)
     q_rows = top.select("customer_id", F.col("sum_sq_score").alias("v"), F.lit(1).alias("c"))

@@ -13,6 +13,7 @@ from boutique import params
 from boutique import sources as src
 from boutique.operators import customers as cust
 from boutique.operators import encode, lifespan, prefs
+from boutique.sources.tables import kept, once
 
 
 def arts(spark: SparkSession, d: str) -> DataFrame:
@@ -20,38 +21,16 @@ def arts(spark: SparkSession, d: str) -> DataFrame:
     return cust.merge_product_groups(src.articles(spark, d), params.ITEMS_GROUPS)
 
 
-_MEMO: dict = {}
-
-
-def _memo(spark: SparkSession, d: str, name: str, build):
-    """Cache a small derived table per (application, folder) so one query
-    computes it once however many operators use it. Cached, not
-    checkpointed: a lost executor recomputes it from lineage."""
-    key = (spark.sparkContext.applicationId, d, name)
-    df = _MEMO.get(key)
-    if df is None:
-        df = build()
-        _MEMO[key] = df
-    if not df.is_cached:
-        df.cache()
-    return df
-
-
 def dictionary(spark: SparkSession, d: str) -> DataFrame:
     """The article feature dictionary; its size is the number of distinct
-    attribute values."""
-    return _memo(spark, d, "dictionary", lambda: encode.feature_dictionary(
-        arts(spark, d), params.ARTICLE_ATTRIBUTES))
+    attribute values. A query computes it once, however many operators use it."""
+    return once((id(spark), d, "dictionary"), lambda: kept(encode.feature_dictionary(
+        arts(spark, d), params.ARTICLE_ATTRIBUTES)))
 
 
 def kept_dictionary(spark: SparkSession, d: str) -> DataFrame:
     """Kept dictionary entries, size-checked once for broadcasting."""
-    key = (spark.sparkContext.applicationId, d, "kept")
-    df = _MEMO.get(key)
-    if df is None:
-        df = encode.checked_kept(dictionary(spark, d))
-        _MEMO[key] = df
-    return df
+    return once((id(spark), d, "kept"), lambda: encode.checked_kept(dictionary(spark, d)))
 
 
 def art_long(spark: SparkSession, d: str) -> DataFrame:
@@ -60,14 +39,11 @@ def art_long(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_width(spark: SparkSession, d: str) -> int:
-    """Number of kept features (the preference width); a bounded scalar,
-    remembered with the dictionary it is read from."""
-    key = (spark.sparkContext.applicationId, d, "width")
-    if key not in _MEMO:
-        row = encode.kept_features(dictionary(spark, d)).agg(
-            F.max("feature_idx").alias("m")).first()
-        _MEMO[key] = int(row["m"]) + 1 if row["m"] is not None else 0
-    return _MEMO[key]
+    """Number of kept features (the preference width)."""
+    def count() -> int:
+        row = encode.kept_features(dictionary(spark, d)).agg(F.max("feature_idx").alias("m")).first()
+        return int(row["m"]) + 1 if row["m"] is not None else 0
+    return once((id(spark), d, "width"), count)
 
 
 def recent(spark: SparkSession, d: str) -> DataFrame:

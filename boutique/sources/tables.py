@@ -19,6 +19,29 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 _SCOPE: dict | None = None
+_KEPT: list[DataFrame] = []
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df``, cached until the next query is built."""
+    cached = df.cache()
+    _KEPT.append(cached)
+    return cached
+
+
+def _release() -> None:
+    while _KEPT:
+        _KEPT.pop().unpersist()
+
+
+def once(key: tuple, build):
+    """``build()``, computed once while one query is built; outside a scope,
+    every time."""
+    if _SCOPE is None:
+        return build()
+    if key not in _SCOPE:
+        _SCOPE[key] = build()
+    return _SCOPE[key]
 
 
 @contextmanager
@@ -26,10 +49,12 @@ def read_scope():
     """Within one query's construction, read each table once: later reads of
     the same path reuse that reader (one file listing, identical scans that
     the planner can share). The scope ends with the query, so a later query
-    sees new files."""
+    sees new files; what the query cached is released when the next one
+    begins."""
     global _SCOPE
     outer = _SCOPE
     if outer is None:
+        _release()
         _SCOPE = {}
     try:
         yield
@@ -41,12 +66,7 @@ def read_scope():
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table (S1); callers select columns."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if _SCOPE is None:
-        return spark.read.parquet(path)
-    key = (id(spark), path)
-    if key not in _SCOPE:
-        _SCOPE[key] = spark.read.parquet(path)
-    return _SCOPE[key]
+    return once((id(spark), path), lambda: spark.read.parquet(path))
 
 
 # File names of the original retail data; when a folder holds them, the
