@@ -10,7 +10,7 @@ merged with Ward's criterion, and the micro → cluster map is joined back.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,8 +62,8 @@ UNIT = 2.0 ** -40
 
 def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """Nearest centre of each row, ties (to nine digits) to the lowest index."""
-    d2 = (x * x).sum(axis=1)[:, None] + (centers * centers).sum(axis=1)[None, :] - 2.0 * (x @ centers.T)
-    return np.round(d2, 9).argmin(axis=1)
+    far = (centers * centers).sum(axis=1)[None, :] - 2.0 * (x @ centers.T)
+    return np.round(far, 9).argmin(axis=1)
 
 
 def _partial_sums(vec: str, centers: np.ndarray):
@@ -71,17 +71,21 @@ def _partial_sums(vec: str, centers: np.ndarray):
     def run(batches):
         k, dim = centers.shape
         sums, sizes = np.zeros((k, dim), np.int64), np.zeros(k, np.int64)
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            x = np.vstack(pdf[vec].to_numpy()).astype(float)
+            x = batch.column(vec).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dim)
             label = _nearest(x, centers)
-            np.add.at(sums, label, np.rint(x / UNIT).astype(np.int64))
+            order = np.argsort(label, kind="stable")
+            first = np.flatnonzero(np.diff(label[order], prepend=-1))
+            sums[label[order][first]] += np.add.reduceat(np.rint(x[order] / UNIT).astype(np.int64), first, axis=0)
             sizes += np.bincount(label, minlength=k)
         c, i = np.nonzero(sums)
         used = np.flatnonzero(sizes)
-        yield pd.DataFrame({"cluster": np.concatenate((used, c)), "dim": np.concatenate((np.full(len(used), -1), i)),
-                            "s": np.concatenate((sizes[used], sums[c, i]))})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate((used, c)), pa.int32()),
+             pa.array(np.concatenate((np.full(len(used), -1), i)), pa.int32()),
+             pa.array(np.concatenate((sizes[used], sums[c, i])), pa.int64())], names=["cluster", "dim", "s"])
     return run
 
 
@@ -116,18 +120,24 @@ def kmeans(df: DataFrame, key: str, vec: str, k: int, seed: int,
     centers = np.array([r[vec] for r in start], dtype=float)
     before = None
     for _ in range(max_iter):
-        part = data.select(vec).mapInPandas(_partial_sums(vec, centers), "cluster int, dim int, s long")
-        rows = part.groupBy("cluster", "dim").agg(F.sum(F.col("s").cast("decimal(38,0)")).alias("s")).collect()
-        now = {(r["cluster"], r["dim"]): int(r["s"]) for r in rows}
-        if now == before:
+        part = data.select(vec).mapInArrow(_partial_sums(vec, centers), "cluster int, dim int, s long")
+        # Halves of the sums, so that no total overflows.
+        now = (part.groupBy("cluster", "dim").agg(F.sum(F.shiftright("s", 32)).alias("high"),
+                                                  F.sum(F.col("s").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"))
+               .toPandas().sort_values(["cluster", "dim"]).to_numpy(np.int64))
+        now[:, 2] += now[:, 3] >> 32
+        now[:, 3] &= 0xFFFFFFFF
+        if before is not None and np.array_equal(now, before):
             return centers, assign(data, key, vec, centers)
         before = now
-        used = sorted(c for c, i in now if i == -1)
+        total = now[:, 2] * 2.0 ** 32 + now[:, 3]
+        counts = now[:, 1] == -1
+        sizes = np.ones(k)
+        sizes[now[counts, 0]] = total[counts]
         centers = centers.copy()
-        centers[used] = 0.0
-        for (c, i), total in now.items():
-            if i >= 0:
-                centers[c, i] = total / now[(c, -1)] * UNIT
+        centers[now[counts, 0]] = 0.0
+        cells = now[~counts]
+        centers[cells[:, 0], cells[:, 1]] = total[~counts] / sizes[cells[:, 0]] * UNIT
     raise RuntimeError(f"no convergence in {max_iter} steps")
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boutique.functions.clean import days_between
+from boutique.functions.clean import days_between, parse_date_lenient
 
 
 def lifespan(tx: DataFrame, by: str | list[str] = "article_id",
@@ -27,11 +27,13 @@ def last_sale_between(df: DataFrame, first_cutoff: str | None = None,
                       last_cutoff: str | None = None, col: str = "Last_Date") -> DataFrame:
     """Half-open range on the last sale date, each bound optional.
 
-    A null date is dropped once any bound is set, kept otherwise."""
+    A null date is dropped once any bound is set, kept otherwise. Dates read
+    back as text are parsed leniently (X7)."""
+    date = parse_date_lenient(col) if dict(df.dtypes)[col] == "string" else F.col(col)
     if first_cutoff is not None:
-        df = df.filter(F.col(col) >= F.lit(first_cutoff).cast("date"))
+        df = df.filter(date >= F.lit(first_cutoff).cast("date"))
     if last_cutoff is not None:
-        df = df.filter(F.col(col) < F.lit(last_cutoff).cast("date"))
+        df = df.filter(date < F.lit(last_cutoff).cast("date"))
     return df
 
 

@@ -59,8 +59,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              columns: list[str] | None = None) -> DataFrame:
     """Header CSV scan with a fixed schema (S1/S5); ``columns`` prunes.
     Ages are written as decimals in some exports, so they are read as
-    doubles and cast to whole years."""
-    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    doubles and cast to whole years. A malformed row fails the scan."""
+    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     if "age" in df.columns:
         df = df.withColumn("age", F.col("age").cast("bigint"))
     return df.select(*columns) if columns else df

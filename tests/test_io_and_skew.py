@@ -42,6 +42,12 @@ def test_lenient_date_parse(spark):
     assert [str(g) if g else None for g in got] == ["2020-08-27", "2020-08-27", None, None]
 
 
+def test_live_range_over_text_dates(spark):
+    df = spark.createDataFrame([(1, "2020-08-27 10:11:12"), (2, "2020-08-26"), (3, "junk"), (4, None)],
+                               "article_id long, Last_Date string")
+    assert [r[0] for r in lifespan.last_sale_between(df, "2020-08-27").select("article_id").collect()] == [1]
+
+
 def test_pref_counts_under_a_hot_article(spark):
     """One article holds a third of all purchase lines; the counts must not
     change when AQE splits its skewed join partition."""
