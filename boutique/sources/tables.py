@@ -31,7 +31,9 @@ def kept(df: DataFrame) -> DataFrame:
 
 def _release() -> None:
     while _KEPT:
-        _KEPT.pop().unpersist()
+        df = _KEPT.pop()
+        if df.sparkSession.sparkContext._jsc is not None:  # its session still runs
+            df.unpersist()
 
 
 def once(key: tuple, build):
