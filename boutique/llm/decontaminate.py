@@ -3,14 +3,16 @@
 Texts become tokens (runs of letters, digits and non-ASCII bytes, A-Z in lower
 case). Numbers, names and units become typed placeholders: a number is a token
 that starts with a digit (a decimal or grouped number is one) or a number word, a
-unit is a unit word right after a number, a name is a capitalised word that does
-not begin a sentence. Windows of ``WINDOW`` tokens with at least
-``MIN_LITERALS`` ordinary words are hashed and joined by equality with the windows of the
+unit is a unit word right after a number, a name is a capitalised word. One that
+begins a sentence may be either, so its windows are hashed both ways. Windows of
+``WINDOW`` tokens are hashed and joined by equality with the windows of the
 benchmark, so a question with other numbers, names or units still meets its
-template. For every document, item and alignment the placeholder
-values are then compared: one value of the item must always stand for one value
-of the document and the other way round. A consistent alignment that covers
-``ENOUGH`` tokens, or half of the item, marks the document.
+template. A template needs at least ``MIN_LITERALS`` ordinary words; the exact
+words of a window are hashed too and need none. For every document, item and
+alignment the placeholder values are then compared: one value of the item must
+stand for one value of the document. Windows that disagree end a run; the longest
+consistent run, or the windows that agree with the commonest values, mark the
+document if they cover ``ENOUGH`` tokens or half of the item.
 
 Items of 4 to 7 tokens are matched as one window of their own length; shorter
 ones say too little and match nothing. Documents send only windows that may be in
@@ -21,6 +23,7 @@ marked together; rows without an id are never marked.
 
 from __future__ import annotations
 
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +50,9 @@ min mins minute minutes h hr hrs hour hours day days week weeks month months yea
 euro euros cent cents percent degrees c f k hz khz mhz ghz w kw mw v kv a b kb mb gb tb mph kmh""".split()
 
 _TYPES = np.array([0, 0x6E756D, 0x756E6974, 0x6E616D65], np.uint64)
-WORD, NUMBER, UNIT, NAME = range(4)
+#: OPENER: a capitalised word that begins a sentence.
+WORD, NUMBER, UNIT, NAME, OPENER = range(5)
+_READINGS = np.array([[WORD, NUMBER, UNIT, NAME, WORD], [WORD, NUMBER, UNIT, NAME, NAME]], np.int8)
 _CACHE: dict = {}
 
 
@@ -93,14 +98,15 @@ def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     gap = starts[1:] - ends[:-1]
     sign = data[np.minimum(ends[:-1], len(data) - 1)]
     glued = np.concatenate(([False], digit[1:] & digit[:-1] & (gap == 1) & ((sign == 46) | (sign == 44))))
-    # Capitalised words after something other than the end of a sentence.
+    # Capitalised words, and whether they come after the end of a sentence.
     stops = np.concatenate(([0], np.cumsum(t["ends"][data])))
     fresh = np.concatenate(([True], stops[starts[1:]] > stops[ends[:-1]]))
     second = data[np.minimum(starts + 1, len(data) - 1)]
     capital = (first >= 65) & (first <= 90) & (ends - starts > 1) & (((second >= 97) & (second <= 122)) | (second >= 128))
-    kind[capital & ~fresh & (kind == WORD)] = NAME
+    named = capital & (kind == WORD)
+    kind[named] = np.where(fresh[named], OPENER, NAME)
     after_number = np.concatenate(([False], kind[:-1] == NUMBER))
-    kind[after_number & (kind == WORD) & _member(values, t["units"])] = UNIT
+    kind[after_number & ((kind == WORD) | (kind == OPENER)) & _member(values, t["units"])] = UNIT
     if glued.any():
         head = np.flatnonzero(~glued)
         group = np.cumsum(~glued) - 1
@@ -166,6 +172,21 @@ def _slots(values, kinds, at, size):
     return signed(mix64(values[at:at + size][where] + k[where].astype(np.uint64)))
 
 
+def readings(values, kinds, size):
+    """(place, hash, kinds) arrays of the windows to compare: the template with
+    sentence openers as words and as names, and the exact words. A hash that an
+    earlier reading gave the same window isn't repeated."""
+    plain, named = _READINGS[0][kinds], _READINGS[1][kinds]
+    seen = []
+    for k, exact in ((plain, False), (named, False), (np.zeros_like(kinds), True)):
+        h, enough = template_windows(values, k, size)
+        use = np.ones(len(h), bool) if exact else enough.copy()
+        for earlier, used in seen:
+            use &= ~(used & (earlier == h))
+        seen.append((h, use))
+        yield np.flatnonzero(use), h, k
+
+
 def _benchmark_windows(batches):
     for batch in batches:
         rows = [[], [], [], [], [], []]
@@ -173,11 +194,13 @@ def _benchmark_windows(batches):
             size = min(WINDOW, len(values))
             if item is None or size < SHORTEST:
                 continue
-            h, enough = template_windows(values, kinds, size)
-            for at in np.flatnonzero(enough):
-                for c, v in zip(rows, (item, len(values), size, int(at), int(signed(h[at:at + 1])[0]),
-                                       _slots(values, kinds, at, size))):
-                    c.append(v)
+            for places, h, k in readings(values, kinds, size):
+                # The exact words keep the placeholders: each stands for itself.
+                k = k if k.any() else _READINGS[0][kinds]
+                for at in places:
+                    for c, v in zip(rows, (item, len(values), size, int(at), int(signed(h[at:at + 1])[0]),
+                                           _slots(values, k, at, size))):
+                        c.append(v)
         longs = pa.int64()
         yield pa.RecordBatch.from_arrays(
             [*[pa.array(c, longs) for c in rows[:5]], pa.array(rows[5], pa.list_(longs))],
@@ -190,16 +213,17 @@ def _document_windows(bitmap: np.ndarray, sizes: list[int]):
             ids, ats, hs, slots = [], [], [], []
             for doc, (values, kinds) in zip(batch.column("doc_id").to_pylist(), each_text(batch.column("text"))):
                 for size in sizes:
-                    h, enough = template_windows(values, kinds, size)
-                    if not len(h):
+                    if len(values) < size:
                         continue
-                    bit = h >> np.uint64(64 - MAP_BITS)
-                    hit = enough & ((bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-                    for at in np.flatnonzero(hit):
-                        ids.append(doc)
-                        ats.append(int(at))
-                        slots.append(_slots(values, kinds, at, size))
-                    hs.append(signed(h[hit]))
+                    for places, h, k in readings(values, kinds, size):
+                        bit = h[places] >> np.uint64(64 - MAP_BITS)
+                        hit = ((bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+                        places = places[hit]
+                        for at in places:
+                            ids.append(doc)
+                            ats.append(int(at))
+                            slots.append(_slots(values, k, at, size))
+                        hs.append(signed(h[places]))
             longs = pa.int64()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, longs), pa.array(ats, longs),
@@ -208,6 +232,61 @@ def _document_windows(bitmap: np.ndarray, sizes: list[int]):
     return run
 
 
+def _span(places: list[int], size: int) -> int:
+    """Tokens under the union of windows: each adds the distance to the next, at most its size."""
+    return sum(min(b - a, size) for a, b in zip(places, places[1:])) + size if places else 0
+
+
+def consistent_cover(windows: list[tuple[int, list[int], list[int]]], size: int) -> int:
+    """Most tokens under windows (place, item values, document values) of one
+    alignment in which an item value stands for one document value."""
+    best: dict[int, list[tuple[int, int]]] = {}
+    for at, a, b in windows:
+        pairs = sorted(set(zip(a, b)))
+        if at not in best or (len(pairs), pairs) < (len(best[at]), best[at]):
+            best[at] = pairs  # the reading with the fewest placeholders
+    rows = [(at, pairs) for at, pairs in sorted(best.items()) if len({a for a, _ in pairs}) == len(pairs)]
+    # The windows that agree with the commonest value of each item value.
+    votes = Counter(p for _, pairs in rows for p in pairs)
+    chosen: dict[int, int] = {}
+    for (a, b), _ in sorted(votes.items(), key=lambda v: (-v[1], v[0])):
+        chosen.setdefault(a, b)
+    covered = _span([at for at, pairs in rows if all(chosen[a] == b for a, b in pairs)], size)
+    # The longest run: from the left, a window leaves as long as its values clash with the newest.
+    value: dict[int, int] = {}
+    uses: Counter = Counter()
+    first = total = 0
+    for k, (at, pairs) in enumerate(rows):
+        total += min(at - rows[k - 1][0], size) if k > first else size
+        for a, b in pairs:
+            while uses[a] and value[a] != b:
+                for x, _ in rows[first][1]:
+                    uses[x] -= 1
+                first += 1
+                total = total - min(rows[first][0] - rows[first - 1][0], size)
+        for a, b in pairs:
+            value[a] = b
+            uses[a] += 1
+        covered = max(covered, total)
+    return covered
+
+
+def _covers(batches):
+    """The cover of each alignment that marks its document."""
+    for batch in batches:
+        sizes, totals = batch.column("size").to_pylist(), batch.column("item_tokens").to_pylist()
+        rows, covers = [], []
+        for i, windows in enumerate(batch.column("windows")):
+            covered = consistent_cover([(w["item_at"], w["item_slots"], w["slots"]) for w in windows.as_py()], sizes[i])
+            if covered >= ENOUGH or 2 * covered >= totals[i]:
+                rows.append(i)
+                covers.append(covered)
+        take = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(take), batch.column("item_id").take(take), pa.array(covers, pa.int64()),
+             batch.column("item_tokens").take(take)], names=["doc_id", "item_id", "covered", "item_tokens"])
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, covered, item_tokens of the alignments that mark a document."""
     windows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
@@ -221,18 +300,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         bitmap[r["byte"]] = r["v"]
     found = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _document_windows(bitmap, sizes), "doc_id long, at long, h long, slots array<long>")
-    aligned = (found.join(windows, "h").where(F.size("slots") == F.size("item_slots"))
+    # A window without placeholders met its exact words.
+    exact = F.size("slots") == 0
+    aligned = (found.join(windows, "h").where(exact | (F.size("slots") == F.size("item_slots")))
+               .withColumn("slots", F.when(exact, F.col("item_slots")).otherwise(F.col("slots")))
                .groupBy("doc_id", "item_id", "item_tokens", "size", (F.col("at") - F.col("item_at")).alias("shift"))
-               .agg(F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
-                    F.array_sort(F.collect_set("item_at")).alias("places")))
-    one_to_one = ((F.size("pairs") == F.size(F.array_distinct(F.col("pairs.item_slots"))))
-                  & (F.size("pairs") == F.size(F.array_distinct(F.col("pairs.slots")))))
-    # Tokens under the union of the windows: each adds the distance to the next, at most its size.
-    steps = F.zip_with(F.slice("places", 2, F.greatest(F.size("places") - 1, F.lit(0))), F.slice("places", 1, F.greatest(F.size("places") - 1, F.lit(0))),
-                       lambda b, a: F.least(b - a, F.col("size")))
-    covered = F.aggregate(steps, F.col("size"), lambda s, v: s + v)
-    return (aligned.where(one_to_one).withColumn("covered", covered)
-            .where((F.col("covered") >= ENOUGH) | (2 * F.col("covered") >= F.col("item_tokens")))
+               .agg(F.collect_set(F.struct("item_at", "item_slots", "slots")).alias("windows"))
+               .select("doc_id", "item_id", "item_tokens", "size", "windows"))
+    return (aligned.mapInArrow(_covers, "doc_id long, item_id long, covered long, item_tokens long")
             .groupBy("doc_id", "item_id").agg(F.max("covered").alias("covered"), F.max("item_tokens").alias("item_tokens")))
 
 

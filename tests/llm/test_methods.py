@@ -95,6 +95,40 @@ def test_changed_numbers_and_names_still_match(spark):
     assert pairs[2] < pairs[1]  # one value stands for two: that alignment is refused
 
 
+def test_partly_changed_dense_and_opening_copies_match(spark):
+    tail = "every red wagon near the old river bridge was painted twice before the summer fair opened its gates"
+    bench = spark.createDataFrame([
+        (1, f"In the shed stood 12 carts and later 12 more carts while {tail}."),
+        (2, "Berlin 14 Paris 20 km Rome 31 Oslo 7 kg Madrid 19 Lisbon 8"),
+        (3, "Maria walked slowly along the quiet harbour wall at night."),
+        (4, "a farmer sold 3 sheep and bought 5 geese at the market")], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, f"In the shed stood 99 carts and later 98 more carts while {tail}."),
+        (2, "seen: Berlin 14 Paris 20 km Rome 31 Oslo 7 kg Madrid 19 Lisbon 8"),
+        (3, "Pedro walked slowly along the quiet harbour wall at night."),
+        (4, "a farmer sold 6 sheep and bought 6 geese at the market"),
+        (5, "Berlin 3 Rome 4 km Paris 5")], "doc_id long, text string")
+    got = {r.doc_id: r["items"] for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: "1", 2: "2", 3: "3", 4: "4", 5: ""}
+
+
+def test_consistent_cover_brute_force():
+    from itertools import product
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        rows = [(i, [int(v) for v in rng.integers(0, 3, k)], [int(v) for v in rng.integers(0, 2, k)])
+                for i, k in enumerate(rng.integers(0, 3, 7))]
+        def fits(some):
+            pairs = {p for _, a, b in some for p in zip(a, b)}
+            return len({a for a, _ in pairs}) == len(pairs)
+        def cover(some):
+            return len({at + j for at, _, _ in some for j in range(4)})
+        runs = max((cover(rows[i:j]) for i in range(7) for j in range(i + 1, 8) if fits(rows[i:j])), default=0)
+        most = max(cover([r for r, k in zip(rows, keep) if k]) for keep in product((0, 1), repeat=7)
+                   if fits([r for r, k in zip(rows, keep) if k]))
+        assert runs <= decontaminate.consistent_cover(rows, 4) <= most
+
+
 def test_decontamination_brute_force(spark):
     import re
     con = duckdb.connect()
