@@ -11,7 +11,9 @@ The potentials are trained by gradient ascent on the likelihood of labelled
 pages: pages laid out here from common page parts with known labels, in
 many arrangements, some without any telling tag or class.
 
-Scripts, styles, comments of the markup and the head are never text. Character
+Scripts, styles, templates, drawings (svg), frames, noscript, comments of the
+markup and the head are never text. The head ends at its end tag, or at what it
+can't hold; any other of these left open ends with its parent. Character
 references are decoded; white space inside a block (and a line break element)
 is one space; blocks are joined by an empty line. Null, empty and textless pages
 give an empty text. Pages of any length are processed whole; trees of any depth
@@ -34,7 +36,13 @@ SEED = 5
 PAGES_AT_ONCE = 256
 
 # The parts of HTML that the tree needs.
-SKIP = frozenset("script style noscript template svg head iframe object canvas math title".split())
+SKIP = frozenset("script style noscript template svg iframe title".split())
+#: What a head can hold besides SKIP.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes".split())
+#: Start tags that end an svg, except below its places for other markup.
+LEAVES_SVG = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li
+listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var""".split())
+SVG_HOLDS = frozenset("foreignobject desc title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody
 tfoot tr td th blockquote pre nav header footer aside form fieldset legend figure figcaption address details summary
@@ -59,6 +67,7 @@ HINTS = {
 }
 _HINT = {w: k for k, words in HINTS.items() for w in words.split()}
 _SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_LONG_REFERENCE = re.compile(r"&#(\d{1000,})")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -72,6 +81,8 @@ class Tree(HTMLParser):
         self.size: dict[int, tuple[int, int]] = {}
         self.open: list[tuple[str, int]] = [("#root", 0)]
         self.skipping: str | None = None
+        self.skipped: list[str] = []  # elements open inside the skipped one
+        self.head = False
         self.run: list[str] = []
         self.links = 0
         self.linked = 0
@@ -113,12 +124,36 @@ class Tree(HTMLParser):
     def node(self) -> int:
         return self.open[self._block_at()][1]
 
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # malformed: a comment up to the next ">"
+            return self.rawdata.find(">", i + 3) + 1 or -1
+
+    def leaves(self, tag) -> bool:
+        """Whether a start tag ends the skipped element that is open."""
+        if self.skipping == "svg":
+            return tag in LEAVES_SVG and not SVG_HOLDS.intersection(self.skipped)
+        return (tag == "body" and self.skipping in ("title", "noscript") and "body" not in self.skipped
+                and all(t != "body" for t, _ in self.open))
+
     def handle_starttag(self, tag, attrs):
-        if self.skipping:
+        if self.skipping and not self.leaves(tag):
+            if tag not in VOID:
+                self.skipped.append(tag)
             return
+        self.skipping, self.skipped = None, []
         if tag in SKIP:
+            self.head = self.head and tag not in ("svg", "iframe")
             self.skipping = tag
             return
+        if tag == "head":
+            self.head = True
+            return
+        if self.head:
+            if tag in IN_HEAD:
+                return
+            self.head = False
         if tag == "br":
             self.run.append(" ")
             return
@@ -175,9 +210,18 @@ class Tree(HTMLParser):
 
     def handle_endtag(self, tag):
         if self.skipping:
-            if tag == self.skipping:
+            if tag in self.skipped:
+                while self.skipped.pop() != tag:
+                    pass
+                return
+            own = tag == self.skipping
+            if own or (tag == "head" and self.head) or any(t == tag for t, _ in self.open):
                 self.skipping = None
-            return
+                self.skipped = []
+            if own or self.skipping:
+                return
+        if tag in ("head", "body", "html"):
+            self.head = False
         if tag in BLOCK:
             for k in range(len(self.open) - 1, 0, -1):
                 if self.open[k][0] == tag:
@@ -196,15 +240,16 @@ class Tree(HTMLParser):
                 return
 
     def handle_startendtag(self, tag, attrs):
-        if tag in SKIP:
+        if tag in SKIP or tag == "head" or (self.skipping and not self.leaves(tag)):
             return
         self.handle_starttag(tag, attrs)
         if tag not in VOID and not self.skipping:
             self.handle_endtag(tag)
 
     def handle_data(self, data):
-        if self.skipping:
+        if self.skipping or (self.head and not data.strip()):
             return
+        self.head = False
         self.run.append(data)
         if self.links:
             self.linked += len(data.strip())
@@ -233,11 +278,9 @@ def add_totals(tree: Tree) -> None:
 
 def parse(html: str | None) -> Tree:
     tree = Tree()
-    try:
-        tree.feed(html or "")
-        tree.close()
-    except (AssertionError, ValueError):
-        pass  # a malformed declaration: what was read so far stands
+    # The parser's int() refuses longer references; what is too large for a character stays so.
+    tree.feed(_LONG_REFERENCE.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), html or ""))
+    tree.close()
     if tree.skipping is None or tree.run:
         tree.flush()
     add_totals(tree)

@@ -229,3 +229,25 @@ def test_marginals_equal_enumeration():
         total += w
         on += w * np.array(y)
     assert np.allclose(p, on / total)
+
+
+def test_broken_markup_keeps_the_rest_of_the_page():
+    def texts(html):
+        return [t for t in extract.parse(html).text if t is not None]
+    assert texts("<p>a</p><![x[ y ]]><p>b</p>") == ["a", "b"]
+    assert texts("<p>if x <![0] y></p><p>b</p>") == ["if x", "b"]
+    assert texts("<p>a</p><![x") == ["a", "<![x"]
+    assert texts(f"<p>a &#{'9' * 5000}; c</p><p>b</p>") == ["a \ufffd c", "b"]
+    assert texts("<html><head><title>t</title><meta x><body><p>a</p>") == ["a"]
+    assert texts("<head><title>t</title><link x>\n<p>a</p>") == ["a"]
+    assert texts("<head><title>t</title> a<p>b</p>") == ["a", "b"]
+    assert texts("<head><title>t<body><p>a</p>") == ["a"]
+    assert texts("<head><title>t</head><p>a</p>") == ["a"]
+    assert texts("<head><title>t</title><style>p{}</style></head><p>a</p>") == ["a"]
+    for tag in ("noscript", "svg", "iframe", "template"):
+        assert texts(f"<div><{tag}><g>x</div><p>a</p>") == ["a"]
+        assert texts(f"<div><{tag}>x<{tag}>y</{tag}>z</{tag}></div><p>a</p>") == ["a"]
+    assert texts("<div><svg><path d=1><p>a</p><p>b</p></div>") == ["a", "b"]
+    assert texts("<svg><foreignObject><p>x</p></foreignObject></svg><p>a</p>") == ["a"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo></math> and <canvas>c</canvas> or <object>o</object></p>") == ["so x= and c or o"]
+    assert texts("<div><object>o</div><p>a</p>") == ["o", "a"]
