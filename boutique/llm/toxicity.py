@@ -2,9 +2,11 @@
 
 Folding lower-cases, maps look-alike letters (Cyrillic, Greek, full-width,
 accented) to plain ones and undoes digit and sign substitutions. The lexicon
-and its weights are learned from labelled rows: entries are word beginnings
-whose share of toxic texts far exceeds their share of clean ones. An entry
-counts at the start of a word only, and not inside an exception phrase (given,
+and its weights are learned from labelled rows: entries are word beginnings,
+short whole words, and pieces of runs in scripts without word spaces, whose share
+of toxic texts far exceeds their share of clean ones, by more than chance
+explains. An entry counts at the start of a word only (anywhere in scripts
+without word spaces), and not inside an exception phrase (given,
 or learned: a word pair around hits that clean texts use and toxic ones do
 not). The score is a logistic function of the summed weights, absolute and
 per hundred words, fitted on the same labelled rows.
@@ -33,7 +35,14 @@ from boutique.llm.common import held_out
 MAX_PER_CLASS = 6000
 MIN_SUPPORT = 3
 MIN_LOG_ODDS = 3.0
+#: Largest chance that an entry's texts are toxic this often by their share alone.
+CHANCE = 1e-3
+#: Letters of word beginnings; shorter words count as a whole.
 SHORTEST, LONGEST = 4, 12
+#: Letters of the pieces in scripts without word spaces.
+LONGEST_PIECE = 6
+#: Keys counted at once in a task.
+KEYS_AT_ONCE = 500_000
 MAX_ENTRIES = 20_000
 THRESHOLD = 0.7
 
@@ -47,6 +56,10 @@ LOOK_ALIKES = {
 }
 
 _WORD = re.compile(r"[^\W\d_]+")
+# Thai, Lao, Myanmar, Khmer, Kana and Han, with their marks.
+_UNSPACED = re.compile("[\u0e01-\u0e4e\u0e81-\u0ece\u1000-\u103f\u1050-\u109f\u1780-\u17d3\u3005-\u3007\u3041-\u30ff"
+                       "\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]+")
+PREFIX, EXCEPTION, WHOLE = range(3)
 _CACHE: dict = {}
 
 
@@ -67,13 +80,34 @@ def fold(text: str | None) -> str:
     return (text or "").lower().translate(fold_table())
 
 
+def keys(folded: str) -> set[str]:
+    """What entries are chosen from: word beginnings, short words (followed by
+    a space) and pieces of unspaced runs."""
+    seen = set()
+    if not folded.isascii():
+        for run in set(_UNSPACED.findall(folded)):
+            seen.update(run[i:i + k] for k in range(1, LONGEST_PIECE + 1) for i in range(len(run) - k + 1))
+        folded = _UNSPACED.sub(" ", folded)
+    for w in set(_WORD.findall(folded)):
+        if len(w) < SHORTEST:
+            seen.add(w + " ")
+        seen.update(w[:k] for k in range(SHORTEST, min(len(w), LONGEST) + 1))
+    return seen
+
+
+def _letter(c: str) -> bool:
+    """Whether ``c`` next to a word of a spaced script belongs to that word."""
+    return c.isalpha() and (c.isascii() or not _UNSPACED.match(c))
+
+
 def automaton(entries: dict[str, float], exceptions: list[str]):
     import ahocorasick
     a = ahocorasick.Automaton()
     for e, w in entries.items():
-        a.add_word(e, (len(e), w, False))
+        word = e.removesuffix(" ")
+        a.add_word(word, (len(word), w, PREFIX if word == e else WHOLE))
     for e in exceptions:
-        a.add_word(e, (len(e), 0.0, True))
+        a.add_word(e, (len(e), 0.0, EXCEPTION))
     if len(a):
         a.make_automaton()
     return a
@@ -81,16 +115,22 @@ def automaton(entries: dict[str, float], exceptions: list[str]):
 
 def hits(folded: str, machine) -> list[tuple[int, int, float]]:
     """(start, end, weight) of the entries at word starts, the longest at each
-    start, outside exception phrases."""
+    start, outside exception phrases. In unspaced runs entries may start
+    anywhere, but not inside one another."""
     if not len(machine):
         return []
     found: dict[int, tuple[int, float]] = {}
     excused: list[tuple[int, int]] = []
-    for last, (n, w, exception) in machine.iter(folded):
+    unspaced = set()
+    for last, (n, w, kind) in machine.iter(folded):
         start = last - n + 1
-        if start and folded[start - 1].isalpha():
+        if not folded[start].isascii() and _UNSPACED.match(folded[start]):
+            unspaced.add(start)
+        elif start and _letter(folded[start - 1]):
+            continue
+        if kind == WHOLE and last + 1 < len(folded) and _letter(folded[last + 1]):
             continue
-        if exception:
+        if kind == EXCEPTION:
             excused.append((start, last + 1))
         elif start not in found or found[start][0] < last + 1:
             found[start] = (last + 1, w)
@@ -108,14 +148,23 @@ def hits(folded: str, machine) -> list[tuple[int, int, float]]:
             k = bisect.bisect_right(starts, s) - 1
             if k >= 0 and found[s][0] <= merged[k][1]:
                 del found[s]
-    return [(s, e, w) for s, (e, w) in sorted(found.items())]
+    out, end = [], 0
+    for s, (e, w) in sorted(found.items()):
+        if s in unspaced and s < end:
+            continue
+        out.append((s, e, w))
+        end = e
+    return out
 
 
 def features(folded: str, machine) -> tuple[float, float]:
     total = sum(w for _, _, w in hits(folded, machine))
     if not total:
         return 0.0, 0.0
-    words = max(1, sum(1 for _ in folded.split()))
+    words = sum(1 for _ in folded.split())
+    if not folded.isascii():  # two letters of an unspaced run are about a word
+        words += sum(map(len, _UNSPACED.findall(folded))) // 2
+    words = max(1, words)
     return math.log1p(total), math.log1p(100.0 * total / words)
 
 
@@ -130,15 +179,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _counts(batches):
-    """Texts of each class that have a word with a given beginning: summed over
-    a partition before the shuffle."""
+    """Texts of each class that have a key: summed over a partition, or as many
+    of its keys as are held at once, before the shuffle."""
     toxic, clean = Counter(), Counter()
     for batch in batches:
         for text, y in _labelled(batch):
-            seen = set()
-            for w in set(_WORD.findall(fold(text))):
-                seen.update(w[:k] for k in range(SHORTEST, min(len(w), LONGEST) + 1))
-            (toxic if y else clean).update(seen)
+            (toxic if y else clean).update(keys(fold(text)))
+            if len(toxic) + len(clean) > KEYS_AT_ONCE:
+                yield from _count_batches("entry", toxic, clean)
+                toxic, clean = Counter(), Counter()
     yield from _count_batches("entry", toxic, clean)
 
 
@@ -201,12 +250,15 @@ def train(docs: DataFrame, labels: DataFrame, exceptions: list[str] = ()) -> dic
         if not n1 or not n0:
             return model
         odds = (F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0)))
-        # Support grows slowly with the labelled rows, so chance words stay out.
-        support = max(MIN_SUPPORT, int(0.015 * n1))
+        # Chernoff's bound on the chance of so many toxic texts among an entry's; chance words stay out.
+        share = n1 / (n1 + n0)
+        uses = F.col("toxic") + F.col("clean")
+        surprise = (F.col("toxic") * F.log(F.col("toxic") / (uses * share))
+                    + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (uses * (1 - share)))).otherwise(0.0))
         found = (sample.select("text", "toxic").mapInArrow(_counts, "entry string, toxic long, clean long")
                  .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-                 .where(F.col("toxic") >= support).withColumn("w", odds)
-                 .where(F.col("w") >= MIN_LOG_ODDS)
+                 .where(F.col("toxic") >= MIN_SUPPORT).withColumn("w", odds)
+                 .where((F.col("w") >= MIN_LOG_ODDS) & (surprise >= -math.log(CHANCE)))
                  .orderBy(F.desc("w"), "entry").limit(MAX_ENTRIES).collect())
         model["entries"] = choose_entries([(r["entry"], r["toxic"], r["w"]) for r in found])
         model["exceptions"] += _learn_exceptions(sample, model)

@@ -59,6 +59,28 @@ def test_folding_and_exceptions():
     assert len(toxicity.hits(fold("1DіOT, idiöts and no idiot; xidiot"), m)) == 2
 
 
+def test_rare_short_and_unspaced_toxic_terms(spark):
+    rng = np.random.default_rng(2)
+    word = lambda: "word" + "".join(rng.choice(list("abcdefgh"), 3))
+    han = lambda: "".join(rng.choice(list("\u6211\u4eec\u8bf4\u4eca\u5929\u4e0b\u96e8\u4e86"), 3))
+    own = ["grobnik"] * 2000 + ["zurbel", "gyx", "\u574f\u86cb"] * 24
+    rows = []
+    for i in range(len(own) * 2):  # even rows are toxic
+        term = own[i // 2] if i % 2 == 0 else ""
+        words = [word() for _ in range(8)] + ["gyxland"] * (i % 40 == 1)
+        if i % 10 == 1 or not term.isascii():
+            words.append(han() + term * (not term.isascii()) + han())
+        if term.isascii() and term:
+            words[i % 8] = term
+        rows.append((i, " ".join(words), int(i % 2 == 0)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    new = spark.createDataFrame([(1, "a zurbel here"), (2, "such a gyx, yes"), (3, "\u4f60\u4eec\u574f\u86cb\u4eec"), (4, "gyxland is far"), (5, "grobnik")],
+                                "doc_id long, text string")
+    got = {r.doc_id: r.score >= toxicity.THRESHOLD for r in toxicity.score(new, model).collect()}
+    assert got == {1: True, 2: True, 3: True, 4: False, 5: True}
+
+
 def test_language_held_out(spark):
     from boutique.llm import langid
     docs = common.documents(spark, SF01)
