@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boutique.llm import (decontaminate, dedup, extract, fingerprint, langid, licenses, mixing, secrets, tokens,
-                          toxicity)
+from boutique.llm import (decontaminate, dedup, extract, fingerprint, hard_negatives, langid, lexical, licenses, mixing,
+                          secrets, simhash, tokens, toxicity)
 from boutique.llm.common import documents, scratch_path
 from boutique.sources.tables import read_table
 
@@ -56,6 +56,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.document_fingerprints(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.relabelled(read_table(spark, sf_dir, "embeddings")))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -63,7 +75,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_token_counts, op2_html_extraction, op3_toxicity, op4_license_scan, op5_near_duplicates,
-           op6_secret_scan, op7_language_id, op8_source_mix, op9_decontamination, op10_fingerprints, pipeline]
+           op6_secret_scan, op7_language_id, op8_source_mix, op9_decontamination, op10_fingerprints,
+           op11_hard_negatives, op12_ranked_search, op13_simhash, pipeline]
     return {f.__name__: f for f in own}
 
 
@@ -98,4 +111,5 @@ GROUP BY d.doc_id, n.n
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_near_duplicates": NEAR_DUPLICATES_SQL, "op8_source_mix": mixing.MIX_SQL}
+    return {"op5_near_duplicates": NEAR_DUPLICATES_SQL, "op8_source_mix": mixing.MIX_SQL,
+            "op11_hard_negatives": hard_negatives.HARD_NEGATIVES_SQL, "op12_ranked_search": lexical.RANKED_SQL}
