@@ -1,22 +1,26 @@
-"""Clustering.
+"""k-means and sweeps over k.
 
-k-means is Lloyd's steps over Spark partitions from fixed start rows, with
-exact sums. The agglomerative (Ward) tree of the surveyed code is quadratic in
-rows, so it is re-aimed: Spark k-means cuts the rows into m micro-clusters,
-the m weighted centroids (m bounded by a parameter, not by the data) are
-merged with Ward's criterion, and the micro → cluster map is joined back.
+k-means is Lloyd's steps over Spark partitions from fixed start rows, with exact sums:
+after the first pass a task sends only what changed, the sums of the rows that went
+to another centre. A fitted model is a table (cluster, centre); rows are assigned to
+it by blocked matrix products, whatever its size.
+
+A sweep fits and scores one repeatable sample, whose size is a parameter, for every k of
+a grid. The sample is one packed block; each k is a row, and Spark spreads the k.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boutique.functions.clean import squared_distance
-from boutique.operators import quality
-from boutique.operators.encode import dense_codes
+from boutique.operators import blocks, quality, tree
 
 MAX_CENTERS = 5000
 
@@ -24,7 +28,8 @@ MAX_CENTERS = 5000
 def assign_nearest(points: DataFrame, vec: str, centers: list[list[float]],
                    out: str = "cluster") -> DataFrame:
     """Nearest center by squared distance, ties to the lowest index. The k
-    centers (bounded by MAX_CENTERS) are one literal in the expression."""
+    centers (bounded by MAX_CENTERS) are one literal in the expression; see
+    :func:`predict` for models of any size."""
     if len(centers) > MAX_CENTERS:
         raise ValueError("too many centers")
     cs = F.lit([[float(v) for v in c] for c in centers])
@@ -55,9 +60,19 @@ def lloyd(points: DataFrame, key: str, vec: str, k: int, steps: int) -> DataFram
     return assign_nearest(pts, vec, centers).select(key, "cluster")
 
 
-#: Vector entries are summed as whole multiples of this, so that a centre does
-#: not depend on the order of rows or the number of partitions.
-UNIT = 2.0 ** -40
+#: Rows that a task adds up before it sends its sums: at 2**40 units each they stay below 2**62.
+ROWS_AT_ONCE = 1 << 22
+
+
+def unit_of(data: DataFrame, vec: str) -> float:
+    """Vector entries are summed as whole multiples of this, so that a centre does
+    not depend on the order of rows or the number of partitions: 2**-40 of the power of
+    two that covers the largest entry (and at least one)."""
+    size = F.abs(F.array_max(vec)), F.abs(F.array_min(vec))
+    largest = data.agg(F.max(F.greatest(*size))).first()[0] or 0.0
+    if not math.isfinite(largest):
+        raise ValueError("a vector has an entry that is not finite")
+    return 2.0 ** (max(0, math.ceil(math.log2(largest)) if largest else 0) - 40)
 
 
 def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -66,40 +81,66 @@ def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.round(far, 9).argmin(axis=1)
 
 
-def _partial_sums(vec: str, centers: np.ndarray):
-    """One task's sums: (cluster, dim, s) with dim -1 for the row count."""
+def _add(sums: np.ndarray, sizes: np.ndarray, label: np.ndarray, whole: np.ndarray, sign: int) -> None:
+    if len(label):
+        order = np.argsort(label, kind="stable")
+        first = np.flatnonzero(np.diff(label[order], prepend=-1))
+        sums[label[order][first]] += sign * np.add.reduceat(whole[order], first, axis=0)
+        sizes += sign * np.bincount(label, minlength=len(sizes))
+
+
+def _changed_sums(vec: str, before: np.ndarray | None, centers: np.ndarray, unit: float):
+    """One task's changes: (cluster, dim, s) with dim -1 for the row count."""
+    k, dim = centers.shape
+
     def run(batches):
-        k, dim = centers.shape
-        sums, sizes = np.zeros((k, dim), np.int64), np.zeros(k, np.int64)
+        sums, sizes, seen = np.zeros((k, dim), np.int64), np.zeros(k, np.int64), 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = batch.column(vec).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dim)
-            label = _nearest(x, centers)
-            order = np.argsort(label, kind="stable")
-            first = np.flatnonzero(np.diff(label[order], prepend=-1))
-            sums[label[order][first]] += np.add.reduceat(np.rint(x[order] / UNIT).astype(np.int64), first, axis=0)
-            sizes += np.bincount(label, minlength=k)
-        c, i = np.nonzero(sums)
-        used = np.flatnonzero(sizes)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((used, c)), pa.int32()),
-             pa.array(np.concatenate((np.full(len(used), -1), i)), pa.int32()),
-             pa.array(np.concatenate((sizes[used], sums[c, i])), pa.int64())], names=["cluster", "dim", "s"])
+            for data in batch.column("data"):
+                x = blocks.matrix(blocks.from_bytes(data).column(vec))
+                new = _nearest(x, centers)
+                moved = np.arange(len(x)) if before is None else np.flatnonzero((old := _nearest(x, before)) != new)
+                whole = np.rint(x[moved] / unit).astype(np.int64)
+                _add(sums, sizes, new[moved], whole, 1)
+                if before is not None:
+                    _add(sums, sizes, old[moved], whole, -1)
+                seen += len(moved)
+                if seen >= ROWS_AT_ONCE:
+                    yield _entries(sums, sizes)
+                    sums[:], sizes[:], seen = 0, 0, 0
+        if seen:
+            yield _entries(sums, sizes)
     return run
 
 
+def _entries(sums: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    c, i = np.nonzero(sums)
+    used = np.flatnonzero(sizes)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate((used, c)), pa.int32()),
+         pa.array(np.concatenate((np.full(len(used), -1), i)), pa.int32()),
+         pa.array(np.concatenate((sizes[used], sums[c, i])), pa.int64())], names=["cluster", "dim", "s"])
+
+
+def total(parts: DataFrame, *keys: str) -> np.ndarray:
+    """Rows (keys..., high, low) of the exact sums of ``s``: halves that no total overflows."""
+    pdf = (parts.groupBy(*keys).agg(F.sum(F.shiftright("s", 32)).alias("high"),
+                                    F.sum(F.col("s").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low")).toPandas())
+    return pdf[[*keys, "high", "low"]].to_numpy(np.int64)
+
+
 def assign(points: DataFrame, key: str, vec: str, centers: np.ndarray) -> DataFrame:
     """(key, vec, cluster): the nearest centre of each row."""
     kinds = dict(points.dtypes)
 
     def run(batches):
-        for pdf in batches:
-            if len(pdf):
-                x = np.vstack(pdf[vec].to_numpy()).astype(float)
-                yield pdf.assign(cluster=_nearest(x, centers).astype(np.int32))
+        for batch in batches:
+            if batch.num_rows:
+                label = _nearest(blocks.matrix(batch.column(vec)), centers)
+                yield pa.RecordBatch.from_arrays([batch.column(key), batch.column(vec), pa.array(label, pa.int32())],
+                                                 names=[key, vec, "cluster"])
 
-    return points.select(key, vec).mapInPandas(run, f"`{key}` {kinds[key]}, `{vec}` {kinds[vec]}, cluster int")
+    return points.select(key, vec).mapInArrow(run, f"`{key}` {kinds[key]}, `{vec}` {kinds[vec]}, cluster int")
 
 
 def kmeans(df: DataFrame, key: str, vec: str, k: int, seed: int,
@@ -107,233 +148,159 @@ def kmeans(df: DataFrame, key: str, vec: str, k: int, seed: int,
     """k-means on every row (C1): (centres, rows with their cluster).
 
     Starts from the k rows with the smallest seeded key hashes and repeats
-    Lloyd steps until no sum changes; the result is the same for any layout
-    of the rows. A step is one pass and one aggregate; the driver gets k
-    centres. A centre without rows stays. Asking for more clusters than rows
-    raises, and so do ``max_iter`` steps without an end."""
+    Lloyd steps until no row moves; the result is the same for any layout
+    of the rows. A step is one pass over packed rows and one aggregate of the changed
+    sums; the driver keeps k centres. A centre without rows stays. Asking for more
+    clusters than rows raises, and so do ``max_iter`` steps without an end, and
+    entries that are not finite."""
     data = df.select(key, vec).checkpoint(eager=True)
     start = quality.sample_points(data, key, k, seed).collect()
     if len(start) < k:
         raise ValueError(f"{k} clusters of {len(start)} rows")
     if not start:
         return np.zeros((0, 0)), data.withColumn("cluster", F.lit(0))
+    unit = unit_of(data, vec)
+    rows = blocks.packed(data.select(vec)).checkpoint(eager=True)
     centers = np.array([r[vec] for r in start], dtype=float)
-    before = None
+    sums, sizes = np.zeros(centers.shape, object), np.zeros(k, np.int64)
+    before, past = None, set()
     for _ in range(max_iter):
-        part = data.select(vec).mapInArrow(_partial_sums(vec, centers), "cluster int, dim int, s long")
-        # Halves of the sums, so that no total overflows.
-        now = (part.groupBy("cluster", "dim").agg(F.sum(F.shiftright("s", 32)).alias("high"),
-                                                  F.sum(F.col("s").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"))
-               .toPandas().sort_values(["cluster", "dim"]).to_numpy(np.int64))
-        now[:, 2] += now[:, 3] >> 32
-        now[:, 3] &= 0xFFFFFFFF
-        if before is not None and np.array_equal(now, before):
+        now = total(rows.mapInArrow(_changed_sums(vec, before, centers, unit), "cluster int, dim int, s long"), "cluster", "dim")
+        if not len(now):
             return centers, assign(data, key, vec, centers)
-        before = now
-        total = now[:, 2] * 2.0 ** 32 + now[:, 3]
         counts = now[:, 1] == -1
-        sizes = np.ones(k)
-        sizes[now[counts, 0]] = total[counts]
+        sizes[now[counts, 0]] += (now[counts, 2] << 32) + now[counts, 3]
+        c, i = now[~counts, 0], now[~counts, 1]
+        sums[c, i] += (now[~counts, 2].astype(object) << 32) + now[~counts, 3].astype(object)
+        used = sizes > 0
+        before = centers
         centers = centers.copy()
-        centers[now[counts, 0]] = 0.0
-        cells = now[~counts]
-        centers[cells[:, 0], cells[:, 1]] = total[~counts] / sizes[cells[:, 0]] * UNIT
+        centers[used] = sums[used].astype(float) / sizes[used, None] * unit
+        # The same centres again: rows only swap between equally near ones.
+        if (state := hashlib.blake2b(centers.tobytes()).digest()) in past:
+            return centers, assign(data, key, vec, centers)
+        past.add(state)
     raise RuntimeError(f"no convergence in {max_iter} steps")
 
 
-# ------------------------------------------------------------------ Ward merge
-
-
-def ward_tree(centers: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, float, int]]:
-    """Ward agglomeration of weighted points by nearest-neighbour chains,
-    O(m²) time and memory for m points. Returns merges (a, b, cost, new id)
-    sorted by cost; ids ≥ m are merged clusters.
-
-    Cost of merging A and B is the increase in within-cluster sum of
-    squares, n_A n_B / (n_A + n_B) ‖c_A − c_B‖²; updates follow the
-    Lance–Williams formula for Ward."""
-    m = len(centers)
-    if m <= 1:
-        return []
-    sq = (centers ** 2).sum(axis=1)
-    d2 = np.maximum(sq[:, None] + sq[None, :] - 2 * centers @ centers.T, 0.0)
-    n = sizes.astype(float).copy()
-    D = (n[:, None] * n[None, :] / (n[:, None] + n[None, :])) * d2
-    np.fill_diagonal(D, np.inf)
-    active = np.ones(m, dtype=bool)
-    node = np.arange(m)                      # slot → current cluster id
-    merges = []
-    next_id = m
-    chain: list[int] = []
-    while active.sum() > 1:
-        if not chain:
-            chain.append(int(np.flatnonzero(active)[0]))
-        a = chain[-1]
-        row = np.where(active, D[a], np.inf)
-        row[a] = np.inf
-        b = int(np.argmin(row))
-        if len(chain) >= 2 and row[chain[-2]] <= row[b]:
-            b = chain[-2]
-        if len(chain) >= 2 and b == chain[-2]:
-            chain.pop(); chain.pop()
-            cost = float(D[a, b])
-            na, nb = n[a], n[b]
-            # Lance–Williams update into slot a; slot b retires.
-            nk = n
-            newrow = ((na + nk) * D[a] + (nb + nk) * D[b] - nk * cost) / (na + nb + nk)
-            D[a, :] = newrow
-            D[:, a] = newrow
-            D[a, a] = np.inf
-            active[b] = False
-            D[b, :] = np.inf
-            D[:, b] = np.inf
-            n[a] = na + nb
-            merges.append((int(node[a]), int(node[b]), cost, next_id))
-            node[a] = next_id
-            next_id += 1
-        else:
-            chain.append(b)
-    # Relabel in order of cost (valid: Ward is a reducible linkage).
-    merges.sort(key=lambda t: t[2])
-    relabel: dict[int, int] = {}
-    out = []
-    for i, (a, b, cost, new) in enumerate(merges):
-        ra, rb = relabel.get(a, a), relabel.get(b, b)
-        nid = m + i
-        relabel[new] = nid
-        out.append((min(ra, rb), max(ra, rb), cost, nid))
-    return out
-
-
-def cut_tree(m: int, merges, k: int) -> np.ndarray:
-    """Cluster number 0..k-1 of each of the m leaves after the first m-k
-    merges; clusters numbered by their smallest leaf."""
-    parent = list(range(m + len(merges)))
-
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for a, b, _, nid in merges[:max(0, m - k)]:
-        parent[find(a)] = nid
-        parent[find(b)] = nid
-    roots = [find(i) for i in range(m)]
-    first = {}
-    for i, r in enumerate(roots):
-        first.setdefault(r, len(first))
-    return np.array([first[r] for r in roots])
-
-
-def leaf_order(m: int, merges) -> np.ndarray:
-    """Position of each leaf in the dendrogram order (children visited
-    smaller-leaf-first)."""
-    if m == 0:
-        return np.array([], dtype=int)
-    children = {nid: (a, b) for a, b, _, nid in merges}
-    low = {i: i for i in range(m)}
-    for a, b, _, nid in merges:
-        low[nid] = min(low[a], low[b])
-    roots = {i for i in range(m)} | set(children)
-    for a, b, _, _ in merges:
-        roots.discard(a); roots.discard(b)
-    order = []
-    for root in sorted(roots, key=lambda r: low[r]):
-        stack = [root]
-        while stack:
-            x = stack.pop()
-            if x < m:
-                order.append(x)
-            else:
-                a, b = children[x]
-                first, second = (a, b) if low[a] <= low[b] else (b, a)
-                stack.append(second)
-                stack.append(first)
-    pos = np.empty(m, dtype=int)
-    pos[np.array(order)] = np.arange(m)
-    return pos
-
-
-def ward_micro(df: DataFrame, key: str, vec: str, k: int, micro: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Agglomerative (Ward) clustering to k clusters via m micro-clusters
-    (C4), one for each row if there are fewer rows. Returns (rows: key,
-    micro, cluster, leaf_pos; micro table)."""
-    spark = df.sparkSession
-    centers, assigned = kmeans(df, key, vec, min(max(micro, k), df.count()), seed)
-    sizes = {int(r["cluster"]): int(r["n"]) for r in
-             assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
-    used = sorted(sizes)
-    if not used:  # an empty segment
-        table = spark.createDataFrame([], "micro int, ward_cluster int, leaf_pos int")
-        return assigned.select(key, F.col("cluster").alias("micro")).join(table, "micro"), table
-    merges = ward_tree(centers[used], np.array([sizes[i] for i in used]))
-    labels = cut_tree(len(used), merges, k)
-    pos = leaf_order(len(used), merges)
-    table = spark.createDataFrame(
-        [(int(u), int(labels[i]), int(pos[i])) for i, u in enumerate(used)],
-        "micro int, ward_cluster int, leaf_pos int")
-    rows = (assigned.select(key, F.col("cluster").alias("micro"))
-            .join(F.broadcast(table), "micro"))
-    return rows, table
-
-
-def leaf_rank(rows: DataFrame, key: str, out: str = "order") -> DataFrame:
-    """Rank 0..n-1 of every row in dendrogram order, ties within a
-    micro-cluster broken by key (C5, decision D12)."""
-    return dense_codes(rows.select("leaf_pos", key), ["leaf_pos", key], out).select(key, out)
-
-
-def _score_labels(lab: DataFrame, key: str, vec: str, dim: int, k: int) -> tuple:
-    lab = lab.select(key, vec, "cluster").cache()
-    st = quality.cluster_stats(lab, vec, "cluster", dim).cache()
-    db = quality.davies_bouldin_from_stats(st, "cluster").first()[0]
-    ch = quality.calinski_from_stats(st, lab, vec, dim).first()[0]
-    st.unpersist()
-    si = quality.silhouette(lab, key, vec, "cluster").first()[0]
-    nz = quality.noise_count(lab, "cluster").first()
-    lab.unpersist()
-    return (k, db, si, ch, nz["n_features"], nz["n_noise"])
-
-
-SWEEP_SCHEMA = ("k int, davies_bouldin_score double, silhouette_score double, "
+def model_table(spark, centers: np.ndarray) -> DataFrame:
+    """A fitted model as a table (cluster, centre)."""
+    return spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(centers)],
+                                 "cluster int, centre array<double>")
+
+
+def predict(points: DataFrame, key: str, vec: str, model: DataFrame) -> DataFrame:
+    """(key, cluster): the nearest centre of a model table for every row (C2),
+    ties (to nine digits) to the lowest cluster. Row blocks meet centre blocks in matrix
+    products; each pair of blocks gives one candidate per row. ``key`` is unique."""
+    kind = dict(points.dtypes)[key]
+
+    def work(left: pa.Table, right: pa.Table):
+        right = right.sort_by("cluster")
+        x, c = blocks.matrix(left.column(vec)), blocks.matrix(right.column("centre"))
+        far = np.round((c * c).sum(axis=1)[None, :] - 2.0 * (x @ c.T), 9)
+        best = far.argmin(axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [left.column(key).combine_chunks(), pa.array(far[np.arange(len(x)), best]),
+             right.column("cluster").combine_chunks().take(pa.array(best))], names=[key, "far", "cluster"])
+
+    near = blocks.meet(points.select(key, vec), model.select("cluster", "centre"), "cluster", work,
+                       f"`{key}` {kind}, far double, cluster int")
+    return near.groupBy(key).agg(F.min(F.struct("far", "cluster")).alias("m")).select(key, F.col("m.cluster").alias("cluster"))
+
+
+# ------------------------------------------------------------------ sweeps
+
+SWEEP_SCHEMA = ("method string, k int, davies_bouldin_score double, silhouette_score double, "
                 "calinski_harabasz_score double, n_features long, n_noise long")
+#: Packed bytes of a sample that may be broadcast: its rows are a parameter.
+SAMPLE_BYTES = 512 * 1024 * 1024
+
+
+def _fit_sample(x: np.ndarray, k: int) -> np.ndarray:
+    """k-means labels of a sample from its first k rows."""
+    centers, label = x[:k].copy(), np.full(len(x), -1)
+    for _ in range(1000):
+        new = _nearest(x, centers)
+        if np.array_equal(new, label):
+            break
+        label = new
+        order = np.argsort(label, kind="stable")
+        first = np.flatnonzero(np.diff(label[order], prepend=-1))
+        sizes = np.diff(np.append(first, len(x)))
+        centers[label[order][first]] = np.add.reduceat(x[order], first, axis=0) / sizes[:, None]
+    return label
+
+
+def _score_work(vec: str):
+    """Scores of each row of the left block (method, k, names, labels) on the sample."""
+    def work(left: pa.Table, right: pa.Table):
+        right = right.sort_by("place")
+        x = blocks.matrix(right.column(vec))
+        for r in left.to_pylist():
+            if r["method"] == "kmeans":
+                label = _fit_sample(x, r["k"])
+            elif r["names"]:
+                of = dict(zip(r["names"], r["labels"]))
+                label = np.array([of[p] for p in right.column("name").to_pylist()])
+            else:
+                label = np.array(r["labels"])
+            db, si, ch = quality.sample_scores(x, label)
+            noise = int((label == -1).sum())
+            values = (r["method"], r["k"], db, si, ch, len(np.unique(label[label != -1])), noise)
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, (
+                pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()))],
+                names=["method", "k", "davies_bouldin_score", "silhouette_score", "calinski_harabasz_score", "n_features", "n_noise"])
+    return work
+
+
+def _scored(sample: DataFrame, vec: str, tasks: DataFrame, n: int) -> DataFrame:
+    """``tasks`` (method, k, names, labels), one at a time, on the whole sample."""
+    return blocks.meet(tasks, sample, "place", _score_work(vec), SWEEP_SCHEMA, left_rows=1, right_rows=max(n, 1),
+                       broadcast_bytes=SAMPLE_BYTES)
+
+
+TASK_SCHEMA = "method string, k int, names array<string>, labels array<int>"
+
 
+def _tasks(spark, rows: list) -> DataFrame:
+    n = max(1, min(len(rows), 8 * spark.sparkContext.defaultParallelism))
+    return spark.createDataFrame(rows, TASK_SCHEMA).repartition(n)
 
-def sweep(df: DataFrame, key: str, vec: str, ks: list[int], seed: int,
-          sample: int, method: str = "kmeans") -> DataFrame:
-    """Take one repeatable sample (F9), fit it once per k and score each fit
-    on the same rows (C9, C10): one row per k with davies_bouldin_score,
-    silhouette_score, calinski_harabasz_score, n_features and n_noise. Values
-    of k above the number of rows have no fit and no row.
 
-    ``method="ward"`` fits the micro-clusters and the Ward tree once (for
-    the largest k) and cuts that one tree at every k."""
+def sweep(df: DataFrame, key: str, vec: str, ks: list[int], seed: int, sample: int,
+          methods: tuple[str, ...] = ("kmeans",)) -> DataFrame:
+    """One repeatable sample (F9), fitted for every k of the grid and scored on
+    the same rows (C9, C10): a row per method and k. Values of k above the number of rows
+    have no fit and no row. ``tree`` builds one divisive tree and cuts it at every k."""
     spark = df.sparkSession
-    # Many small jobs follow; cut the lineage once (reliable checkpoint in
-    # spark.checkpoint.dir) so each plans against a shallow table.
     data = quality.sample_points(df.select(key, vec), key, sample, seed).checkpoint(eager=True)
     n = data.count()
     ks = [k for k in ks if k <= n]
-    dim = quality.vector_dim(data, vec)
-    out = []
-    if method == "ward" and ks:
-        centers, assigned = kmeans(data, key, vec, min(max(4 * max(ks), 64), n), seed)
-        sizes = {int(r["cluster"]): int(r["n"]) for r in
-                 assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
-        used = sorted(sizes)
-        merges = ward_tree(centers[used], np.array([sizes[i] for i in used]))
-        micro_rows = assigned.select(key, vec, F.col("cluster").alias("micro")).checkpoint(eager=True)
-    for k in ks:
-        if method == "ward":
-            labels = cut_tree(len(used), merges, k)
-            table = spark.createDataFrame([(int(u), int(labels[i])) for i, u in enumerate(used)],
-                                          "micro int, cluster int")
-            lab = micro_rows.join(F.broadcast(table), "micro")
-        else:
-            _, lab = kmeans(data, key, vec, k, seed)
-        out.append(_score_labels(lab, key, vec, dim, k))
-    return spark.createDataFrame(out, SWEEP_SCHEMA)
+    tasks = [("kmeans", k, [], []) for k in ks] if "kmeans" in methods else []
+    names = data.withColumn("name", F.lit(""))
+    if "tree" in methods and ks:
+        grown = tree.grow(data.withColumn("grp", F.lit("all")), key, vec, {"all": max(ks)})
+        names = grown.rows(data.withColumn("grp", F.lit("all")), key, vec, keep=[vec]).select(key, vec, F.col("path").alias("name"))
+        cuts = grown.cuts("all")
+        leaves = sorted(cuts)
+        # A tree may have fewer leaves than asked for: equal rows are never split.
+        tasks += [("tree", k, leaves, [cuts[p][min(k, len(leaves)) - 1] for p in leaves]) for k in ks if k <= len(leaves)]
+    if not tasks:
+        return spark.createDataFrame([], SWEEP_SCHEMA)
+    seeded = F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), F.col(key).cast("string"))
+    return _scored(names.select(seeded.alias("place"), vec, "name"), vec, _tasks(spark, tasks), n)
+
+
+def score_labels(points: DataFrame, key: str, vec: str, labels: DataFrame) -> DataFrame:
+    """The scores of given labels (k, key, label) on the rows of a sample, for
+    every k at once. Every k labels every row."""
+    n = points.count()
+    lists = labels.groupBy("k").agg(F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("p"), "label"))).alias("l"))
+    tasks = lists.select(F.lit("given").alias("method"), F.col("k").cast("int").alias("k"),
+                         F.array().cast("array<string>").alias("names"),
+                         F.transform("l", lambda s: s["label"].cast("int")).alias("labels"))
+    return _scored(points.select(F.col(key).cast("string").alias("place"), vec, F.lit("").alias("name")), vec, tasks, n)
 
 
 def best_k(sweep_table: DataFrame, metric: str = "silhouette_score", higher: bool = True) -> DataFrame:

@@ -67,8 +67,13 @@ def customer_info(cx: DataFrame, tx: DataFrame, arts: DataFrame) -> DataFrame:
     """The customer feature table: cleaned and one-hot customer columns plus
     gender shares of their purchases (J2). Customers without purchases get
     shares 0."""
+    return info_of_purchases(cx, purchases(tx), arts)
+
+
+def info_of_purchases(cx: DataFrame, purch: DataFrame, arts: DataFrame) -> DataFrame:
+    """The same from purchase counts (customer_id, article_id, n)."""
     onehot = customer_onehot(clean_customers(cx))
-    shares = gender_shares(gender_sums(purchases(tx), article_flags(arts)))
+    shares = gender_shares(gender_sums(purch, article_flags(arts)))
     j = onehot.join(shares, "customer_id", "left")
     return j.select(*onehot.columns, *[clean.fill_zero(g).alias(g) for g in GENDERS])
 

@@ -39,7 +39,7 @@ def standardise(df: DataFrame, cols: list[str]) -> DataFrame:
     return out
 
 
-def model_inputs(info: DataFrame, shares: DataFrame, extra: DataFrame | None = None,
+def model_inputs(info: DataFrame, shares: DataFrame | None, extra: DataFrame | None = None,
                  extra_cols: list[str] | None = None) -> DataFrame:
     """One row per customer that has preferences (J10, P2): age category
     and the customer columns (plus optional standardised cluster columns)."""
@@ -104,6 +104,33 @@ def gram(x: DataFrame, shares: DataFrame, cols: list[str], group: str | None = N
     return out.filter(F.col("_c") > 0).select(*g, "block", "i", "j", "value")
 
 
+#: Sums of squares about the mean up to this count as none (a constant column).
+CONSTANT = 1e-9
+
+
+def marginal_coefs(gram_df: DataFrame, cols: int, n_age: int = params.AGE_CATEGORIES) -> DataFrame:
+    """(x_idx, feature_idx, coef) of a model in closed form, as joins of Gram
+    entries: an age category predicts its mean shares, and each of ``cols``
+    columns adds its slope taken alone, divided by their number."""
+    base = 1 + n_age
+    g = gram_df.checkpoint(eager=True)
+    xx, xy = g.where("block = 'xx'"), g.where("block = 'xy'").select(F.col("i").alias("x_idx"), F.col("j").alias("feature_idx"), "value")
+    n = xx.where("i = 0 and j = 0").first()
+    n = n["value"] if n else 0.0
+    sums = xx.where((F.col("i") == 0) & (F.col("j") > 0)).select(F.col("j").alias("x_idx"), F.col("value").alias("s"))
+    squares = xx.where((F.col("i") == F.col("j")) & (F.col("j") >= base)).select(F.col("j").alias("x_idx"), F.col("value").alias("ss"))
+    spread = F.col("ss") - F.col("s") * F.col("s") / n
+    totals = xy.where("x_idx = 0").select("feature_idx", F.col("value").alias("y"))
+    slope = (xy.where(F.col("x_idx") >= base).join(sums.join(squares, "x_idx").where(spread > CONSTANT), "x_idx").join(totals, "feature_idx")
+             .select("x_idx", "feature_idx", ((F.col("value") - F.col("s") * F.col("y") / n) / spread / cols).alias("coef"),
+                     (F.col("s") / n).alias("m")))
+    bias = slope.groupBy("feature_idx").agg((-F.sum(F.col("coef") * F.col("m"))).alias("coef")).select(
+        F.lit(0).cast("long").alias("x_idx"), "feature_idx", "coef")
+    ages = xy.where((F.col("x_idx") > 0) & (F.col("x_idx") < base)).join(sums, "x_idx").select(
+        "x_idx", "feature_idx", (F.col("value") / F.col("s")).alias("coef"))
+    return bias.unionByName(ages).unionByName(slope.select("x_idx", "feature_idx", "coef"))
+
+
 def lasso_gram(G: np.ndarray, C: np.ndarray, n: float, lam: float | np.ndarray,
                tol: float = 1e-8, max_iter: int = 5000) -> np.ndarray:
     """Minimise (1/2n)‖Y − XB‖² + lam Σ_{i≥1} |B_i| (row 0 = unpenalised
@@ -135,6 +162,30 @@ def lasso_gram(G: np.ndarray, C: np.ndarray, n: float, lam: float | np.ndarray,
     raise RuntimeError(f"no convergence in {max_iter} sweeps: last step {delta:.3g}")
 
 
+#: Ridge of the reduced-rank solve, on standardised columns.
+RIDGE = 1e-3
+
+
+def standardised_gram(G: np.ndarray, C: np.ndarray, n: float):
+    """(live, mean, sd, y_mean, S, T): columns that vary, and the Gram of the
+    standardised columns and centred targets, divided by n."""
+    mean, y_mean = G[0] / n, C[0] / n
+    sd = np.sqrt(np.maximum(np.diag(G) / n - mean ** 2, 0.0))
+    sd[0] = 0.0
+    live = np.flatnonzero(sd > 1e-12)
+    S = (G[np.ix_(live, live)] / n - np.outer(mean[live], mean[live])) / np.outer(sd[live], sd[live])
+    T = (C[live] / n - np.outer(mean[live], y_mean)) / sd[live][:, None]
+    return live, mean, sd, y_mean, S, T
+
+
+def _raw_scale(Z: np.ndarray, shape, live, mean, sd, y_mean) -> np.ndarray:
+    """Coefficients on the raw scale, row 0 the bias."""
+    B = np.zeros(shape)
+    B[live] = Z / sd[live][:, None]
+    B[0] = y_mean - mean[live] @ B[live]
+    return B
+
+
 def lasso_standardised(G: np.ndarray, C: np.ndarray, n: float, strength: float) -> np.ndarray:
     """L1 regression on standardised columns, from the Gram of the raw ones.
 
@@ -142,23 +193,62 @@ def lasso_standardised(G: np.ndarray, C: np.ndarray, n: float, strength: float)
     smallest one that zeroes all its coefficients, max_j |corr(x_j, y)|.
     Columns that never vary get 0. Coefficients are returned on the raw
     scale."""
-    mean, y_mean = G[0] / n, C[0] / n
-    sd = np.sqrt(np.maximum(np.diag(G) / n - mean ** 2, 0.0))
-    sd[0] = 0.0
-    live = np.flatnonzero(sd > 1e-12)
-    B = np.zeros(C.shape)
+    live, mean, sd, y_mean, S, T = standardised_gram(G, C, n)
+    Z = np.zeros(T.shape)
     if len(live):
-        S = np.eye(1 + len(live))
-        S[1:, 1:] = (G[np.ix_(live, live)] / n - np.outer(mean[live], mean[live])) / np.outer(sd[live], sd[live])
-        T = np.zeros((1 + len(live), C.shape[1]))
-        T[1:] = (C[live] / n - np.outer(mean[live], y_mean)) / sd[live][:, None]
-        lam = strength * np.abs(T[1:]).max(axis=0)
-        B[live] = lasso_gram(S, T, 1.0, lam)[1:] / sd[live][:, None]
-    B[0] = y_mean - mean[live] @ B[live]
-    return B
+        one = np.eye(1 + len(live))
+        one[1:, 1:] = S
+        Z = lasso_gram(one, np.vstack([np.zeros(C.shape[1]), T]), 1.0, strength * np.abs(T).max(axis=0))[1:]
+    return _raw_scale(Z, C.shape, live, mean, sd, y_mean)
+
+
+def reduced_rank(G: np.ndarray, C: np.ndarray, n: float, rank: int, ridge: float = RIDGE) -> np.ndarray:
+    """Ridge regression on standardised columns whose coefficients (bias apart)
+    have at most ``rank`` dimensions, as the surveyed network's have: the ridge solution
+    projected onto the leading eigenvectors of its fitted covariance, which is the
+    optimum under the cap. Same scale and bias as :func:`lasso_standardised`."""
+    live, mean, sd, y_mean, S, T = standardised_gram(G, C, n)
+    Z = np.linalg.solve(S + ridge * np.eye(len(live)), T) if len(live) else np.zeros(T.shape)
+    if min(Z.shape, default=0) > rank:
+        _, vectors = np.linalg.eigh(T.T @ Z)
+        V = vectors[:, -rank:]
+        Z = Z @ V @ V.T
+    return _raw_scale(Z, C.shape, live, mean, sd, y_mean)
+
+
+def lasso_conditions(G, C, n, strength: float, B: np.ndarray, tol: float = 1e-6) -> np.ndarray:
+    """For each target, whether coefficients meet the optimality conditions of
+    :func:`lasso_standardised`: the gradient of a non-zero coefficient equals the penalty
+    with its sign, that of a zero one stays within it, and the bias fits the means."""
+    live, mean, sd, y_mean, S, T = standardised_gram(G, C, n)
+    Z = B[live] * sd[live][:, None]
+    gradient = T - S @ Z
+    penalty = strength * np.abs(T).max(axis=0, initial=0.0)
+    on = np.where(Z != 0, np.abs(gradient - penalty * np.sign(Z)), np.maximum(np.abs(gradient) - penalty, 0.0))
+    bias = np.abs(B[0] + mean[live] @ B[live] - y_mean)
+    still = np.setdiff1d(np.arange(1, len(B)), live)
+    return (on.max(axis=0, initial=0.0) <= tol) & (bias <= tol) & (B[still] == 0).all(axis=0)
+
+
+def rank_conditions(G, C, n, rank: int, B: np.ndarray, ridge: float = RIDGE, tol: float = 1e-6) -> np.ndarray:
+    """For each target, whether coefficients are the optimum of :func:`reduced_rank`:
+    at most ``rank`` dimensions, no gradient left inside them, and none of the dimensions left out
+    explains more than any kept one."""
+    live, mean, sd, y_mean, S, T = standardised_gram(G, C, n)
+    Z = B[live] * sd[live][:, None]
+    A = S + ridge * np.eye(len(live))
+    _, size, rows = np.linalg.svd(Z, full_matrices=False) if Z.size else (None, np.zeros(0), np.zeros((0, C.shape[1])))
+    V = rows[size > 1e-9 * max(size.max(initial=0.0), 1e-300)].T
+    inside = (T - A @ Z) @ V @ V.T
+    kept = np.linalg.eigvalsh(V.T @ T.T @ np.linalg.solve(A, T @ V)) if V.size else np.zeros(0)
+    rest = T - T @ V @ V.T
+    left = np.linalg.eigvalsh(rest.T @ np.linalg.solve(A, rest)).max(initial=0.0) if Z.size else 0.0
+    whole = V.shape[1] <= rank and (V.shape[1] < rank or left <= kept.min(initial=np.inf) + tol)
+    bias = np.abs(B[0] + mean[live] @ B[live] - y_mean)
+    return whole & (np.abs(inside).max(axis=0, initial=0.0) <= tol) & (bias <= tol)
 
 
-def _dense(entries: pd.DataFrame, p: int, width: int) -> tuple[np.ndarray, np.ndarray, float]:
+def dense_gram(entries: pd.DataFrame, p: int, width: int) -> tuple[np.ndarray, np.ndarray, float]:
     G = np.zeros((p, p))
     C = np.zeros((p, width))
     xx = entries[entries.block == "xx"]
@@ -170,10 +260,11 @@ def _dense(entries: pd.DataFrame, p: int, width: int) -> tuple[np.ndarray, np.nd
 
 
 def fit_pref_regression(gram_df: DataFrame, p: int, width: int, lam: float = params.L1_STRENGTH,
-                        group: str | None = None, groups: list[str] | None = None) -> DataFrame:
-    """Solve the L1 regression from Gram entries (bounded: p² + p·width
-    numbers per group). Returns (grp?, x_idx, feature_idx, coef) for non-zero
-    coefficients (M1, M7)."""
+                        group: str | None = None, groups: list[str] | None = None,
+                        rank: int | None = None) -> DataFrame:
+    """Solve the L1 regression, or with ``rank`` the one of capped rank, from
+    Gram entries (bounded: p² + p·width numbers per group). Returns (grp?, x_idx,
+    feature_idx, coef) for non-zero coefficients (M1, M7)."""
     spark = gram_df.sparkSession
     pdf = gram_df.toPandas()
     rows = []
@@ -182,10 +273,10 @@ def fit_pref_regression(gram_df: DataFrame, p: int, width: int, lam: float = par
         part = pdf if group is None else pdf[pdf[group] == key]
         if group is not None and part.empty:
             continue
-        G, C, n = _dense(part, p, width)
+        G, C, n = dense_gram(part, p, width)
         if n <= 0:
             continue
-        B = lasso_standardised(G, C, n, lam)
+        B = lasso_standardised(G, C, n, lam) if rank is None else reduced_rank(G, C, n, rank)
         nz = np.argwhere(B != 0)
         rows += [((key,) if group else ()) + (int(i), int(f), float(B[i, f])) for i, f in nz]
     schema = ("" if group is None else f"{group} string, ") + "x_idx long, feature_idx long, coef double"

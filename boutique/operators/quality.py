@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boutique.functions.clean import distance, squared_distance
+from boutique.operators import blocks
 from boutique.operators.bounded import bounded_broadcast
 
 
@@ -127,22 +129,35 @@ def sample_points(points: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 SILHOUETTE_BLOCK = 2048
 
 
-def _block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """(k, label, other, s): each left row's summed distance to the right
-    rows of every label."""
-    if left.empty or right.empty:
-        return pd.DataFrame({"k": [], "label": [], "other": [], "s": []})
-    x = np.vstack(left["v"].to_numpy()).astype(float)
-    y = np.vstack(right["v2"].to_numpy()).astype(float)
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     d2 = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2.0 * (x @ y.T)
-    dist = np.sqrt(np.maximum(d2, 0.0))
-    dist[left["k"].to_numpy()[:, None] == right["k2"].to_numpy()[None, :]] = 0.0
-    others, inverse = np.unique(right["label2"].to_numpy(), return_inverse=True)
-    onehot = np.zeros((len(y), len(others)))
-    onehot[np.arange(len(y)), inverse] = 1.0
-    return pd.DataFrame({"k": np.repeat(left["k"].to_numpy(), len(others)),
-                         "label": np.repeat(left["label"].to_numpy(), len(others)),
-                         "other": np.tile(others, len(x)), "s": (dist @ onehot).reshape(-1)})
+    return np.sqrt(np.maximum(d2, 0.0))
+
+
+def _label_sums(dist: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct labels of the columns, and each row's sum over the columns of a label."""
+    order = np.argsort(label, kind="stable")
+    first = np.flatnonzero(np.append(True, label[order][1:] != label[order][:-1]))
+    return label[order][first], np.add.reduceat(dist[:, order], first, axis=1)
+
+
+def _block_sums(pairs):
+    """(k, label, other, s): each row's summed distance to the rows of every
+    label of the other block; the distances of a pair of blocks serve both sides."""
+    for batch in pairs:
+        for one, two, same in zip(batch.column("data"), batch.column("other"), batch.column("same").to_pylist()):
+            left, right = (blocks.from_bytes(t) for t in (one, two))
+            dist = _distances(blocks.matrix(left.column("v")), blocks.matrix(right.column("v")))
+            if same:
+                np.fill_diagonal(dist, 0.0)
+            for a, b, d in ((left, right, dist), (right, left, dist.T))[:1 if same else 2]:
+                others, s = _label_sums(d, b.column("label").to_numpy())
+                n, m = s.shape
+                rows = pa.array(np.repeat(np.arange(n), m))
+                yield pa.RecordBatch.from_arrays(
+                    [a.column("k").combine_chunks().take(rows), a.column("label").combine_chunks().take(rows),
+                     pa.array(np.tile(others, n)).cast(a.schema.field("label").type), pa.array(s.reshape(-1))],
+                    names=["k", "label", "other", "s"])
 
 
 def silhouette(points: DataFrame, key: str, vec: str = "embedding", label: str = "label",
@@ -150,22 +165,20 @@ def silhouette(points: DataFrame, key: str, vec: str = "embedding", label: str =
     """Exact Euclidean silhouette over every row.
 
     The score needs each row's mean distance to every cluster, which is
-    quadratic work. Rows are cut into blocks by a hash of the key; executors
-    take one pair of blocks at a time and emit one partial sum per (row,
-    label), never a pair of rows. Keys are distinct; rows without a label
-    have no score."""
-    n = points.count()
-    blocks = max(1, -(-n // block))
+    quadratic work. Rows are cut into blocks by a hash of the key and packed; a
+    triangular schedule takes every unordered pair of blocks once, and its distances
+    give the partial sums of both sides, one per (row, label), never a pair
+    of rows. Keys are distinct; rows without a label have no score."""
     pts = points.where(F.col(label).isNotNull()).select(
-        F.col(key).alias("k"), F.col(label).alias("label"), F.col(vec).alias("v"),
-        F.pmod(F.xxhash64(key), F.lit(blocks)).alias("b"))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    left = pts.select("k", "label", "v", "b", every.alias("c"))
-    right = pts.select(*[F.col(c).alias(f"{c}2") for c in ("k", "label", "v")], F.col("b").alias("c2"),
-                       every.alias("b2"))
+        F.col(key).alias("k"), F.col(label).alias("label"), F.col(vec).alias("v"))
+    data, count = blocks.numbered(pts, "k", block)
+    data = data.checkpoint(eager=True)
+    left = data.select(F.col("block").alias("b"), F.col("packed").alias("data"),
+                       F.explode(F.sequence(F.col("block"), F.lit(count - 1).cast("long"))).alias("c"))
+    right = data.select(F.col("block").alias("c"), F.col("packed").alias("other"))
+    pairs = left.join(right, "c").select("data", "other", (F.col("b") == F.col("c")).alias("same"))
     kind = dict(pts.dtypes)
-    part = left.groupBy("b", "c").cogroup(right.groupBy("b2", "c2")).applyInPandas(
-        _block_sums, f"k {kind['k']}, label {kind['label']}, other {kind['label']}, s double")
+    part = pairs.mapInArrow(_block_sums, f"k {kind['k']}, label {kind['label']}, other {kind['label']}, s double")
     sizes = pts.groupBy(F.col("label").alias("other")).agg(F.count("*").alias("n"))
     per = part.groupBy("k", "label", "other").agg(F.sum("s").alias("s")).join(sizes, "other")
     own = F.col("label") == F.col("other")
@@ -176,6 +189,43 @@ def silhouette(points: DataFrame, key: str, vec: str = "embedding", label: str =
     return ab.agg(F.round(F.avg(score), 6).alias("silhouette_score"))
 
 
+def sample_scores(x: np.ndarray, label: np.ndarray) -> tuple[float | None, float | None, float | None]:
+    """(Davies-Bouldin, silhouette, Calinski-Harabasz) of a sample that a task
+    holds; None for fewer than two clusters, or as many clusters as rows."""
+    names, place = np.unique(label, return_inverse=True)
+    n, k = len(x), len(names)
+    if not 2 <= k < n:
+        return None, None, None
+    size = np.bincount(place, minlength=k).astype(float)
+    order = np.argsort(place, kind="stable")
+    first = np.searchsorted(place[order], np.arange(k))
+    centre = np.add.reduceat(x[order], first, axis=0) / size[:, None]
+    off = x - centre[place]
+    square = (off * off).sum(axis=1)
+    spread = np.bincount(place, np.sqrt(square), k) / size
+    apart = _distances(centre, centre)
+    np.fill_diagonal(apart, 0.0)
+    ratio = np.divide(spread[:, None] + spread[None, :], apart, out=np.zeros_like(apart), where=apart > 0)
+    middle = centre - x.mean(axis=0)
+    within = square.sum()
+    between = (size * (middle * middle).sum(axis=1)).sum()
+    ch = 1.0 if within == 0 else between * (n - k) / (within * (k - 1))
+    total = 0.0
+    for at in range(0, n, SILHOUETTE_BLOCK):
+        d = _distances(x[at:at + SILHOUETTE_BLOCK], x)
+        d[np.arange(len(d)), at + np.arange(len(d))] = 0.0
+        s = _label_sums(d, place)[1]
+        own = place[at:at + SILHOUETTE_BLOCK]
+        rows = np.arange(len(d))
+        a = np.divide(s[rows, own], size[own] - 1, out=np.zeros(len(d)), where=size[own] > 1)
+        s = s / size[None, :]
+        s[rows, own] = np.inf
+        b = s.min(axis=1)
+        top = np.maximum(a, b)
+        total += np.divide(b - a, top, out=np.zeros(len(d)), where=(top > 0) & (size[own] > 1)).sum()
+    return round(float(ratio.max(axis=1).mean()), 6), round(float(total / n), 6), round(float(ch), 6)
+
+
 def silhouette_squared(points: DataFrame, vec: str = "embedding", label: str = "label",
                        dim: int | None = None, max_clusters: int = 100_000) -> DataFrame:
     """Silhouette with squared Euclidean distance over all rows in O(n·k):

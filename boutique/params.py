@@ -74,6 +74,9 @@ KGRID_ALL = (200, 550, 5)
 
 # Model widths.
 PREFERENCE_WIDTH = 620
+# Rank of the surveyed network's linear map, its bias apart: the age embedding's
+# width and the two input widths.
+PREFERENCE_RANK = 16 + 7 + 4
 # Share of the smallest penalty that zeroes every coefficient of a target.
 L1_STRENGTH = 0.1
 

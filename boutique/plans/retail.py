@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from boutique import params
 from boutique import sources as src
 from boutique.operators import customers as cust
-from boutique.operators import encode, lifespan, prefs
+from boutique.operators import encode, lifespan, prefs, score
 from boutique.sources.tables import kept, once
 
 
@@ -71,6 +71,39 @@ def shares(spark: SparkSession, d: str) -> DataFrame:
     return prefs.pref_shares(counts(spark, d))
 
 
+def purchases(spark: SparkSession, d: str) -> DataFrame:
+    """(customer_id, article_id, n, n_train, n_test, First_Date, Last_Date): one
+    aggregate of the transactions, from which a query with several uses of
+    them takes counts, both sides of the test cutoff and lifespans."""
+    def build():
+        test = F.col("t_dat") >= F.lit(params.TEST_CUTOFF).cast("date")
+        return kept(recent(spark, d).groupBy("customer_id", "article_id").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(test, F.lit(True))).alias("n_train"),
+            F.count_if(test).alias("n_test"), F.min("t_dat").alias("First_Date"), F.max("t_dat").alias("Last_Date")))
+    return once((id(spark), d, "purchases"), build)
+
+
+def purchased_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Preference shares from :func:`purchases`, kept for the query."""
+    return once((id(spark), d, "purchased shares"), lambda: kept(prefs.pref_shares(prefs.pref_counts(
+        purchases(spark, d).select("customer_id", "article_id", "n"), art_long(spark, d)))))
+
+
+def purchased_info(spark: SparkSession, d: str) -> DataFrame:
+    """The customer feature table from :func:`purchases`, kept for the query."""
+    return once((id(spark), d, "purchased info"), lambda: kept(cust.info_of_purchases(
+        src.customers(spark, d), purchases(spark, d).select("customer_id", "article_id", "n"), src.articles(spark, d))))
+
+
+def live_slots(spark: SparkSession, d: str) -> DataFrame:
+    """Feature slots of the live articles, from :func:`purchases`."""
+    def build():
+        ends = purchases(spark, d).groupBy("article_id").agg(F.max("Last_Date").alias("Last_Date"))
+        ids = lifespan.last_sale_between(ends, first_cutoff=params.LIVE_CUTOFF)
+        return kept(score.article_slots(ids, art_long(spark, d)))
+    return once((id(spark), d, "live slots"), build)
+
+
 def live(spark: SparkSession, d: str) -> DataFrame:
     """Live article ids: last sale on/after the live cutoff."""
     return lifespan.last_sale_between(lifespans(spark, d),

@@ -7,8 +7,7 @@ import __spark_entry__ as entry
 from conftest import SF001
 
 # Queries whose result is assembled on the driver from bounded aggregates.
-LOCAL_RESULTS = {"kmeans_sweep", "ward_sweep", "eval_auc", "pref_regression",
-                 "pref_regression_by_segment"}
+LOCAL_RESULTS = {"eval_auc", "pref_regression", "pref_regression_by_segment", "pref_regression_rank"}
 
 
 def _plan(df) -> str:

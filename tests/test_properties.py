@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boutique import params as P
-from boutique.operators import lifespan, cluster, model, quality, score
+from boutique.operators import cluster, lifespan, model, quality, score, tree
 from boutique.plans import catalog, catalog_models  # noqa: F401
 from boutique.plans import retail as R
 from conftest import SF001, SF01
@@ -65,47 +65,100 @@ def test_pref_shares_partition_independent(spark):
     assert run(1) == run(5)
 
 
-def _brute_ward(x, k):
-    clusters = [[i] for i in range(len(x))]
-    while len(clusters) > k:
-        best = None
-        for a in range(len(clusters)):
-            for b in range(a + 1, len(clusters)):
-                ca, cb = x[clusters[a]], x[clusters[b]]
-                na, nb = len(ca), len(cb)
-                cost = na * nb / (na + nb) * ((ca.mean(0) - cb.mean(0)) ** 2).sum()
-                if best is None or cost < best[0]:
-                    best = (cost, a, b)
-        _, a, b = best
-        clusters[a] = clusters[a] + clusters[b]
-        del clusters[b]
-    return sorted(sorted(c) for c in clusters)
-
-
-def test_ward_tree_matches_brute_force():
+def _grow(spark, rows, leaves, n=3):
+    points = spark.createDataFrame([(i, g, [float(v) for v in x]) for i, g, x in rows], "k int, grp string, v array<double>")
+    return points, tree.grow(points.repartition(n), "k", "v", leaves)
+
+
+def test_tree_splits_groups_apart_and_ignores_the_layout(spark):
     rng = np.random.default_rng(3)
-    x = rng.normal(size=(24, 3))
-    merges = cluster.ward_tree(x, np.ones(len(x)))
-    for k in (2, 5, 9):
-        lab = cluster.cut_tree(len(x), merges, k)
-        got = sorted(sorted(np.flatnonzero(lab == c).tolist()) for c in range(k))
-        assert got == _brute_ward(x, k)
-    pos = cluster.leaf_order(len(x), merges)
-    assert sorted(pos.tolist()) == list(range(len(x)))
+    spots = np.array([[0, 0], [10, 0], [0, 12], [30, 30]])
+    rows = [(i, "a", spots[i % 4] + rng.normal(0, 0.3, 2)) for i in range(80)] + [(100 + i, "b", [1, 1]) for i in range(9)]
+    rows += [(200 + i, "c", [i, 0]) for i in range(2)]
+    results = []
+    for n in (1, 7):
+        points, grown = _grow(spark, rows, {"a": 4, "b": 5, "c": 9, "none": 3}, n)
+        assert len(grown.leaves("a")) == 4 and grown.leaves("b") == [""] and len(grown.leaves("c")) == 2
+        path = {(r.k, r.grp): r.path for r in grown.rows(points, "k", "v").collect()}
+        assert {len({path[i, "a"] for i in range(80) if i % 4 == s}) for s in range(4)} == {1}
+        cuts = grown.cuts("a")
+        for k in range(1, 5):
+            assert len({c[k - 1] for c in cuts.values()}) == k
+        assert all(len({c[k] for c in cuts.values() if c[k - 1] == x}) <= 2 for k in range(1, 4) for x in range(k))
+        ranks = tree.leaf_ranks(grown.rows(points, "k", "v"), "k").collect()
+        assert sorted(r.order for r in ranks if r.grp == "a") == list(range(80))
+        results.append((path, sorted(map(tuple, ranks)), grown.sse))
+    assert results[0] == results[1]
+
+
+def test_tree_of_nothing(spark):
+    empty, grown = _grow(spark, [], {"a": 4})
+    assert grown.leaves("a") == [] and grown.cuts("a") == {} and grown.rows(empty, "k", "v").count() == 0
+
+
+def test_sums_of_squares_of_the_tree(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1e6, (200, 5))
+    points, grown = _grow(spark, [(i, "a", v) for i, v in enumerate(x)], {"a": 6})
+    label = {r.k: r.path for r in grown.rows(points, "k", "v").collect()}
+    for leaf in grown.leaves("a"):
+        own = x[[i for i in range(200) if label[i] == leaf]]
+        assert len(own) == grown.size["a", leaf] and np.isclose(((own - own.mean(0)) ** 2).sum(), grown.sse["a", leaf])
+
+
+def test_kmeans_of_large_values_and_bad_ones(spark):
+    rows = [(i, [1e7 * (i % 3), float(i % 3)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "k int, v array<double>")
+    centers, got = cluster.kmeans(df, "k", "v", 3, 1)
+    assert sorted(map(tuple, centers.tolist())) == [(0.0, 0.0), (1e7, 1.0), (2e7, 2.0)]
+    assert len({(r.k % 3, r.cluster) for r in got.collect()}) == 3
+    with pytest.raises(ValueError):
+        cluster.kmeans(spark.createDataFrame([(1, [float("inf")]), (2, [1.0])], "k int, v array<double>"), "k", "v", 1, 1)
+
+
+def test_predict_over_many_blocks(spark, monkeypatch):
+    from boutique import sources
+    from boutique.operators import blocks
+    emb = sources.embeddings(spark, SF001)
+    held = emb.where("vec_id % 3 = 0").select((F.col("vec_id") / 3).cast("int").alias("cluster"), F.col("embedding").alias("centre"))
+    one = sorted(map(tuple, cluster.predict(emb, "vec_id", "embedding", held).collect()))
+    x = np.array([r.embedding for r in emb.orderBy("vec_id").collect()])
+    d = ((x[:, None, :] - x[None, ::3, :]) ** 2).sum(-1)
+    assert one == [(i, int(c)) for i, c in enumerate(d.argmin(axis=1))]
+    assert len(blocks.numbered(held, "cluster", 20)[0].collect()) > 1
 
 
-def test_ward_weighted_equals_duplicated_points():
+def test_sweep_fits_and_scores(spark):
     rng = np.random.default_rng(5)
-    x = rng.normal(size=(8, 2))
-    w = np.array([1, 2, 1, 3, 1, 1, 2, 1])
-    dup = np.repeat(x, w, axis=0)
-    lab_w = cluster.cut_tree(8, cluster.ward_tree(x, w), 3)
-    lab_d = cluster.cut_tree(len(dup), cluster.ward_tree(dup, np.ones(len(dup))), 3)
-    owner = np.repeat(np.arange(8), w)
-    first = {}
-    for i, o in enumerate(owner):
-        first.setdefault(o, lab_d[i])
-    assert len({(lab_w[o], first[o]) for o in range(8)}) == 3
+    spots = rng.normal(0, 50, (6, 4))
+    rows = [(f"c{i}", [float(v) for v in spots[i % 6] + rng.normal(0, 1, 4)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, v array<double>")
+    got = cluster.sweep(df, "k", "v", [2, 4, 6, 8, 500], 42, 1000, ("kmeans", "tree")).collect()
+    assert sorted((r.method, r.k) for r in got) == [(m, k) for m in ("kmeans", "tree") for k in (2, 4, 6, 8)]
+    assert max((r for r in got if r.method == "tree"), key=lambda r: r.silhouette_score).k == 6
+    labels = df.select("k", (F.substring("k", 2, 9).cast("int") % 6).alias("label"))
+    pts = df.join(labels, "k")
+    want = (quality.davies_bouldin(pts, "v", "label").first()[0], quality.silhouette(pts, "k", "v", "label", block=20).first()[0],
+            quality.calinski_harabasz(pts, "v", "label").first()[0])
+    six = next(r for r in got if (r.method, r.k) == ("tree", 6))
+    assert np.allclose((six.davies_bouldin_score, six.silhouette_score, six.calinski_harabasz_score), want, atol=2e-6)
+    assert cluster.sweep(df.limit(0), "k", "v", [2], 42, 10, ("kmeans", "tree")).count() == 0
+
+
+def test_rank_capped_fit(spark):
+    rng = np.random.default_rng(6)
+    X = np.hstack([np.ones((300, 1)), rng.normal(size=(300, 6)), np.zeros((300, 1))])
+    Y = X @ rng.normal(size=(8, 9)) + rng.normal(size=(300, 9))
+    G, C = X.T @ X, X.T @ Y
+    B = model.reduced_rank(G, C, 300, 2)
+    assert model.rank_conditions(G, C, 300, 2, B).all() and np.linalg.matrix_rank(B[1:]) == 2
+    loss = lambda b: ((Y - X @ b) ** 2).sum()
+    U, s, V = np.linalg.svd(np.linalg.lstsq(X, Y, rcond=None)[0][1:], full_matrices=False)
+    other = np.vstack([Y.mean(0) - X[:, 1:].mean(0) @ ((U[:, :2] * s[:2]) @ V[:2]), (U[:, :2] * s[:2]) @ V[:2]])
+    assert loss(B) <= loss(other) + 1e-9
+    assert not model.rank_conditions(G, C, 300, 2, model.reduced_rank(G, C, 300, 3)).all()
+    L = model.lasso_standardised(G, C, 300, 0.1)
+    assert model.lasso_conditions(G, C, 300, 0.1, L).all() and not model.lasso_conditions(G, C, 300, 0.1, L * 1.01).all()
 
 
 def test_lasso_optimality():
@@ -121,32 +174,79 @@ def test_lasso_optimality():
     assert np.all(np.abs(grad[1:][~nz]) <= lam + 1e-6)
 
 
-def test_topk_matches_brute_force(spark):
-    width = R.feature_width(spark, SF001)
-    counts = R.counts(spark, SF001)
-    live = catalog_models._live_slots(spark, SF001)
-    got = score.topk(score.count_vectors(counts, width), live, width, 5).collect()
+def _everything(spark, d):
+    """Vectors, slots, width and the dense scores of every pair."""
+    width = R.feature_width(spark, d)
+    counts = R.counts(spark, d)
+    slots = R.live_slots(spark, d)
     vec = {}
     for r in counts.collect():
         vec.setdefault(r.customer_id, {})[r.feature_idx] = r.n
-    arts = {r.article_id: list(r.slots) for r in live.collect()}
-    for c, v in vec.items():
-        sc = sorted(((-sum(v.get(f, 0) for f in s), a) for a, s in arts.items()))[:5]
-        mine = sorted((r.rank, r.article_id) for r in got if r.customer_id == c)
-        assert [a for _, a in mine] == [a for _, a in sc]
-
-
-def test_topk_blocks_equal_single_block(spark):
-    width = R.feature_width(spark, SF001)
-    counts = R.counts(spark, SF001)
-    live = catalog_models._live_slots(spark, SF001)
-    one = score.topk(score.count_vectors(counts, width), live, width, 5)
-    many = score.topk(score.count_vectors(counts, width), live, width, 5, max_broadcast=40)
-    cols = ["customer_id", "rank", "article_id", "raw_score"]
-    assert sorted(map(tuple, one.select(cols).collect())) == sorted(map(tuple, many.select(cols).collect()))
-    a = {r.customer_id: r.sum_sq_score for r in one.collect()}
-    b = {r.customer_id: r.sum_sq_score for r in many.collect()}
-    assert all(abs(a[c] - b[c]) < 1e-9 for c in a)
+    arts = {r.article_id: list(r.slots) for r in slots.collect()}
+    raw = {(c, a): sum(v.get(f, 0) for f in s) for c, v in vec.items() for a, s in arts.items()}
+    total = {c: sum(v.values()) for c, v in vec.items()}
+    return score.count_vectors(counts, width), slots, width, raw, total
+
+
+@pytest.mark.parametrize("right_rows", [4096, 40])
+def test_scores_match_brute_force(spark, right_rows):
+    vecs, slots, width, raw, total = _everything(spark, SF001)
+    got = score.topk(vecs, slots, width, 5, right_rows=right_rows).collect()
+    best = {}
+    for (c, a), s in raw.items():
+        best.setdefault(c, []).append((-s, a))
+    for c, some in best.items():
+        assert [(r.rank, r.article_id, r.raw_score) for r in sorted((r for r in got if r.customer_id == c), key=lambda r: r.rank)] == \
+            [(i + 1, a, -s) for i, (s, a) in enumerate(sorted(some)[:5])]
+    lse = {r.customer_id: r.lse for r in score.log_sum_exp(vecs, slots, width, right_rows=right_rows).collect()}
+    for c in total:
+        assert abs(lse[c] - np.log(sum(np.exp(-s / total[c]) for s, _ in best[c]))) < 1e-9
+    groups = {r.score: r.n for r in score.score_groups(vecs, slots, width, right_rows=right_rows).collect()}
+    want = {}
+    for (c, a), s in raw.items():
+        want[s / total[c]] = want.get(s / total[c], 0) + 1
+    assert groups == want
+    q = score.sum_of_squares(vecs, slots, width).first().q
+    assert abs(q - sum((s / total[c]) ** 2 for (c, _), s in raw.items())) < 1e-6
+
+
+def test_signatures_hold_every_article(spark):
+    slots = spark.createDataFrame([(i, [1, 2] if i < 70 else [i % 3]) for i in range(100)] + [(100, [])], "article_id long, slots array<int>")
+    got = {tuple(r.slots): (r.first, r.n, r.ids) for r in score.signatures(slots, 3).collect()}
+    assert got[1, 2] == (0, 70, [0, 1, 2]) and sum(n for _, n, _ in got.values()) == 101 and got[()] == (100, 1, [100])
+
+
+def test_exact_auc_with_ties(spark):
+    rng = np.random.default_rng(8)
+    s, y = rng.integers(0, 12, 400) / 7, rng.integers(0, 5, 400) == 0
+    rows = {}
+    for a, b in zip(s, y):
+        n, p = rows.get(a, (0, 0))
+        rows[a] = (n + 1, p + int(b))
+    groups = spark.createDataFrame([(float(a), n) for a, (n, _) in rows.items()], "score double, n long")
+    pos = spark.createDataFrame([(float(a), p) for a, (_, p) in rows.items() if p], "score double, p long")
+    want = np.mean([(a > b) + 0.5 * (a == b) for a in s[y] for b in s[~y]])
+    assert abs(score.rank_auc(groups, pos).first().auc - want) < 1e-9
+    assert score.rank_auc(groups.limit(0), pos).first().auc is None
+
+
+def test_chained_evaluation_matches_brute_force(spark):
+    rng = np.random.default_rng(9)
+    pred = spark.createDataFrame([(f"c{i}", [float(v) for v in rng.normal(size=6)]) for i in range(9)], "customer_id string, pred array<double>")
+    arts = [(i, sorted(rng.choice(6, rng.integers(0, 4), replace=False).tolist())) for i in range(14)]
+    slots = spark.createDataFrame(arts, "article_id long, slots array<int>")
+    bought = [(f"c{i}", int(a), int(y)) for i in range(7) for a, y in zip(rng.choice(14, 3, replace=False), rng.integers(1, 4, 3))]
+    y = spark.createDataFrame(bought, "customer_id string, article_id long, y long")
+    scored = score.pair_predictions(y, pred, slots).join(y, ["customer_id", "article_id"])
+    got = catalog_models.evaluate_chained(pred, slots, 6, y, scored).first()
+    p = {(r.customer_id, a): sum(r.pred[f] for f in s) for r in pred.collect() for a, s in arts}
+    times = {(c, a): n for c, a, n in bought}
+    mse = np.mean([(times.get(k, 0) - v) ** 2 for k, v in p.items()])
+    lse = {f"c{i}": np.log(sum(np.exp(p[f"c{i}", a]) for a, _ in arts)) for i in range(9)}
+    ce = sum(n * (lse[c] - p[c, a]) for (c, a), n in times.items()) / sum(times.values())
+    top = {f"c{i}": min((-p[f"c{i}", a], a) for a, _ in arts)[1] for i in range(9)}
+    acc = sum(n for (c, a), n in times.items() if top[c] == a) / sum(times.values())
+    assert np.allclose((got.mse, got.cross_entropy, got.accuracy), (mse, ce, acc), atol=1e-8) and got.n_pairs == 9 * 14
 
 
 def test_silhouette_over_blocks_matches_brute_force(spark):
@@ -191,8 +291,7 @@ def test_topk_partition_independent(spark):
     def run(n):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
         try:
-            top = score.topk(score.count_vectors(R.counts(spark, SF001), width),
-                             catalog_models._live_slots(spark, SF001), width, 5)
+            top = score.topk(score.count_vectors(R.counts(spark, SF001), width), R.live_slots(spark, SF001), width, 5)
             return sorted(map(tuple, top.select("customer_id", "rank", "article_id").collect()))
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")
