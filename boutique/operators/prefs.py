@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from boutique import params
 from boutique.functions import clean
+from boutique.operators import encode
 from boutique.operators.customers import purchases
 
 
@@ -67,10 +68,8 @@ def segment_prefs(segments: DataFrame, shares: DataFrame,
 def purchase_matrix(tx: DataFrame, codes: DataFrame) -> DataFrame:
     """(customer_code, article_id, n): purchase counts with customers mapped
     through the code dictionary (J14, A8, J8)."""
-    counts = purchases(tx)
-    j = counts.join(codes.select("customer_id", F.col("code").alias("customer_code")),
-                    "customer_id", "left")
-    return j.select("customer_code", "article_id", "n")
+    coded = encode.lookup(purchases(tx), "customer_id", codes, "customer_id", "code", "customer_code")
+    return coded.select("customer_code", "article_id", "n")
 
 
 def test_set(tx: DataFrame, info: DataFrame) -> DataFrame:

@@ -316,10 +316,10 @@ def test_set(spark, d):
 
 def queries() -> dict[str, QueryFn]:
     # Later steps register on import.
-    from boutique.plans import catalog_models  # noqa: F401
+    from boutique.plans import catalog_io, catalog_models  # noqa: F401
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from boutique.plans import catalog_models  # noqa: F401
+    from boutique.plans import catalog_io, catalog_models  # noqa: F401
     return dict(ORACLE)

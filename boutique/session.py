@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import os
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -80,6 +81,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder name below the cluster's shared checkpoint folder; what is
+    written there is deleted when the application ends."""
+    sc = spark.sparkContext
+    base = sc._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark), f"scratch-{sc.applicationId}")
+    fs = base.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.mkdirs(base):  # only a folder that exists is deleted at the end
+        fs.deleteOnExit(base)
+    return f"{base.toString()}/{label}-{uuid.uuid4().hex}"
+
+
 _SHIPPED: set[str] = set()
 
 
