@@ -8,7 +8,8 @@ the kernel; one ridge regression per language is fitted in their space, and a
 batch of texts is scored by two matrix products.
 
 Learning takes at most ``MAX_PER_LANG`` texts of each language (by a hash of
-the id, outside the held-out fold), and only languages with a label there.
+the id, outside the held-out fold), of all languages with a label there; beyond 40
+languages fewer of each. Repeated rows are texts of their own. A letter is what Unicode calls one.
 Every whole text is scored; a null text or one without a letter is ``und``
 with score 0, as is every text if there is no language to learn.
 """
@@ -17,19 +18,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boutique.llm.common import held_out
 
 BITS = 14
 GRAMS = 3
-MAX_PER_LANG = 500
-LANDMARKS_PER_LANG = 64
-#: Languages learned, the most frequent ones.
-MAX_LANGS = 200
+#: Texts and landmarks of a language. With many languages each has fewer, but one at least,
+#: so that all texts and all landmarks stay near the totals.
+MAX_PER_LANG, TOTAL = 500, 20_000
+LANDMARKS_PER_LANG, TOTAL_LANDMARKS = 64, 4096
 RIDGE = 1e-3
 ROWS_AT_ONCE = 128
+TRAIN_ROWS = 1024
 CHARS_AT_ONCE = 1 << 18
 
 _CACHE: dict = {}
@@ -38,7 +40,7 @@ _CACHE: dict = {}
 def _letters() -> np.ndarray:
     table = _CACHE.get("letters")
     if table is None:
-        table = np.fromiter((chr(c).isalpha() for c in range(0x10000)), bool, 0x10000)
+        table = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
         _CACHE["letters"] = table
     return table
 
@@ -50,7 +52,7 @@ def presence(text: str | None, out: np.ndarray) -> bool:
     for at in range(0, len(text), CHARS_AT_ONCE):
         piece = text[max(0, at - GRAMS + 1):at + CHARS_AT_ONCE].lower()
         c = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
-        ok = letters[np.minimum(c, 0xFFFF)] | (c > 0xFFFF)
+        ok = letters[c]
         if not ok.any():
             continue
         any_letter = True
@@ -80,37 +82,43 @@ def _packed(batches):
 def train(docs: DataFrame) -> dict | None:
     """Landmark matrix and coefficients; None without labelled text."""
     labelled = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull())
-    langs = [r["lang"] for r in labelled.where("text is not null").groupBy("lang").count()
-             .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    if not langs:
+    n_langs = labelled.where("text is not null").agg(F.count_distinct("lang")).first()[0]
+    if not n_langs:
         return None
-    parts = [labelled.where((F.col("lang") == x) & F.col("text").isNotNull())
-             .select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_PER_LANG) for x in langs]
-    ids = parts[0]
-    for p in parts[1:]:
-        ids = ids.unionByName(p)
+    # Spark cuts each language to the first rows in every task before the shuffle.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ids = (labelled.where("text is not null").select("doc_id", "lang").withColumn("_r", place)
+           .where(F.col("_r") <= max(1, min(MAX_PER_LANG, TOTAL // n_langs))).select("doc_id", "lang"))
     rows = (labelled.join(ids, ["doc_id", "lang"], "left_semi")
             .mapInArrow(_packed, "lang string, doc_id long, bits binary").where("bits is not null").collect())
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], r["doc_id"], r["bits"]))
     langs = sorted({r["lang"] for r in rows})
-    x = np.array([np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8)) for r in rows], np.float32)
+    bits = np.stack([np.frombuffer(bytes(r["bits"]), np.uint8) for r in rows])
     y = np.array([langs.index(r["lang"]) for r in rows])
-    chosen = np.concatenate([np.flatnonzero(y == k)[:LANDMARKS_PER_LANG] for k in range(len(langs))])
-    marks = x[chosen]
+    most = max(1, min(LANDMARKS_PER_LANG, TOTAL_LANDMARKS // len(langs)))
+    marks = _unpacked(bits[np.concatenate([np.flatnonzero(y == k)[:most] for k in range(len(langs))])])
     used = np.flatnonzero(marks.any(axis=0))
     model = {"langs": langs, "used": used.astype(np.int32),
              "marks": np.packbits(marks[:, used].astype(bool), axis=1), "sizes": marks.sum(axis=1)}
-    k = kernel(x, model)
-    kmm = kernel(marks, model)
-    target = np.where(y[:, None] == np.arange(len(langs))[None, :], 1.0, -1.0)
+    # The normal equations are summed over blocks of texts.
     weight = 1.0 / np.bincount(y, minlength=len(langs))[y]
-    left = (k * weight[:, None]).T @ k + RIDGE * kmm + 1e-6 * np.eye(len(marks))
-    model["alpha"] = np.linalg.solve(left, (k * weight[:, None]).T @ target).astype(np.float32)
+    left = RIDGE * kernel(marks, model) + 1e-6 * np.eye(len(marks))
+    right = np.zeros((len(marks), len(langs)))
+    for at in range(0, len(y), TRAIN_ROWS):
+        k = kernel(_unpacked(bits[at:at + TRAIN_ROWS]), model)
+        kw = (k * weight[at:at + TRAIN_ROWS, None]).T
+        left += kw @ k
+        right += kw @ np.where(y[at:at + TRAIN_ROWS, None] == np.arange(len(langs))[None, :], 1.0, -1.0)
+    model["alpha"] = np.linalg.solve(left, right).astype(np.float32)
     return model
 
 
+def _unpacked(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, axis=1).astype(np.float32)
+
+
 def kernel(x: np.ndarray, model: dict) -> np.ndarray:
     marks = np.unpackbits(model["marks"], axis=1, count=len(model["used"])).astype(np.float32)
     size = np.maximum(1.0, x.sum(axis=1))

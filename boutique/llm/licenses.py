@@ -1,21 +1,24 @@
 """License scans: a trained paragraph classifier with template comparison, in
 DataFrame operations.
 
-A paragraph is a line; a long one is cut into overlapping segments of
-``SEGMENT`` words. Its features are the distinct one- and two-word sequences of
-lower-cased alphanumeric words. A multinomial logistic regression (with L1
+A text is one sequence of lower-cased alphanumeric words, whatever its line breaks, so a
+hard-wrapped notice stays whole; the end of a sentence and a blank line are a word of
+their own (``|``). Overlapping segments of ``SEGMENT`` words are classified. Their features are the
+distinct one- and two-word sequences. A multinomial logistic regression (with L1
 shrinkage, so that few weights remain) gives each licence family, or none of
-them, a probability. The class ``none`` is trained on paragraphs of the corpus and on
-mutilated notices; the threshold for a family is the lowest probability that keeps false
-alarms among validation paragraphs at ``FALSE_ALARMS``. A prediction is confirmed if
-the segment contains at least ``CONTAINED`` of the three-word sequences of one of the
-family's templates.
+them, a probability, calibrated by one temperature fitted on validation segments. The
+class ``none`` is trained on segments of the corpus and on mutilated notices; the
+threshold is the probability that keeps false alarms among validation segments at
+``FALSE_ALARMS``, whatever it is. A prediction is confirmed if the segment contains at least
+``CONTAINED`` of the three-word sequences of one of the family's templates; a template that is a
+sentence includes where it begins and ends, so its words inside another sentence don't count.
 
 The model is small (its features come from the templates alone) and is fitted on the driver; scoring
-joins the features of segments with the table of weights. A segment
+keeps the weighted features of each segment and joins them with the table of weights. A segment
 without any weighted feature is ``none``. Every weighted feature has an anchor, the one of
 its words that is rarest in ordinary text; a document without any anchor has no weighted feature,
-so its segments need no join. Null and empty texts have no paragraphs.
+so its segments need no join. Null and empty texts have no segments. Repeated rows, and rows
+without an id, each have their own result.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from boutique.llm.common import held_out, written
 
 SEGMENT, STRIDE = 64, 48
-#: Paragraphs of the corpus that train the class "none".
+#: Segments of the corpus that train the class "none".
 MAX_NEGATIVES = 3000
 FALSE_ALARMS = 0.001
 CONTAINED = 0.6
@@ -42,20 +45,25 @@ SEED = 3
 TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
                    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
-                   "SPDX-License-Identifier: Apache-2.0", "Apache License Version 2.0, January 2004"],
+                   "SPDX-License-Identifier: Apache-2.0", "Apache License Version 2.0, January 2004",
+                   "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS"],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "SPDX-License-Identifier: MIT", "The MIT License (MIT)",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-only",
-                "GNU General Public License version 3 as published by the Free Software Foundation", "SPDX-License-Identifier: GPL-3.0-or-later"],
+                "GNU General Public License version 3 as published by the Free Software Foundation", "SPDX-License-Identifier: GPL-3.0-or-later",
+                "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only",
-                "GNU General Public License version 2 as published by the Free Software Foundation"],
+                "GNU General Public License version 2 as published by the Free Software Foundation",
+                "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
     "LGPL": ["Licensed under the GNU Lesser General Public License.", "SPDX-License-Identifier: LGPL-2.1-only",
              "GNU Lesser General Public License as published by the Free Software Foundation"],
     "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0",
                 "Licensed under the Mozilla Public License, version 2.0."],
     "BSD": ["Licensed under the BSD 3-Clause License.", "Licensed under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-3-Clause",
-            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."],
     "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
                  "SPDX-License-Identifier: CC-BY-NC-4.0"],
     "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -69,52 +77,66 @@ TEMPLATES = {
 NONE = "none"
 FAMILIES = sorted(TEMPLATES)
 
-_WORD = re.compile(r"[a-z0-9]+")
+#: The word for the end of a sentence, and where it stands (for Spark and Python).
+STOP = "|"
+STOPS = r"[.!?;:]+(?=\s|$)|\n[ \t]*\n"
+_WORD = re.compile(r"[a-z0-9]+|[|]")
 
 
-def grams(text: str, size: int) -> set[str]:
-    w = _WORD.findall(text.lower())
-    return {" ".join(w[i:i + size]) for i in range(len(w) - size + 1)}
+def word_list(text: str) -> list[str]:
+    return _WORD.findall(re.sub(STOPS, f" {STOP} ", text.lower()))
 
 
-def features(text: str) -> set[str]:
-    return grams(text, 1) | grams(text, 2)
+def template_words(text: str) -> list[str]:
+    """Words of a template; one that is a sentence begins after a stop."""
+    return [STOP] * text.endswith(".") + word_list(text)
 
 
-def training_rows(negatives: list[str]) -> list[tuple[str, str]]:
-    """(text, family): notices alone, with names and years, within other words,
-    with small losses; and texts of no family."""
+def grams(words: list[str], size: int) -> set[str]:
+    return {" ".join(words[i:i + size]) for i in range(len(words) - size + 1)}
+
+
+def features(words: list[str]) -> set[str]:
+    return grams(words, 1) - {STOP} | grams(words, 2)
+
+
+def training_rows(negatives: list[list[str]]) -> list[tuple[list[str], str]]:
+    """(words, family): notices alone, with names and years, within other words,
+    with small losses; and segments of no family."""
     rng = random.Random(SEED)
-    other = [w for t in negatives for w in t.split()] or ["lorem", "ipsum", "dolor", "amet"]
-    some = lambda k: " ".join(rng.choice(other) for _ in range(k))
+    other = [w for t in negatives for w in t] or ["lorem", "ipsum", "dolor", "amet"]
+    some = lambda k: [rng.choice(other) for _ in range(k)]
     rows = []
     for family, texts in TEMPLATES.items():
         for t in texts:
             for i in range(30):
-                words = t.split()
+                words = template_words(t)
                 if i % 3 == 1 and len(words) > 6:
-                    del words[rng.randrange(len(words))]
-                out = " ".join(words)
-                if i % 2:
-                    out = f"{some(rng.randrange(25))} {out} {some(rng.randrange(25))}"
+                    del words[rng.randrange(1, len(words))]
+                if i % 4:
+                    words = [*some(rng.randrange(40)), STOP, *words, *some(rng.randrange(40))]
                 if i % 5 == 0:
-                    out = f"Copyright (c) {rng.randrange(1990, 2026)} {some(2)}. {out}"
-                rows.append((out.upper() if i == 7 else out, family))
-    pieces = [w for texts in TEMPLATES.values() for t in texts for w in t.split()]
-    for t in negatives:
-        rows.append((t, NONE))
+                    words = ["copyright", "c", str(rng.randrange(1990, 2026)), *some(2), *words]
+                rows.append((words[:SEGMENT + 24], family))
+    pieces = [w for texts in TEMPLATES.values() for t in texts for w in template_words(t)]
+    rows += [(t, NONE) for t in negatives]
     for _ in range(1200):  # words of notices, out of their order and company
         k = rng.randrange(1, 4)
-        mixed = [rng.choice(pieces) for _ in range(k)] + some(rng.randrange(3, 30)).split()
+        mixed = [rng.choice(pieces) for _ in range(k)] + some(rng.randrange(3, 60))
         rng.shuffle(mixed)
-        rows.append((" ".join(mixed), NONE))
+        rows.append((mixed, NONE))
+    for _ in range(600):  # pieces of notices inside sentences
+        whole = template_words(rng.choice([t for texts in TEMPLATES.values() for t in texts]))
+        at = rng.randrange(len(whole))
+        rows.append(([*some(rng.randrange(3, 30)), *whole[at:at + rng.randrange(2, 4)], *some(rng.randrange(3, 30))], NONE))
     return rows
 
 
-def fit(rows: list[tuple[str, str]], steps: int = 400) -> dict:
-    """Proximal gradient with momentum for the L1-shrunk softmax regression."""
+def fit(rows: list[tuple[list[str], str]], steps: int = 400) -> dict:
+    """Proximal gradient with momentum for the L1-shrunk softmax regression, then
+    its temperature and threshold on every fourth row."""
     labels = [NONE, *FAMILIES]
-    vocabulary = sorted({g for texts in TEMPLATES.values() for t in texts for g in features(t)})
+    vocabulary = sorted({g for texts in TEMPLATES.values() for t in texts for g in features(template_words(t))})
     index = {g: i for i, g in enumerate(vocabulary)}
     x = np.zeros((len(rows), len(vocabulary) + 1), np.float32)
     x[:, -1] = 1
@@ -125,42 +147,46 @@ def fit(rows: list[tuple[str, str]], steps: int = 400) -> dict:
     check = np.arange(len(rows)) % 4 == 3
     a, b = x[~check], hot[~check]
     w = v = np.zeros((x.shape[1], len(labels)), np.float32)
-    rate, t = 4.0 / max(1.0, float((a.sum(axis=1) ** 1).mean())), 1.0
+    rate, t = 4.0 / max(1.0, float(a.sum(axis=1).mean())), 1.0
     for _ in range(steps):
-        z = a @ v
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
+        p = _softmax(a @ v)
         new = v - rate * (a.T @ (p - b)) / len(a)
         new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - rate * SHRINK, 0)
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
         v = new + (t - 1) / t2 * (new - w)
         w, t = new, t2
     z = x[check] @ w
-    p = np.exp(z - z.max(axis=1, keepdims=True))
-    p /= p.sum(axis=1, keepdims=True)
-    false = np.sort(p[y[check] == 0, 1:].max(axis=1))
-    at = float(false[int((1 - FALSE_ALARMS) * (len(false) - 1))]) if len(false) else 0.5
+    loss = [-np.log(np.maximum(_softmax(z * s)[np.arange(len(z)), y[check]], 1e-12)).mean() for s in SCALES]
+    w = w * SCALES[int(np.argmin(loss))]
+    false = np.sort(_softmax(x[check] @ w)[y[check] == 0, 1:].max(axis=1))
     return {"labels": labels, "weights": {g: [round(float(c), 6) for c in w[i]] for g, i in index.items() if np.abs(w[i]).max() > 1e-3},
-            "bias": [round(float(c), 6) for c in w[-1]], "threshold": min(0.95, max(0.5, at))}
+            "bias": [round(float(c), 6) for c in w[-1]], "threshold": float(false[int((1 - FALSE_ALARMS) * (len(false) - 1))])}
+
 
+#: Inverse temperatures tried in the calibration.
+SCALES = [2 ** (k / 4) for k in range(-8, 9)]
 
-def anchors(model: dict, negatives: list[str]) -> list[str]:
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def anchors(model: dict, negatives: list[list[str]]) -> list[str]:
     """One word of each weighted feature, the rarest in ordinary text."""
-    seen = Counter(w for t in negatives for w in set(_WORD.findall(t.lower())))
-    return sorted({min(g.split(" "), key=lambda w: (seen[w], w)) for g in model["weights"]})
+    seen = Counter(w for t in negatives for w in set(t))
+    return sorted({min((w for w in g.split(" ") if w != STOP), key=lambda w: (seen[w], w)) for g in model["weights"]})
 
 
-def corpus_negatives(docs: DataFrame) -> list[str]:
-    """Ordinary paragraphs (first segments) of a hash sample of the learning fold."""
+def corpus_negatives(docs: DataFrame) -> list[list[str]]:
+    """Ordinary segments of a hash sample of the learning fold."""
     ids = (docs.where(F.col("text").isNotNull() & ~held_out()).select("doc_id")
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_NEGATIVES).distinct())
-    lines = (docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-             .select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
-             .select("doc_id", "i", F.array_join(F.slice(F.split("line", " "), 1, SEGMENT), " ").alias("line"))
-             .orderBy(F.xxhash64("doc_id", "i", "line"), "line").limit(MAX_NEGATIVES).collect())
-    known = {g for texts in TEMPLATES.values() for t in texts for g in grams(t, 3)}
-    # A paragraph that contains a notice is no example of "none".
-    return [r["line"] for r in lines if len(grams(r["line"], 3) & known) < 1 and "rights reserved" not in r["line"].lower()]
+    some = segments(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")).select("words")
+    rows = some.orderBy(F.xxhash64("words"), "words").limit(MAX_NEGATIVES).collect()
+    known = {g for texts in TEMPLATES.values() for t in texts for g in grams(template_words(t), 3)}
+    # A segment that contains a notice is no example of "none".
+    return [r["words"] for r in rows if not grams(r["words"], 3) & known]
 
 
 def train(docs: DataFrame) -> dict:
@@ -185,74 +211,94 @@ def _hash_of(spark: SparkSession, rows: list[tuple], schema: str, gram: str) ->
     return df.withColumn("g", h).drop(gram)
 
 
+def _words(text: str):
+    """The words of a text, as :func:`word_list` has them, after a first stop."""
+    marked = F.regexp_replace(F.lower(F.col(text)), STOPS, f" {STOP} ")
+    return F.concat(F.array(F.lit(STOP)), F.filter(F.split(marked, "[^a-z0-9|]+"), lambda w: w != ""))
+
+
+def text_hashes() -> list:
+    """What stands for a text: 96 bits of hashes."""
+    return [F.xxhash64("text").alias("t"), F.coalesce(F.crc32("text"), F.lit(-1)).alias("u")]
+
+
 def segments(docs: DataFrame) -> DataFrame:
-    """doc_id, t (the text's hash), line, part and words of every segment; equal
-    rows give equal segments."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"),
-                        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "content"))
-    words = lines.select("doc_id", "t", "line", F.filter(F.split(F.lower("content"), "[^a-z0-9]+"), lambda w: w != "").alias("all"))
-    words = words.where(F.size("all") > 0)
+    """t and u (the text's hashes), part (number of the first word) and words of
+    every segment; equal texts give equal segments. A text without words has none."""
+    words = docs.select(*text_hashes(), _words("text").alias("all"))
+    words = words.where(F.size("all") > 1)
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("all") - (SEGMENT - STRIDE) - 1), F.lit(STRIDE))
-    return (words.select("doc_id", "t", "line", "all", F.explode(starts).alias("part"))
-            .select("doc_id", "t", "line", "part", F.when(F.size("all") <= SEGMENT, F.col("all")).otherwise(
-                F.slice("all", F.col("part") + 1, SEGMENT)).alias("words")))
+    return words.select("t", "u", "all", F.explode(starts).alias("part")).select(
+        "t", "u", "part", F.slice("all", F.col("part") + 1, SEGMENT).alias("words"))
+
+
+def _n_segments(text: str):
+    n = F.size(_words(text))
+    return F.when(n > 1, F.floor(F.greatest(F.lit(0), n - (SEGMENT - STRIDE) - 1) / STRIDE) + 1).otherwise(0).cast("long")
+
+
+def _common(hashes: DataFrame, runs):
+    """Of the runs of a segment, those that the table ``hashes`` (g) has."""
+    known = sorted(r["g"] for r in hashes.select("g").distinct().collect())
+    return F.array_intersect(runs, F.lit(known) if known else F.array().cast("array<bigint>"))
 
 
 def classify(docs: DataFrame, model: dict | None = None) -> DataFrame:
-    """doc_id, t, line, part, family, probability, contained of the segments
-    that a family is predicted for; ``t`` is the text's hash."""
+    """t, u, part, family, probability, contained of the segments that a family
+    is predicted for, once for equal texts."""
     spark = docs.sparkSession
     model = model or train(docs)
     labels = model["labels"]
     weights = _hash_of(spark, [(g, *w) for g, w in sorted(model["weights"].items())] or [("", *[0.0] * len(labels))],
                        "gram string, " + ", ".join(f"w{k} double" for k in range(len(labels))), "gram")
+    # Templates, as the three-word sequences that a segment must contain.
+    rows = []
+    for family in FAMILIES:
+        for k, t in enumerate(TEMPLATES[family]):
+            words = template_words(t)
+            gs = sorted(grams(words, 3) or grams(words, 2) or grams(words, 1))
+            rows += [(family, k, len(gs), g) for g in gs]
+    templates = _hash_of(spark, rows, "family string, template int, size int, gram string", "gram")
     words = F.split(F.lower(F.col("text")), "[^a-z0-9]+")
-    # Segments of equal rows are the same segments.
-    parts = written(segments(docs.where(F.arrays_overlap(words, F.array(*[F.lit(a) for a in model["anchors"]])))
-                             if model["anchors"] else docs.where(F.lit(False))), "segments")
-    found = (parts.select("doc_id", "t", "line", "part", F.explode(F.array_distinct(F.concat(_runs("words", 1), _runs("words", 2)))).alias("g"))
-             .join(F.broadcast(weights), "g"))
-    summed = found.groupBy("doc_id", "t", "line", "part").agg(
-        *[(F.sum(F.col(f"w{k}").cast("decimal(20,6)")).cast("double") + F.lit(model["bias"][k])).alias(f"z{k}") for k in range(len(labels))])
+    marked = (docs.where(F.arrays_overlap(words, F.array(*[F.lit(a) for a in model["anchors"]])))
+              if model["anchors"] else docs.where(F.lit(False)))
+    # Only the grams that a weight or a template asks for go on, and those of equal texts once.
+    parts = segments(marked).select(
+        "t", "u", "part", _common(weights, F.concat(_runs("words", 1), _runs("words", 2))).alias("asked"),
+        _common(templates, F.concat(_runs("words", 1), _runs("words", 2), _runs("words", 3))).alias("held"))
+    parts = written(parts.where(F.size("asked") > 0).distinct(), "segments")
+    summed = (parts.select("t", "u", "part", F.explode("asked").alias("g")).join(F.broadcast(weights), "g")
+              .groupBy("t", "u", "part").agg(
+        *[(F.sum(F.col(f"w{k}").cast("decimal(20,6)")).cast("double") + F.lit(model["bias"][k])).alias(f"z{k}") for k in range(len(labels))]))
     top = F.greatest(*[F.col(f"z{k}") for k in range(len(labels))])
     total = sum((F.exp(F.col(f"z{k}") - F.col("top")) for k in range(1, len(labels))), F.exp(F.col("z0") - F.col("top")))
     best = F.greatest(*[F.struct(F.col(f"z{k}").alias("z"), F.lit(labels[k]).alias("family")) for k in range(1, len(labels))])
     predicted = (summed.withColumn("top", top).withColumn("total", total).withColumn("best", best)
-                 .select("doc_id", "t", "line", "part", F.col("best.family").alias("family"),
+                 .select("t", "u", "part", F.col("best.family").alias("family"),
                          F.round(F.exp(F.col("best.z") - F.col("top")) / F.col("total"), 6).alias("probability"))
                  .where(F.col("probability") >= model["threshold"]))
     predicted = written(predicted, "predicted")
-    # Templates, as the three-word sequences that a segment must contain.
-    rows, sizes = [], []
-    for family in FAMILIES:
-        for k, t in enumerate(TEMPLATES[family]):
-            gs = sorted(grams(t, 3) or grams(t, 2) or grams(t, 1))
-            rows += [(family, k, len(gs), g) for g in gs]
-    templates = _hash_of(spark, rows, "family string, template int, size int, gram string", "gram")
-    held = (parts.join(predicted, ["doc_id", "t", "line", "part"])
-            .select("doc_id", "t", "line", "part", "family", "probability",
-                    F.explode(F.array_distinct(F.concat(_runs("words", 1), _runs("words", 2), _runs("words", 3)))).alias("g"))
+    held = (parts.join(predicted, ["t", "u", "part"])
+            .select("t", "u", "part", "family", F.explode("held").alias("g"))
             .join(F.broadcast(templates), ["family", "g"])
-            .groupBy("doc_id", "t", "line", "part", "family", "probability", "template")
+            .groupBy("t", "u", "part", "family", "template")
             .agg((F.count_distinct("g") / F.max("size")).alias("contained"))
-            .groupBy("doc_id", "t", "line", "part", "family", "probability").agg(F.max("contained").alias("contained")))
-    return predicted.join(held.drop("family", "probability"), ["doc_id", "t", "line", "part"], "left").withColumn(
-        "contained", F.coalesce("contained", F.lit(0.0)))
+            .groupBy("t", "u", "part").agg(F.max("contained").alias("contained")))
+    return predicted.join(held, ["t", "u", "part"], "left").withColumn("contained", F.coalesce("contained", F.lit(0.0)))
 
 
 def license_scan(docs: DataFrame, model: dict | None = None) -> DataFrame:
-    """doc_id, n_paragraphs, n_licensed, families (confirmed, joined by
+    """doc_id, n_segments, n_licensed, families (confirmed, joined by
     commas), n_unconfirmed and probability (the highest confirmed) of each row."""
     hits = classify(docs, model)
     ok = F.col("contained") >= CONTAINED
-    by_doc = hits.groupBy("doc_id", "t").agg(
-        F.count_distinct(F.when(ok, F.col("line"))).alias("n_licensed"),
-        F.count_distinct(F.when(~ok, F.col("line"))).alias("n_unconfirmed"),
+    by_text = hits.groupBy("t", "u").agg(
+        F.count_if(ok).alias("n_licensed"), F.count_if(~ok).alias("n_unconfirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(ok, F.col("family")))), ",").alias("families"),
         F.max(F.when(ok, F.col("probability"))).alias("probability"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"),
-                      F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x) != "")).cast("long").alias("n_paragraphs"))
-    joined = own.alias("o").join(by_doc.alias("b"), F.col("o.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("o.t") == F.col("b.t")), "left")
-    return joined.select("o.doc_id", "n_paragraphs", F.coalesce("n_licensed", F.lit(0)).cast("long").alias("n_licensed"),
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_hashes(),
+                      F.coalesce(_n_segments("text"), F.lit(0)).cast("long").alias("n_segments"))
+    joined = own.join(by_text, ["t", "u"], "left")
+    return joined.select("doc_id", "n_segments", F.coalesce("n_licensed", F.lit(0)).cast("long").alias("n_licensed"),
                          F.coalesce("families", F.lit("")).alias("families"),
                          F.coalesce("n_unconfirmed", F.lit(0)).cast("long").alias("n_unconfirmed"), "probability")

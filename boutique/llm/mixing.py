@@ -3,8 +3,8 @@
 Documents are aggregated by membership pattern (the set of sources a document
 belongs to). Each pattern offers its words three times, the repetitions at rising
 (convex) cost; each source asks for its target. The cheapest flow from patterns to
-sources says how many words each pattern gives. The flow network has one row
-per pattern and source, whatever the number of documents. Within a pattern
+sources says how many words each pattern gives; sources without overlap need no flow. The driver
+holds one row per pattern and source, whatever the number of documents. Within a pattern
 the documents are taken in the order of a seeded hash: whole repetitions for
 all, then one more for the first ones, up to the exact number of words; the
 document on the boundary gives the words that remain.
@@ -29,8 +29,6 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 #: Cost of a word's first, second and third use.
 REPEAT_COSTS = (0, 1, 3)
-#: Patterns the flow takes; more is an error, not a cut.
-MAX_PATTERNS = 100_000
 SEED = "mix"
 
 
@@ -70,12 +68,13 @@ def min_cost_flow(offers: dict, asks: dict, costs=REPEAT_COSTS) -> dict:
             cap.append(room)
             cost.append(price)
 
+    room = sum(asks.values())
     place = {s: 1 + len(patterns) + i for i, s in enumerate(sources)}
     for i, p in enumerate(patterns):
         for price in costs:
             arc(start, 1 + i, offers[p], price)
         for s in p:
-            arc(1 + i, place[s], sum(asks.values()), 0)
+            arc(1 + i, place[s], room, 0)
     for s in sources:
         arc(place[s], end, asks[s], 0)
     while True:
@@ -107,6 +106,16 @@ def min_cost_flow(offers: dict, asks: dict, costs=REPEAT_COSTS) -> dict:
     return given
 
 
+def routed(offers: dict, asks: dict) -> dict:
+    """:func:`min_cost_flow` for sources that share patterns. A source of which
+    no pattern overlaps another is met from its only pattern, as far as that reaches."""
+    shared = {s for p in offers if len(p) > 1 for s in p}
+    flow = {p: n for p, n in offers.items() if shared & set(p)}
+    given = min_cost_flow(flow, {s: n for s, n in asks.items() if s in shared}) if flow else {}
+    most = len(REPEAT_COSTS)
+    return given | {p: min(asks[p[0]], most * n) if p else 0 for p, n in offers.items() if p not in flow}
+
+
 def mix(docs: DataFrame, sources_col: str, id_col: str = "doc_id", text_col: str = "text",
         weights=WEIGHTS, seed: str = SEED) -> DataFrame:
     """id_col, sources, size and taken of each row; ``sources_col`` is an array
@@ -120,10 +129,7 @@ def mix(docs: DataFrame, sources_col: str, id_col: str = "doc_id", text_col: str
     sized = written(sized.withColumn("pattern", key).withColumn("bucket", F.conv(F.substring("h", 1, 3), 16, 10).cast("int")),
                     "sizes")
     buckets = written(sized.groupBy("pattern", "bucket").agg(F.sum("size").alias("words")), "buckets")
-    rows = (sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.first("sources").alias("sources"))
-            .limit(MAX_PATTERNS + 1).collect())
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    rows = sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.first("sources").alias("sources")).collect()
     rows.sort(key=lambda r: r["pattern"])
     sizes: dict = {}
     for r in rows:
@@ -134,7 +140,7 @@ def mix(docs: DataFrame, sources_col: str, id_col: str = "doc_id", text_col: str
     scale = total / sum(wanted.values()) if sum(wanted.values()) else 0.0
     wanted = {s: v * scale for s, v in wanted.items()} if abs(scale - 1) > 1e-9 else wanted
     order = {tuple(r["sources"]): r for r in rows}
-    given = min_cost_flow({p: r["words"] for p, r in order.items()}, {s: int(v) for s, v in wanted.items()})
+    given = routed({p: r["words"] for p, r in order.items()}, {s: int(v) for s, v in wanted.items()})
     plan = [(r["pattern"], given[p] // r["words"] if r["words"] else 0, given[p] % r["words"] if r["words"] else 0)
             for p, r in order.items()]
     plan = spark.createDataFrame(plan, "pattern string, rounds long, rest long")

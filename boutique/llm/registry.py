@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from boutique.llm import (decontaminate, dedup, extract, fingerprint, hard_negatives, langid, lexical, licenses, mixing,
                           secrets, simhash, tokens, toxicity)
@@ -13,10 +14,16 @@ from boutique.sources.tables import read_table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rollup of all documents; the repeated commit of the batch changes nothing."""
-    ledger = tokens.Ledger(spark, scratch_path(spark, "tokens"))
-    ledger.commit("load", inserts=documents(spark, sf_dir))
-    ledger.commit("load", inserts=documents(spark, sf_dir))
+    """Rollup by two vocabularies after three batches, of which two come again: all
+    documents are inserted; then two tenths of the ids are deleted and two tenths revised to
+    their second half, one tenth of them both."""
+    docs = documents(spark, sf_dir)
+    ledger = tokens.Ledger(spark, scratch_path(spark, "tokens"), tokens.VERSIONS)
+    half = F.substring("text", F.floor(F.length("text") / 2).cast("int") + 1, F.length("text"))
+    revised = docs.where("pmod(doc_id, 10) in (1, 7)").withColumn("text", half)
+    for _ in range(2):
+        ledger.commit("load", inserts=docs)
+        ledger.commit("change", deletes=docs.where("pmod(doc_id, 10) in (3, 7)"), revisions=revised)
     return ledger.rollup()
 
 

@@ -1,20 +1,22 @@
 """Token counts: rollups by source, language and tokenizer version, kept by
 signed deltas.
 
-A ledger is a shared folder with one sub-folder per batch. A batch holds signed
-rows (doc_id, source, lang, tokenizer, docs, tokens, chars): an insert adds a
-row, a delete adds the negative of what the ledger holds for the document, a
-revision does both. All measures are additive, so the totals, and the state
-of any document, are sums over committed batches.
+A ledger is a shared folder. A batch writes its signed rows (doc_id, source, lang,
+tokenizer, docs, tokens, chars): an insert adds a row for each tokenizer version, a delete
+adds the negative of what the ledger holds for the document, a revision does both. Then
+it writes their sums by source, language and version, the batch's delta. The rollup adds up
+deltas only: a few rows per batch, whatever the number of documents.
 
-A batch counts only once its write has finished (Spark's ``_SUCCESS`` file). A
+A batch counts only once its delta is written whole (Spark's ``_SUCCESS`` file). A
 commit of a batch that is already there does nothing; one that broke off
-is written anew. So a retried or repeated batch never counts twice.
-
-Null source or language is a group of its own. Null and empty texts have no
-tokens. Within a batch, equal insert rows count as often as they come; deletes and
-revisions name a document once or more with the same effect, the last revised
-text by (source, lang, text) order wins. Deletes of unknown documents do nothing.
+is written anew. So a retried or repeated batch never counts twice. One writer at a time.
+
+Within a batch, deletes and revisions apply to what was held before it, once for each
+id however often they name it; inserts come on top. A document both deleted and revised is
+gone. The last revised text by (source, lang, text) order wins. Deletes and revisions of unknown
+documents do nothing. Every insert row counts, also of an id that is held already or named
+twice; a later delete takes all of them. Rows without an id can be inserted, but not
+deleted or revised. Null source or language is a group of its own. Null and empty texts have no tokens.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 #: Folder of public vocabulary files, and the versions counted by default.
 TOKENIZER_DIR = "/opt/tokenizers"
 VERSION = "byte_bpe_50k"
-# Fixed value: how this vocabulary splits text before merging.
+VERSIONS = ("byte_bpe_50k", "byte_bpe_multi_50k")
+# Fixed value: how these vocabularies split text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A longer text is cut before a blank that follows a letter and precedes one:
 #: there the pattern splits anyway, so the sum is that of the whole text.
@@ -37,7 +40,8 @@ PIECE_CHARS = 1 << 20
 
 GROUP = ["source", "lang", "tokenizer"]
 MEASURES = ["docs", "tokens", "chars"]
-ROW_SCHEMA = "doc_id long, source string, lang string, tokenizer string, docs long, tokens long, chars long"
+DELTA_SCHEMA = "source string, lang string, tokenizer string, docs long, tokens long, chars long"
+ROW_SCHEMA = f"doc_id long, {DELTA_SCHEMA}"
 
 _CACHE: dict = {}
 
@@ -79,7 +83,7 @@ def _count(folder: str, version: str):
 
 
 def counted(docs: DataFrame, folder: str = TOKENIZER_DIR, version: str = VERSION) -> DataFrame:
-    """Signed insert rows of ``docs``."""
+    """Signed insert rows of ``docs`` for one version."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang",
                       F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"), "text")
     return own.mapInArrow(_count(folder, version),
@@ -89,10 +93,10 @@ def counted(docs: DataFrame, folder: str = TOKENIZER_DIR, version: str = VERSION
 
 
 class Ledger:
-    """Signed rows of committed batches below ``path`` (a shared folder)."""
+    """Committed batches below ``path`` (a shared folder), counted by ``versions``."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, versions: tuple[str, ...] = (VERSION,), folder: str = TOKENIZER_DIR):
+        self.spark, self.path, self.versions, self.folder = spark, path.rstrip("/"), versions, folder
 
     def _at(self, *names: str):
         jvm = self.spark.sparkContext._jvm
@@ -100,55 +104,68 @@ class Ledger:
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def committed(self, batch: str) -> bool:
-        p, fs = self._at(f"batch={batch}", "_SUCCESS")
+        p, fs = self._at("deltas", f"batch={batch}", "_SUCCESS")
         return fs.exists(p)
 
     def batches(self) -> list[str]:
-        p, fs = self._at()
+        p, fs = self._at("deltas")
         names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
         return sorted(n[6:] for n in names if n.startswith("batch=") and self.committed(n[6:]))
 
-    def rows(self) -> DataFrame:
-        paths = [f"{self.path}/batch={b}" for b in self.batches()]
+    def _read(self, kind: str, schema: str) -> DataFrame:
+        paths = [f"{self.path}/{kind}/batch={b}" for b in self.batches()]
         if not paths:
-            return self.spark.createDataFrame([], ROW_SCHEMA)
-        return self.spark.read.schema(ROW_SCHEMA).parquet(*paths)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def rows(self) -> DataFrame:
+        """All signed rows."""
+        return self._read("rows", ROW_SCHEMA)
 
     def state(self) -> DataFrame:
         """What the ledger holds now for each document."""
-        return (self.rows().groupBy("doc_id", *GROUP).agg(*[F.sum(m).alias(m) for m in MEASURES])
-                .where("docs != 0 or tokens != 0 or chars != 0"))
+        return _summed(self.rows(), "doc_id", *GROUP)
 
     def commit(self, batch: str, inserts: DataFrame | None = None, deletes: DataFrame | None = None,
-               revisions: DataFrame | None = None, **counting) -> bool:
+               revisions: DataFrame | None = None) -> bool:
         """Apply a batch: documents to insert, ids to delete, documents whose
         text or labels replace what is held. False if it was already there."""
         if self.committed(batch):
             return False
-        parts = [] if inserts is None else [counted(inserts, **counting)]
-        gone = []
+        parts = [] if inserts is None else self._counted(inserts)
+        touched = []
         if deletes is not None:
-            gone.append(deletes.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("string").alias("tokenizer")))
+            gone = deletes.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+            touched.append(gone)
         if revisions is not None:
-            last = (revisions.groupBy("doc_id").agg(F.max(F.struct("source", "lang", "text")).alias("r"))
-                    .select("doc_id", "r.source", "r.lang", "r.text"))
-            known = self.state().select("doc_id").distinct()
-            parts.append(counted(last.join(known, "doc_id", "left_semi"), **counting))
-            gone.append(last.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                    F.lit(counting.get("version", VERSION)).alias("tokenizer")))
-        for ids in gone:
-            ids = ids.distinct().select("doc_id", F.col("tokenizer").alias("only"))
-            held = self.state().join(ids, "doc_id").where(F.col("only").isNull() | (F.col("only") == F.col("tokenizer")))
+            last = (revisions.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+                    .agg(F.max(F.struct("source", "lang", "text")).alias("r")).select("doc_id", "r.source", "r.lang", "r.text"))
+            new = last.join(self.state().select("doc_id").distinct(), "doc_id", "left_semi")
+            parts += self._counted(new if deletes is None else new.join(gone, "doc_id", "left_anti"))
+            touched.append(last.select("doc_id"))
+        if touched:
+            ids = touched[0] if len(touched) == 1 else touched[0].unionByName(touched[1]).distinct()
+            held = self.state().join(ids, "doc_id", "left_semi")
             parts.append(held.select("doc_id", *GROUP, *[(-F.col(m)).alias(m) for m in MEASURES]))
         if not parts:
             return False
         rows = parts[0]
         for p in parts[1:]:
             rows = rows.unionByName(p)
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        path = f"{self.path}/rows/batch={batch}"
+        rows.write.mode("overwrite").parquet(path)
+        _summed(self.spark.read.schema(ROW_SCHEMA).parquet(path), *GROUP).write.mode("overwrite").parquet(
+            f"{self.path}/deltas/batch={batch}")
         return True
 
+    def _counted(self, docs: DataFrame) -> list[DataFrame]:
+        return [counted(docs, self.folder, v) for v in self.versions]
+
     def rollup(self) -> DataFrame:
         """Documents, tokens and characters by source, language and tokenizer."""
-        return (self.rows().groupBy(*GROUP).agg(*[F.sum(m).alias(m) for m in MEASURES])
-                .where("docs != 0 or tokens != 0 or chars != 0"))
+        return _summed(self._read("deltas", DELTA_SCHEMA), *GROUP)
+
+
+def _summed(rows: DataFrame, *by: str) -> DataFrame:
+    return (rows.groupBy(*by).agg(*[F.sum(m).alias(m) for m in MEASURES])
+            .where("docs != 0 or tokens != 0 or chars != 0"))

@@ -12,7 +12,8 @@ not). The score is a logistic function of the summed weights, absolute and
 per hundred words, fitted on the same labelled rows.
 
 Learning uses at most ``MAX_PER_CLASS`` rows of each label, chosen by a hash of
-the id, all outside the held-out fold. Scoring reads every whole text. Without
+the id, all outside the held-out fold; that bounds the lexicon and the exception phrases, which
+are never cut. An id labelled both toxic and clean has no label. Scoring reads every whole text. Without
 labelled toxic rows the lexicon is empty and every score is the base rate.
 Null and empty texts are scored as texts without hits.
 """
@@ -43,7 +44,6 @@ SHORTEST, LONGEST = 4, 12
 LONGEST_PIECE = 6
 #: Keys counted at once in a task.
 KEYS_AT_ONCE = 500_000
-MAX_ENTRIES = 20_000
 THRESHOLD = 0.7
 
 # Look-alike letters and substitutions.
@@ -170,8 +170,10 @@ def features(folded: str, machine) -> tuple[float, float]:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic) of the rows learned from."""
-    marks = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-             .where(F.col("toxic").isin(0, 1) & ~held_out()).dropDuplicates(["doc_id"]))
+    # An id with both labels has none.
+    marks = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & ~held_out())
+             .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most"))
+             .where("toxic = _most").drop("_most"))
     parts = [marks.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_PER_CLASS)
              for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
@@ -259,7 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, exceptions: list[str] = ()) -> dic
                  .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
                  .where(F.col("toxic") >= MIN_SUPPORT).withColumn("w", odds)
                  .where((F.col("w") >= MIN_LOG_ODDS) & (surprise >= -math.log(CHANCE)))
-                 .orderBy(F.desc("w"), "entry").limit(MAX_ENTRIES).collect())
+                 .orderBy(F.desc("w"), "entry").collect())
         model["entries"] = choose_entries([(r["entry"], r["toxic"], r["w"]) for r in found])
         model["exceptions"] += _learn_exceptions(sample, model)
         got = sample.select("text", "toxic").mapInArrow(_featurise(model), "a double, b double, toxic int").toPandas()
@@ -294,7 +296,7 @@ def _learn_exceptions(sample: DataFrame, model: dict) -> list[str]:
     found = (sample.select("text", "toxic").mapInArrow(pairs, "phrase string, toxic long, clean long")
              .groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
              .where((F.col("clean") >= MIN_SUPPORT) & (F.col("toxic") == 0))
-             .orderBy("phrase").limit(MAX_ENTRIES).collect())
+             .orderBy("phrase").collect())
     return [r["phrase"] for r in found]
 
 

@@ -96,12 +96,56 @@ def test_base_spans_consume_failing_matches():
     assert secrets.base_spans("AKIA" + "B" * 11) == [] and len(secrets.base_spans("AKIA" + "B" * 12)) == 1
 
 
-def test_network_tells_keys_from_words(spark):
-    net = secrets.train(common.documents(spark, SF001))
-    rows = secrets.generated(400, seed=99)
-    p = np.array([secrets.probability(secrets.forward(np.array([secrets.windows(t, s, e)[0]]), net), net)[0] for t, s, e, _ in rows])
-    y = np.array([r[3] for r in rows])
-    assert (p[y == 1] >= net["threshold"]).mean() > 0.85 and (p[y == 0] >= net["threshold"]).mean() < 0.1
+@pytest.fixture(scope="module")
+def net(spark):
+    return secrets.train(common.documents(spark, SF01))
+
+
+def test_network_finds_keys_of_unseen_forms(net):
+    for held_back in (False, True):
+        p, y = [], []
+        for text, s, e, label in secrets.generated(800, seed=99, held_back=held_back):
+            p.append(secrets.probability(secrets.forward(secrets.windows(text, [(s, e)])[0], net), net).max())
+            y.append(label)
+        p, y = np.array(p), np.array(y)
+        assert (p[y == 1] >= net["threshold"]).mean() > 0.9 and (p[y == 0] >= net["threshold"]).mean() < 0.02
+
+
+def test_candidates_of_any_form_outside_base_findings():
+    def cands(text):
+        return [text[s:e] for s, e in secrets.candidates(text, secrets.base_spans(text))]
+    assert cands("sk_live_abcdEFGH12 and " + "q" * 32 + ".") == ["sk_live_abcdEFGH12", "q" * 32]
+    assert cands("postgres://user:s3cretP4ss@host ordinary words only") == ["s3cretP4ss"]
+    inner = "a1" * 20
+    assert cands(f"zz-Left9part_{inner}XY9right_Part") == ["zz-Left9part_", "XY9right_Part"]
+    assert cands("password=abcdefgh1234 thunderstorm") == []
+
+
+def test_spans_brute_force(spark, net):
+    planted = "use postgres://user:k9Qw7Zx2Lm4T@host and ghp_" + "aB3" * 12 + " now"
+    docs = spark.createDataFrame([(-1, planted), (-2, "password=abcdefgh1234"), (3, None), (None, "AKIA" + "Q7" * 8), (2, "nothing")],
+                                 "doc_id long, text string").unionByName(common.documents(spark, SF001).select("doc_id", "text"))
+    texts = [(r.doc_id, r.text or "") for r in docs.collect()]
+    want = []
+    for i, t in texts:
+        spans = secrets.base_spans(t)
+        for s, e in secrets.candidates(t, spans):
+            w = secrets.windows(t, [(s, e)])[0]
+            if max(secrets.probability(secrets.forward(w[k:k + 1], net), net)[0] for k in range(len(w))) >= net["threshold"]:
+                spans = spans + [(s, "net", e)]
+        order = {k: n for n, k in enumerate(secrets.KINDS)}
+        want.append((i, ",".join(f"{k}:{s}:{e}" for s, k, e in sorted(spans, key=lambda x: (x[0], order[x[1]], x[2])))))
+    got = docs.mapInArrow(secrets._scan(net), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    assert sorted(((r.doc_id, r.spans) for r in got.collect()), key=str) == sorted(want, key=str)
+    found = dict(want)[-1]
+    assert found.count("net:") == 2
+
+
+def test_secret_windows_at_the_ends():
+    text = "k9Qw7Zx2Lm4T" * 30
+    k, owner = secrets.windows(text, [(0, len(text)), (3, 11)])
+    assert k.shape[1] == secrets.LENGTH and owner.tolist().count(1) == 1 and owner.tolist().count(0) > 5
+    assert (k[-1] >= secrets.N_CLASSES).sum() == 8
 
 
 def test_changed_numbers_and_names_still_match(spark):
@@ -197,15 +241,69 @@ def test_sketches_merge(spark):
     assert set(both) <= rows[0] | rows[1] and all(h < fingerprint._BELOW for h in both)
 
 
-def test_license_model_held_out():
-    model = licenses.fit(licenses.training_rows(["the quick brown fox jumps over the lazy dog " * 3] * 50))
-    def best(text):
-        f = licenses.features(text)
-        z = [b + sum(model["weights"][g][k] for g in f if g in model["weights"]) for k, b in enumerate(model["bias"])]
-        return model["labels"][int(np.argmax(z))]
-    assert best("all code here is licensed under the Apache License, Version 2.0, thanks") == "Apache-2.0"
-    assert best("a walk in the park under the sun") == "none"
-    assert best("Licensed under CC BY-NC 4.0.") == "CC-BY-NC"
+@pytest.fixture(scope="module")
+def license_model(spark):
+    return licenses.train(common.documents(spark, SF01))
+
+
+NOTICES = {
+    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+           "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files '
+           '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish.',
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+               "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+}
+ORDINARY = [
+    "the company said all rights reserved for tables at the inn", "A driver's license is required under the law of the land.",
+    "We released the bird under the old bridge.", "The license plate was version 2 of the design.", "Permission to leave early was granted by the teacher.",
+    "The public domain of the village lies beyond the mill.", "He reserved all the rights he had to the table near the window.",
+    "The general public likes free software and free lunches.", "Source and binary stars are different forms of light.",
+    "In January 2004 the apache helicopter flew over the common ground.",
+]
+
+
+def test_wrapped_notices_and_ordinary_sentences(spark, license_model):
+    import textwrap
+    rows = [(f"{f}{w}", "Some words of a readme come first.\n\n" + "\n".join(("# " if w == 60 else "") + x for x in textwrap.wrap(t, w)) + "\n\nThe end")
+            for f, t in NOTICES.items() for w in (40, 60, 76, 10_000)]
+    ids = {i: f for i, (f, _) in enumerate(rows)}
+    rows = [(i, t) for i, (_, t) in enumerate(rows)] + [(100 + i, t) for i, t in enumerate(ORDINARY)]
+    rows += [(200, "All rights reserved."), (201, "Title of it\nAll rights reserved.\nMore text here"), (200, "All rights reserved."), (None, "Released under the MIT License."),
+             (300, None), (301, "")]
+    got = licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), license_model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.families == "MIT"
+        elif r.doc_id in ids:
+            assert r.families == ids[r.doc_id].rstrip("0123456789") or ids[r.doc_id].startswith(r.families) and r.families, (ids[r.doc_id], r)
+        else:
+            assert r.families == ("Proprietary" if r.doc_id in (200, 201) else ""), r
+    assert [r.n_segments for r in got if r.doc_id in (300, 301)] == [0, 0]
+
+
+def test_segments_equal_plain_words(spark):
+    texts = ["One two. Three\nfour; five\n\nsix 7.8 nine!", "a" * 5, " ... ", "w " * 300]
+    got = licenses.segments(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    hashes = spark.createDataFrame([(t,) for t in texts], "text string").select("text", *licenses.text_hashes()).collect()
+    for t in texts:
+        words = [licenses.STOP, *licenses.word_list(t)]
+        parts = sorted((r.part, r.words) for r in got if (t, r.t, r.u) in {tuple(h) for h in hashes})
+        want = [(at, words[at:at + 64]) for at in range(0, max(0, len(words) - 17) + 1, 48)] if len(words) > 1 else []
+        assert parts == want
+
+
+def test_license_probabilities_are_calibrated(license_model):
+    rows = licenses.training_rows([])[1::7]
+    p, right = [], []
+    for words, family in rows:
+        z = np.array(license_model["bias"]) + sum((np.array(license_model["weights"][g]) for g in licenses.features(words) if g in license_model["weights"]), np.zeros(len(license_model["bias"])))
+        q = licenses._softmax(z[None, :])[0]
+        p.append(q.max())
+        right.append(license_model["labels"][int(q.argmax())] == family)
+    assert abs(np.mean(p) - np.mean(right)) < 0.05
 
 
 def test_ledger_deletes_and_revises(spark):
@@ -222,6 +320,83 @@ def test_ledger_deletes_and_revises(spark):
     assert got == {("y", "fr"): (1, direct.tokens, 7), (None, None): (1, 0, 0)}
 
 
+def test_ledger_brute_force(spark):
+    schema = "doc_id long, text string, lang string, source string"
+    rng = np.random.default_rng(12)
+    count = {v: (lambda t, own=tokens._encoding(tokens.TOKENIZER_DIR, v): len(own.encode_ordinary(t or ""))) for v in tokens.VERSIONS}
+    text = lambda: None if rng.random() < 0.1 else " ".join(rng.choice(["red", "blue", "größe", "x1"], rng.integers(0, 6)))
+    row = lambda i: (i, text(), str(rng.choice(["en", "fr"])), str(rng.choice(["s", "t"])))
+    ledger = tokens.Ledger(spark, common.scratch_path(spark, "ledger"), tokens.VERSIONS)
+    held: list = []
+    for b in range(5):
+        ids = lambda n: [int(x) if x < 12 else None for x in rng.integers(0, 13, n)]
+        inserts, deletes, revisions = [row(i) for i in ids(6)], ids(4), [row(i) for i in ids(4)]
+        known = {r[0] for r in held if r[0] is not None}
+        gone = {i for i in deletes if i is not None}
+        last = {}
+        for r in sorted((r for r in revisions if r[0] is not None), key=lambda r: (r[3], r[2], r[1] is not None, r[1] or "")):
+            last[r[0]] = r
+        held = [r for r in held if r[0] is None or r[0] not in gone | last.keys()] + [r for i, r in last.items() if i in known - gone] + inserts
+        frames = {"inserts": spark.createDataFrame(inserts, schema), "deletes": spark.createDataFrame([(i,) for i in deletes], "doc_id long"),
+                  "revisions": spark.createDataFrame(revisions, schema)}
+        assert ledger.commit(str(b), **frames) and not ledger.commit(str(b), **frames)
+        want = {}
+        for i, t, lang, source in held:
+            for v in tokens.VERSIONS:
+                d, n, c = want.get((source, lang, v), (0, 0, 0))
+                want[source, lang, v] = (d + 1, n + count[v](t), c + len(t or ""))
+        assert {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens, r.chars) for r in ledger.rollup().collect()} == want
+
+
+def test_token_query_counts_documents_and_characters(spark):
+    got = {(r.source, r.lang, r.tokenizer): (r.docs, r.chars) for r in entry.queries()["op1_token_counts"](spark, SF001).collect()}
+    want = duckdb.connect().execute(f"""SELECT source, lang, count(*), sum(CASE WHEN doc_id % 10 = 1
+        THEN length(coalesce(text, '')) - length(coalesce(text, '')) // 2 ELSE length(coalesce(text, '')) END)
+        FROM '{SF001}/documents.parquet' WHERE doc_id % 10 NOT IN (3, 7) GROUP BY ALL""").fetchall()
+    assert got == {(s, x, v): (n, c) for s, x, n, c in want for v in tokens.VERSIONS}
+
+
+def test_clashing_labels_have_no_say(spark):
+    docs = spark.createDataFrame([(i, "calm words here" if i % 2 else "vile grobnik here") for i in range(60)], "doc_id long, text string")
+    marks = [(i, 1 - i % 2) for i in range(60)] + [(i, i % 2) for i in range(60)]
+    for parts in (1, 5):
+        model = toxicity.train(docs, spark.createDataFrame(marks, "doc_id long, toxic int").repartition(parts))
+        assert model["entries"] == {}
+    sample = toxicity.labelled_sample(docs, spark.createDataFrame(marks[:61], "doc_id long, toxic int"))
+    assert 0 not in {r.doc_id for r in sample.collect()} and sample.count() > 30
+
+
+def test_letters_beyond_the_first_plane(spark):
+    from boutique.llm import langid
+    rows = [(i, "the calm river and the old mill" if i % 2 else "la rivière calme et le vieux moulin", "en" if i % 2 else "fr") for i in range(60)]
+    rows += [(100, "\U0001F600\U0001F680", None), (101, "\U00020000\U00020001", None), (102, "12 !", None)]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[100] == got[102] == "und" and got[101] in ("en", "fr")
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    from boutique.llm import langid
+    monkeypatch.setattr(langid, "TOTAL", 150)
+    monkeypatch.setattr(langid, "TOTAL_LANDMARKS", 60)
+    monkeypatch.setattr(langid, "TRAIN_ROWS", 64)
+    rng = np.random.default_rng(13)
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(50):
+        words = ["".join(rng.choice(list(alphabet), 6)) for _ in range(12)]
+        rows += [(100 * k + i, " ".join(rng.choice(words, 10)), f"x{k}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
+    assert (got.lang == got.lang_pred).mean() > 0.8 and got.lang_pred.nunique() > 40
+
+
+def test_flow_only_where_sources_overlap():
+    many = {(f"s{i}",): 10 for i in range(200_000)}
+    given = mixing.routed(many | {("a", "b"): 10, ("a",): 5, (): 7}, {f"s{i}": i % 40 for i in range(200_000)} | {"a": 10, "b": 5})
+    assert all(given[f"s{i}",] == min(i % 40, 30) for i in range(0, 200_000, 997))
+    assert given["a", "b"] + given["a",] == 15 and given[()] == 0
+
+
 def test_token_pieces_add_up():
     text = "some words 123, and more words! " * 50
     own = tokens._encoding(tokens.TOKENIZER_DIR, tokens.VERSION)

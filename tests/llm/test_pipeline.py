@@ -20,3 +20,43 @@ def test_run(spark):
     ids = {r.doc_id for r in now.collect()}
     assert ids <= {r.doc_id for r in docs.collect()}
     assert corpus_pipeline.run(spark, SF001).count() == sizes[-1]
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Against brute force: groups by exact similarity, repeated rows and ids, nulls."""
+    rng = __import__("random").Random(3)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for g in range(6):
+        base = rng.choices(words, k=60)
+        for c in range(4):
+            text = list(base)
+            if c:
+                text[rng.randrange(60)] = f"z{g}{c}"
+            rows.append((10 * g + c, " ".join(text)))
+    rows += [rows[0], rows[0], rows[5], (500, rows[0][1]), (None, rows[0][1]), (None, None), (501, None), (501, None), (502, ""), (500, "other text")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def grams(t):
+        w = (t or "").split()
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    ids = sorted({i for i, _ in rows if i is not None})
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    known = [(i, grams(t)) for i, t in rows if i is not None]
+    for i, a in known:
+        for j, b in known:
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    want = {i for i in ids if find(i) == i}
+    got = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF001).collect()]
+    assert sorted(i for i in got if i is not None) == sorted(want) and got.count(None) == 2
+    none = corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), SF001)
+    assert none.count() == 0 and none.columns == corpus_pipeline.COLUMNS
