@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
 from boutique.llm import decontaminate, dedup, mixing, secrets, toxicity
 from boutique.llm.common import documents, scratch_path
@@ -37,9 +38,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, 0.8) one document stays."""
-    copies = dedup.near_duplicates(docs, size=5, percent=80).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    """Of each group of near copies (five-word shingles, 0.8) one row stays: the
+    smallest id's, and of repeated rows of that id the first by text hash."""
+    docs = docs.select(*COLUMNS)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1").select("doc_id")
+    gone = dedup.near_duplicates(docs, size=5, percent=80).where(~F.col("kept")).select("doc_id").distinct()
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), *COLUMNS[1:])).alias("r")
+    one = (docs.join(repeated, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").groupBy("doc_id").agg(first)
+           .select("doc_id", *[F.col(f"r.{c}") for c in COLUMNS[1:]]))
+    single = docs.join(gone.unionByName(repeated).distinct(), "doc_id", "left_anti")
+    return single.unionByName(one)
 
 
 @_stage
