@@ -85,10 +85,14 @@ def train(docs: DataFrame) -> dict | None:
     n_langs = labelled.where("text is not null").agg(F.count_distinct("lang")).first()[0]
     if not n_langs:
         return None
-    # Spark cuts each language to the first rows in every task before the shuffle.
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = (labelled.where("text is not null").select("doc_id", "lang").withColumn("_r", place)
-           .where(F.col("_r") <= max(1, min(MAX_PER_LANG, TOTAL // n_langs))).select("doc_id", "lang"))
+    most = max(1, min(MAX_PER_LANG, TOTAL // n_langs))
+    # The first rows by hash: those below a bound that leaves about three times as many, then ranked.
+    sizes = labelled.where("text is not null").groupBy("lang").agg(F.count("*").alias("n"))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
+    few = (labelled.where("text is not null").select("doc_id", "lang").join(sizes.select("lang", (3.0 * most / F.col("n")).alias("_share")), "lang")
+           .where(draw < F.col("_share")).select("doc_id", "lang", draw.alias("_d")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_d", "doc_id"))
+    ids = few.withColumn("_r", place).where(F.col("_r") <= most).select("doc_id", "lang")
     rows = (labelled.join(ids, ["doc_id", "lang"], "left_semi")
             .mapInArrow(_packed, "lang string, doc_id long, bits binary").where("bits is not null").collect())
     if not rows:

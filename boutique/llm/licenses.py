@@ -228,8 +228,9 @@ def segments(docs: DataFrame) -> DataFrame:
     words = docs.select(*text_hashes(), _words("text").alias("all"))
     words = words.where(F.size("all") > 1)
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("all") - (SEGMENT - STRIDE) - 1), F.lit(STRIDE))
-    return words.select("t", "u", "all", F.explode(starts).alias("part")).select(
-        "t", "u", "part", F.slice("all", F.col("part") + 1, SEGMENT).alias("words"))
+    cut = F.transform(starts, lambda at: F.struct(at.alias("part"), F.slice("all", at + 1, SEGMENT).alias("words")))
+    # Exploded whole, so that the words of a segment are computed once, not for each of their uses.
+    return words.select("t", "u", F.explode(cut).alias("s")).select("t", "u", "s.part", "s.words")
 
 
 def _n_segments(text: str):
