@@ -32,6 +32,8 @@ LANDMARKS_PER_LANG, TOTAL_LANDMARKS = 64, 4096
 RIDGE = 1e-3
 ROWS_AT_ONCE = 128
 TRAIN_ROWS = 1024
+#: Rows (id, language) that may be broadcast.
+BROADCAST_ROWS = 1_000_000
 CHARS_AT_ONCE = 1 << 18
 
 _CACHE: dict = {}
@@ -87,12 +89,14 @@ def train(docs: DataFrame) -> dict | None:
         return None
     most = max(1, min(MAX_PER_LANG, TOTAL // n_langs))
     # The first rows by hash: those below a bound that leaves about three times as many, then ranked.
-    sizes = labelled.where("text is not null").groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = labelled.where("text is not null").groupBy("lang").agg(F.count("*").alias("n"))  # one row per language
     draw = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
-    few = (labelled.where("text is not null").select("doc_id", "lang").join(sizes.select("lang", (3.0 * most / F.col("n")).alias("_share")), "lang")
+    few = (labelled.where("text is not null").select("doc_id", "lang").join(F.broadcast(sizes.select("lang", (3.0 * most / F.col("n")).alias("_share"))), "lang")
            .where(draw < F.col("_share")).select("doc_id", "lang", draw.alias("_d")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("_d", "doc_id"))
     ids = few.withColumn("_r", place).where(F.col("_r") <= most).select("doc_id", "lang")
+    if n_langs * most <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
     rows = (labelled.join(ids, ["doc_id", "lang"], "left_semi")
             .mapInArrow(_packed, "lang string, doc_id long, bits binary").where("bits is not null").collect())
     if not rows:

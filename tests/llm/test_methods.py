@@ -281,7 +281,7 @@ def test_wrapped_notices_and_ordinary_sentences(spark, license_model):
             assert r.families == ids[r.doc_id].rstrip("0123456789") or ids[r.doc_id].startswith(r.families) and r.families, (ids[r.doc_id], r)
         else:
             assert r.families == ("Proprietary" if r.doc_id in (200, 201) else ""), r
-    assert [r.n_segments for r in got if r.doc_id in (300, 301)] == [0, 0]
+    assert [r.n_paragraphs for r in got if r.doc_id in (300, 301)] == [0, 0]
 
 
 def test_segments_equal_plain_words(spark):
