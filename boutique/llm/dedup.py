@@ -12,11 +12,10 @@ densification, banded buckets and star-shaped candidate edges.
    a turn are at most ``BANDS`` per class; the one closest by sketch is confirmed on the
    full sets. Confirmed links are contracted to components, and ``TURNS``
    turns with changing centres leave few buckets with several components.
-4. In those, the members outside the bucket's largest component are compared
-   with its members of other components, so that no link found by the
-   buckets is lost to the star shape. Hopeless pairs are discarded inside the join: by
-   sizes and by the shingles that only one member has, an exact bound, then by
-   sketches (four bits of each bin). The rest is confirmed on full sets.
+4. The members of those are joined by a prefix filter: two sets can only be similar if
+   they share one of the rarest shingles of each, an exact bound. So no link is lost to
+   the star shape, and texts with much boilerplate in common don't meet. Pairs are discarded by sizes and by
+   sketches (four bits of each bin); the rest is confirmed on full sets.
 
 Probability that a pair at similarity 0.8 shares no bucket:
 (1 - 0.8**4)**32 = 5e-8; that the sketch discards it: about 3e-6. The result
@@ -257,29 +256,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Buckets that still hold several components.
     placed = _placed(rows, links)
-    per_comp = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("m"))
-    mixed = (per_comp.groupBy("band", "key").agg(F.max(F.struct("m", "comp")).alias("t"),
-                                                 F.count("*").alias("comps"))
-             .where("comps > 1").select("band", "key", F.col("t.comp").alias("largest")))
-    members = written(placed.join(mixed, ["band", "key"]), "mixed")
-    members = written(members.join(narrow, "id").join(_light(_own_shingles(members, sets)), "id", "left")
-                      .withColumn("own", F.coalesce("own", F.lit(0))), "members")
-    left = members.where("comp != largest").select(
-        "band", "key", *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "own", "bands", "sketch")])
-    right = members.select(
-        "band", "key", "largest", *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "own", "bands", "sketch")])
-    shared_before = (F.col("left.band") > 0) & F.exists(
-        F.slice(F.zip_with("bands_a", "bands_b", lambda p, q: p == q), 1, F.greatest(F.col("left.band"), F.lit(1))),
-        lambda e: e)
-    rest = left.alias("left").join(
-        right.alias("right"),
-        (F.col("left.band") == F.col("right.band")) & (F.col("left.key") == F.col("right.key"))
-        & (F.col("comp_a") != F.col("comp_b"))
-        & ((F.col("comp_b") == F.col("largest")) | (F.col("id_a") < F.col("id_b")))
-        & (100 * F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))
-           >= percent * F.greatest(F.col("n_a") + F.col("own_b"), F.col("n_b") + F.col("own_a")))
-        & (_different("sketch_a", "sketch_b") <= MAX_DIFFERENT) & ~shared_before)
-    rest = written(rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "pairs")
+    per_comp = placed.groupBy("band", "key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"))
+    mixed = per_comp.where("c1 != c2").select("band", "key")
+    members = written(placed.join(mixed, ["band", "key"], "left_semi").select("id", "comp").distinct(), "members")
+    rest = written(_prefix_pairs(members, sets, percent), "pairs")
+    def side(x):
+        return narrow.select(F.col("id").alias(x), F.col("sketch").alias(f"s_{x}"))
+    rest = written(rest.join(side("a"), "a").join(side("b"), "b").where(_different("s_a", "s_b") <= MAX_DIFFERENT)
+                   .select("a", "b"), "near")
     more = _confirmed(rest, sets, percent)
     final = labels(components(links.unionByName(more)))
     by_set = classes.select("set_id", "id").join(final, "id", "left").select(
@@ -292,21 +276,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
 
 
-def _own_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(id, own): shingles of a member that no other member has. They are in no
-    intersection and in every union, which bounds a pair's similarity."""
-    ids = _light(written(members.select("id").distinct(), "member_ids"))
-    shingles = sets.join(ids, "id", "left_semi").mapInArrow(_each_shingle, "id long, g long")
-    single = shingles.groupBy("g").agg(F.count("*").alias("m"), F.min("id").alias("id")).where("m = 1")
-    return written(single.groupBy("id").agg(F.count("*").alias("own")), "own")
+def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members (id, comp) of different components that share one
+    of their rarest shingles. Sets of which ``percent`` % of the union are common share one among
+    the first n - ceil(percent % of n) + 1 of each, in any common order, so no
+    link is lost; ordered by rarity, what many texts have in common (boilerplate) brings
+    no two of them together."""
+    own = sets.join(_light(members), "id").select("id", "comp", "shingles").mapInArrow(
+        _each_shingle, "id long, comp long, n long, g long")
+    shingles = written(own, "shingles")
+    rarity = shingles.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
+    # A shingle of one member brings nobody together, but takes its place in the order.
+    shared = shingles.join(rarity, "g").groupBy("id", "comp", "n").agg(F.array_sort(F.collect_list(F.struct("m", "g"))).alias("s"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("s"))
+    first = written(shared.where(length > 0).select("id", "comp", "n", F.explode(F.slice("s", F.lit(1), length.cast("int"))).alias("e"))
+                    .select("id", "comp", "n", "e.g"), "prefixes")
+    def side(x):
+        return first.select("g", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "n")])
+    pairs = side("a").join(side("b"), "g").where(
+        (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & _sizes_fit("n_a", "n_b", percent))
+    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def _each_shingle(batches):
     for batch in batches:
-        for one, data in zip(batch.column("id"), batch.column("shingles")):
+        for one, comp, data in zip(batch.column("id").to_pylist(), batch.column("comp").to_pylist(), batch.column("shingles")):
             g = np.frombuffer(data.as_buffer(), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), one.as_py()), pa.int64()), pa.array(g, pa.int64())],
-                                             names=["id", "g"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), x), pa.int64()) for x in (one, comp, len(g))] + [pa.array(g, pa.int64())],
+                                             names=["id", "comp", "n", "g"])
 
 
 def _placed(rows: DataFrame, links: DataFrame) -> DataFrame:
