@@ -5,7 +5,6 @@ import hashlib
 import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from boutique.llm import common, decontaminate, dedup, extract, fingerprint, licenses, mixing, secrets, tokens, toxicity
@@ -41,35 +40,6 @@ def test_chain_of_near_copies_is_one_component(spark):
     assert {r.component_id for r in got} == {71}
 
 
-def test_prefix_pairs_brute_force(spark):
-    rng = np.random.default_rng(14)
-    common = rng.integers(0, 2**63, 30)
-    sets = []
-    for i in range(80):
-        own = np.concatenate([common[:rng.integers(5, 30)], rng.integers(0, 2**63, rng.integers(1, 6))])
-        sets.append(np.unique(own).astype(np.int64))
-    table = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "id long, shingles binary")
-    members = spark.createDataFrame([(i, i % 70) for i in range(80)], "id long, comp long")
-    got = {(r.a, r.b) for r in dedup._prefix_pairs(members, table, 80).collect()}
-    for i in range(80):
-        for j in range(i + 1, 80):
-            both = len(np.intersect1d(sets[i], sets[j]))
-            if i % 70 != j % 70 and 100 * both >= 80 * len(np.union1d(sets[i], sets[j])):
-                assert (i, j) in got
-
-
-def test_boilerplate_brings_few_pairs_together(spark):
-    boiler = [f"b{i}" for i in range(60)]
-    def pairs(n):
-        sets, rng = [], np.random.default_rng(15)
-        for i in range(n):
-            words = boiler + [f"o{i}x{k}" for k in range(40)]
-            sets.append((i, bytearray(np.unique(common.shingle_hashes(common.word_hashes(np.frombuffer(" ".join(words).encode(), np.uint8)), 5)).tobytes())))
-        table = spark.createDataFrame(sets, "id long, shingles binary")
-        return dedup._prefix_pairs(table.select("id", F.col("id").alias("comp")), table, 80).count()
-    assert pairs(200) == 0
-
-
 def test_long_text_equals_short_blocks(monkeypatch):
     data = np.frombuffer(("some Words  and\nmore words " * 400).encode(), np.uint8)
     whole = common.word_hashes(data)
