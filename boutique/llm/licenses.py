@@ -196,7 +196,8 @@ def corpus_negatives(docs: DataFrame) -> list[list[str]]:
     ids = (docs.where(F.col("text").isNotNull() & ~held_out()).select("doc_id")
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_NEGATIVES).distinct())
     some = segments(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")).select("words")
-    rows = some.orderBy(F.xxhash64("words"), "words").limit(MAX_NEGATIVES).collect()
+    # Few parts, so that few tasks send their first rows to the driver.
+    rows = some.repartition(4).orderBy(F.xxhash64("words"), "words").limit(MAX_NEGATIVES).collect()
     known = {g for texts in TEMPLATES.values() for t in texts for g in grams(template_words(t), 3)}
     # A segment that contains a notice is no example of "none".
     return [r["words"] for r in rows if not grams(r["words"], 3) & known]
