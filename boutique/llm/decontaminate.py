@@ -14,8 +14,10 @@ stand for one value of the document. Windows that disagree end a run; the longes
 consistent run, or the windows that agree with the commonest values, mark the
 document if they cover ``ENOUGH`` tokens or half of the item.
 
-Items of 4 to 7 tokens are matched as one window of their own length; shorter
-ones say too little and match nothing. Documents send only windows that may be in
+Items of 4 to 7 tokens are matched as one window of their own length, and only where
+it stands for itself in the document: between sentence ends, line ends, quotation marks, brackets or
+the ends of the text. The same few words inside a longer sentence are ordinary
+language. Shorter items say too little and match nothing. Documents send only windows that may be in
 the benchmark: those whose bit is set in a map of fixed size (512 KB), which is all that is
 broadcast. Null and empty texts match nothing; rows with the same id are
 marked together; rows without an id are never marked.
@@ -63,6 +65,8 @@ def _tables() -> dict:
         inside[128:] = True
         ends = np.zeros(256, np.int64)
         ends[[ord(c) for c in ".!?\n:;"]] = 1
+        edges = ends.copy()
+        edges[[ord(c) for c in "\"()[]{}<>|*#"]] = 1
 
         def known(words):
             h = []
@@ -71,7 +75,7 @@ def _tables() -> dict:
                 h.append(run_hashes(data, np.ones(len(data), bool), np.array([0]), np.array([len(data)]))[0])
             return np.sort(np.array(h, np.uint64))
 
-        _CACHE.update(inside=inside, ends=ends, numbers=known(NUMBER_WORDS), units=known(UNITS),
+        _CACHE.update(inside=inside, ends=ends, edges=edges, numbers=known(NUMBER_WORDS), units=known(UNITS),
                       types=mix64(_TYPES))
     return _CACHE
 
@@ -81,14 +85,15 @@ def _member(x: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
     return sorted_values[at] == x
 
 
-def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start byte, value hash and type of the tokens of a byte string that may
-    hold several texts with boundaries marked by a newline."""
+    hold several texts with boundaries marked by a newline, and whether an edge
+    (a sentence end, line end, quotation mark or bracket) comes before the token."""
     t = _tables()
     inside = t["inside"][data]
     starts, ends = spans(inside)
     if not len(starts):
-        return starts, np.zeros(0, np.uint64), np.zeros(0, np.int8)
+        return starts, np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool)
     folded = ascii_lower()[data]
     values = run_hashes(folded, inside, starts, ends)
     first = data[starts]
@@ -101,6 +106,8 @@ def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     # Capitalised words, and whether they come after the end of a sentence.
     stops = np.concatenate(([0], np.cumsum(t["ends"][data])))
     fresh = np.concatenate(([True], stops[starts[1:]] > stops[ends[:-1]]))
+    marks = np.concatenate(([0], np.cumsum(t["edges"][data])))
+    edge = np.concatenate((marks[starts[:1]] > 0, marks[starts[1:]] > marks[ends[:-1]]))
     second = data[np.minimum(starts + 1, len(data) - 1)]
     capital = (first >= 65) & (first <= 90) & (ends - starts > 1) & (((second >= 97) & (second <= 122)) | (second >= 128))
     named = capital & (kind == WORD)
@@ -113,26 +120,37 @@ def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         merged = np.zeros(len(head), np.uint64)
         place = np.arange(len(glued)) - head[group]
         np.add.at(merged, group, values * (place.astype(np.uint64) * np.uint64(2) + np.uint64(1)))
-        return starts[head], merged, kind[head]
-    return starts, values, kind
+        return starts[head], merged, kind[head], edge[head]
+    return starts, values, kind, edge
 
 
-def text_tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values and types of one text of any length."""
+def text_tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values, types and edges of one text of any length."""
+    t = _tables()
     word = np.ones(256, bool)
     word[[0x20, *range(0x09, 0x0E)]] = False
-    values, kinds = [], []
+    values, kinds, edges = [], [], []
+    open_edge = True  # an edge since the last token; the text begins with one
     for a, b in blocks(data, word):
-        _, v, k = tokens(data[a:b])
+        starts, v, k, e = tokens(data[a:b])
+        if len(starts):
+            e[0] |= open_edge
+            tail = data[a + starts[-1]:b]
+            # A token holds no edge but the point between its digits, after which it goes on.
+            last = np.flatnonzero(t["inside"][tail])[-1]
+            open_edge = bool(t["edges"][tail[last + 1:]].any())
+        else:
+            open_edge |= bool(t["edges"][data[a:b]].any())
         values.append(v)
         kinds.append(k)
+        edges.append(e)
     if not values:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8)
-    return np.concatenate(values), np.concatenate(kinds)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool)
+    return np.concatenate(values), np.concatenate(kinds), np.concatenate(edges)
 
 
 def each_text(column: pa.Array):
-    """Values and types of the tokens of each text."""
+    """Values, types and edges of the tokens of each text."""
     data, offsets = string_bytes(column)
     for a, b in row_groups(offsets):
         if b == a + 1:
@@ -144,10 +162,11 @@ def each_text(column: pa.Array):
             parts += [data[offsets[i]:offsets[i + 1]], np.array([10], np.uint8)]
         joined = np.concatenate(parts)
         bounds = np.concatenate(([0], np.cumsum(np.diff(offsets[a:b + 1]) + 1)))
-        starts, values, kinds = tokens(joined)
+        starts, values, kinds, edges = tokens(joined)
+        edges[:1] = True
         at = np.searchsorted(starts, bounds)
         for i in range(b - a):
-            yield values[at[i]:at[i + 1]], kinds[at[i]:at[i + 1]]
+            yield values[at[i]:at[i + 1]], kinds[at[i]:at[i + 1]], edges[at[i]:at[i + 1]]
 
 
 def template_windows(values: np.ndarray, kinds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,10 +206,16 @@ def readings(values, kinds, size):
         yield np.flatnonzero(use), h, k
 
 
+def stands_alone(places: np.ndarray, edges: np.ndarray, size: int) -> np.ndarray:
+    """The windows that have an edge, or an end of the text, on both sides."""
+    after = np.append(edges, True)
+    return places[edges[places] & after[places + size]]
+
+
 def _benchmark_windows(batches):
     for batch in batches:
         rows = [[], [], [], [], [], []]
-        for item, (values, kinds) in zip(batch.column("item_id").to_pylist(), each_text(batch.column("text"))):
+        for item, (values, kinds, _) in zip(batch.column("item_id").to_pylist(), each_text(batch.column("text"))):
             size = min(WINDOW, len(values))
             if item is None or size < SHORTEST:
                 continue
@@ -211,11 +236,13 @@ def _document_windows(bitmap: np.ndarray, sizes: list[int]):
     def run(batches):
         for batch in batches:
             ids, ats, hs, slots = [], [], [], []
-            for doc, (values, kinds) in zip(batch.column("doc_id").to_pylist(), each_text(batch.column("text"))):
+            for doc, (values, kinds, edges) in zip(batch.column("doc_id").to_pylist(), each_text(batch.column("text"))):
                 for size in sizes:
                     if len(values) < size:
                         continue
                     for places, h, k in readings(values, kinds, size):
+                        if size < WINDOW:
+                            places = stands_alone(places, edges, size)
                         bit = h[places] >> np.uint64(64 - MAP_BITS)
                         hit = ((bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
                         places = places[hit]

@@ -178,6 +178,30 @@ def test_partly_changed_dense_and_opening_copies_match(spark):
     assert got == {1: "1", 2: "2", 3: "3", 4: "4", 5: ""}
 
 
+def test_short_items_match_only_where_they_stand_alone(spark):
+    bench = spark.createDataFrame([(1, "What is the answer?"), (2, "Add 12 apples to the large basket")], "item_id long, text string")
+    texts = {1: "People ask what is the answer to life and get none.", 2: "We met. What is the answer? Nobody knew.",
+             3: "what is the answer", 4: 'He said "What is the answer" and left.', 5: "First line\nWhat is the answer\nlast line",
+             6: "Please add 15 apples to the large basket now", 7: "Please do this: add 15 apples to the large basket", 8: "so what is the answer?",
+             9: "What is the answer to life?"}
+    long = 70_000 * "the inn by the river was full of guests. "
+    texts[10], texts[11] = long + "What is the answer? " + long, long + "People ask what is the answer to life. " + long
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r["items"] for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: "", 2: "1", 3: "1", 4: "1", 5: "1", 6: "", 7: "2", 8: "", 9: "", 10: "1", 11: ""}
+
+
+def test_edges_of_long_texts_equal_those_of_the_whole(monkeypatch):
+    text = ("It rained (all day). 3.5 km on, the road ended: nobody went\nfurther | " * 40).encode()
+    data = np.frombuffer(text, np.uint8)
+    _, values, kinds, edges = decontaminate.tokens(data)
+    edges[0] = True
+    for step in (16, 50, 333):
+        monkeypatch.setattr(common, "BLOCK_BYTES", step)
+        v, k, e = decontaminate.text_tokens(data)
+        assert (v == values).all() and (e == edges).all()
+
+
 def test_consistent_cover_brute_force():
     from itertools import product
     rng = np.random.default_rng(4)
