@@ -9,7 +9,9 @@ are the main text, in page order.
 
 The potentials are trained by gradient ascent on the likelihood of labelled
 pages: pages laid out here from common page parts with known labels, in
-many arrangements, some without any telling tag or class.
+many arrangements, some without any telling tag or class, some in the cells of a
+layout table. Lists of links and sections with a heading inside an article are
+content, whatever the section's name; a cell beside a far larger one is told by what it holds.
 
 Scripts, styles, templates, drawings (svg), frames, noscript, comments of the
 markup and the head are never text. The head ends at its end tag, or at what it
@@ -60,7 +62,8 @@ HINTS = {
     "side": "sidebar side rail aside complementary widget widgets related recommended popular trending more teaser",
     "ad": "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion promoted dfp affiliate",
     "notice": "notice cookie cookies consent gdpr alert popup modal overlay dialog newsletter subscribe subscription signup paywall message warning",
-    "comment": "comment comments commentlist disqus reply replies respond discussion reader readers feedback reviews",
+    "comment": "comment comments commentlist disqus reply replies respond reader readers feedback reviews",
+    "talk": "discussion",
     "share": "share sharing social follow tweet buttons",
     "form": "search searchbox form login signin contact poll survey",
     "meta": "meta byline author date timestamp tags tag category categories credits",
@@ -68,9 +71,15 @@ HINTS = {
 _HINT = {w: k for k, words in HINTS.items() for w in words.split()}
 _SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _LONG_REFERENCE = re.compile(r"&#(\d{1000,})")
+_RIGHTS = re.compile(r"©|\bcopyright\b|\ball rights reserved\b", re.I)
+#: A cell with this many characters and half of its table's makes it a layout table.
+LAYOUT_CELL = 150
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+CELLS = frozenset(("e:td", "e:th"))
+
+
 class Tree(HTMLParser):
     """Nodes of a page: parent, feature names and text of each; element nodes
     come before their children."""
@@ -106,6 +115,8 @@ class Tree(HTMLParser):
                  "end" if text[-1] in ".!?…\"”»" else "noend", "comma" if "," in text else "nocomma"]
             if share > 0.5 and n < 8:
                 f.append("shortlink")
+            if n < 40 and _RIGHTS.search(text):
+                f.append("rights")
             # An inline element may stand on the stack: the run belongs to its block.
             at = self.open[self._block_at()][1]
             self.parent.append(at)
@@ -179,6 +190,7 @@ class Tree(HTMLParser):
         f = ["e:" + tag, *("h:" + h for h in sorted(hints))]
         if within:
             f.append(f"e:{tag}{within}")
+            f += [f"h:{h}{within}" for h in sorted(hints)]
         if "class" in at or "id" in at:
             f.append("named" if hints else "odd")
         if "hidden" in at or at.get("aria-hidden") == "true" or _HIDDEN.search(at.get("style", "")):
@@ -257,7 +269,8 @@ class Tree(HTMLParser):
 
 def add_totals(tree: Tree) -> None:
     """Features of what is below each element: its share of the page's text,
-    its amount, its share of links and its number of runs."""
+    its amount, its share of links and its number of runs; and of the cells of
+    layout tables, whether they are the largest."""
     n = len(tree.parent)
     chars, links, runs = [0] * n, [0] * n, [0] * n
     for i in range(n - 1, 0, -1):
@@ -274,6 +287,18 @@ def add_totals(tree: Tree) -> None:
             c = chars[i]
             tree.features[i] += ["s%d" % (10 * c // total), "c%d" % min(6, c.bit_length() // 2),
                                  "d%d" % (min(4, 5 * links[i] // c) if c else 5), "r%d" % min(4, runs[i])]
+    # The table of each element, and the largest cell of each table.
+    table, largest = [0] * n, {}
+    for i in range(1, n):
+        up = tree.parent[i]
+        table[i] = up if tree.features[up][0] == "e:table" else table[up]
+        if tree.features[i][0] in CELLS and chars[i] > chars[largest.get(table[i], 0)] * (table[i] in largest):
+            largest[table[i]] = i
+    for i in range(1, n):
+        if tree.features[i][0] in CELLS and table[i] in largest:
+            top = largest[table[i]]
+            if chars[top] >= max(LAYOUT_CELL, chars[table[i]] / 2):
+                tree.features[i].append("cell" if i == top else "aside%d" % (min(4, 5 * links[i] // chars[i]) if chars[i] else 5))
 
 
 def parse(html: str | None) -> Tree:
@@ -442,14 +467,15 @@ def labelled_pages(n: int = TRAIN_PAGES, seed: int = SEED) -> list[str]:
     def share():
         return f'<div{hint("share", 0)} data-y="0">{" ".join(link() for _ in range(2 + r(4)))}</div>'
 
-    def comments():
+    def comments(inside=False):
+        talk = chance(0.15)
         def one_comment():
-            t = one(["div", "li", "article", "p"])
+            t = one(["div", "li", "article"] + ["p"] * (not (talk and inside)))
             if t == "p":
                 return f"<p>{prose(3)}</p>"
-            return f'<{t}{one([hint("comment", 0), ""])}>{one(["", "<b>" + word() + "</b> ", "<h4>" + word() + "</h4>", link()])}<p>{prose(4)}</p></{t}>'
+            return f'<{t}{hint("comment", 0) if talk and inside else one([hint("comment", 0), ""])}>{one(["", "<b>" + word() + "</b> ", "<h4>" + word() + "</h4>", link()])}<p>{prose(4)}</p></{t}>'
         tag = one(["section", "div", "div", "ol", "aside"])
-        return f'<{tag}{hint("comment", 0)} data-y="0">{one(["", "<h3>" + sentence(1, 3) + "</h3>"]) if tag != "ol" else ""}{"".join(one_comment() for _ in range(1 + r(5)))}</{tag}>'
+        return f'<{tag}{hint("talk" if talk else "comment", 0)} data-y="0">{one(["", "<h3>" + sentence(1, 3) + "</h3>"]) if tag != "ol" else ""}{"".join(one_comment() for _ in range(1 + r(5)))}</{tag}>'
 
     def body_block():
         k = r(20)
@@ -461,7 +487,7 @@ def labelled_pages(n: int = TRAIN_PAGES, seed: int = SEED) -> list[str]:
         if k < 14:
             return f"<h{2 + r(3)}>{sentence(1, 7)}</h{2}>"
         if k == 14:
-            return items(2 + r(4), False)
+            return items(2 + r(5), chance(0.5))
         if k == 15:
             return f"<blockquote><p>{prose(2)}</p></blockquote>"
         if k == 16:
@@ -475,17 +501,41 @@ def labelled_pages(n: int = TRAIN_PAGES, seed: int = SEED) -> list[str]:
     def mark(html):  # the blocks of an article are content
         return re.sub(r"<(p|h\d|ul|ol|blockquote|table|pre|figure|div)>", r'<\1 data-y="1">', html)
 
+    def part():  # a section of an article; its name tells nothing
+        inner = "".join(mark(body_block()) for _ in range(1 + r(3)))
+        name = one([f' id="{word()}"', ' id="discussion"', ' class="discussion"', ""])
+        return f'<section{name} data-y="1"><h{2 + r(2)} data-y="1">{sentence(1, 4)}</h2>{inner}</section>'
+
+    def layout(body):  # a page in the cells of a table
+        bar = one([menu_cell, menu_cell, lambda: f"<td>{side()}</td>"])()
+        main = f'<td data-y="1">{body}</td>'
+        middle = one([bar + main, bar + main, main + bar, bar + main + f'<td data-y="0">{one([sentence(), menu_lines()])}</td>'])
+        wide = lambda x: f'<tr><td colspan="{2 + r(2)}" data-y="0">{x}</td></tr>'
+        top = wide(one([f"<b>{sentence(1, 3)}</b>", sentence(1, 3), link(sentence(1, 3)), menu_lines()])) if chance(0.6) else ""
+        end = wide(one([f"Copyright {r(30) + 1990}", f"&copy; {word()} {r(30) + 1990}", sentence(2, 6), menu_lines()])) if chance(0.6) else ""
+        return f"<table>{top}<tr>{middle}</tr>{end}</table>"
+
+    def menu_lines():
+        return one(["<br>", " ", " | "]).join(link() for _ in range(3 + r(6)))
+
+    def menu_cell():
+        return f'<td{one(["", " width=120"])} data-y="0">{one([menu_lines(), menu_lines(), items(3 + r(5))])}</td>'
+
     def article():
         short = chance(0.3)
         blocks = [mark(f"<p>{sentence(1, 5)}</p>" if short else body_block()) for _ in range(1 + r(2 if short else 10))]
         if chance(0.75):
             title = f'<h1 data-y="1">{sentence(1, 9)}</h1>'
             blocks.insert(0, f'<header data-y="1">{title}</header>' if chance(0.15) else title)
-        for part, p in ((advert, 0.12), (share, 0.1), (notice, 0.06), (side, 0.06), (form, 0.05), (menu, 0.04)):
+        if chance(0.15):
+            blocks += [part() for _ in range(1 + r(3))]
+        if chance(0.08):
+            blocks.append(f'<h2 data-y="1">{sentence(1, 3)}</h2>' + mark(items(2 + r(5))))
+        for other, p in ((advert, 0.12), (share, 0.1), (notice, 0.06), (side, 0.06), (form, 0.05), (menu, 0.04)):
             if chance(p):
-                blocks.insert(r(len(blocks)) + 1, part())
+                blocks.insert(r(len(blocks)) + 1, other())
         if chance(0.12):
-            blocks.append(comments())
+            blocks.append(comments(True))
         if chance(0.06):
             blocks.append(foot())
         tag = one(["article", "article", "article", "main", "div", "div", "section"])
@@ -493,13 +543,18 @@ def labelled_pages(n: int = TRAIN_PAGES, seed: int = SEED) -> list[str]:
         inner = "\n".join(blocks) if chance(0.5) else "".join(blocks)
         out = f'<{tag}{named} data-y="1">{inner}</{tag}>'
         if tag == "article" and chance(0.3):
-            out = f'<main data-y="1">{out}{comments() if chance(0.3) else ""}</main>'
+            out = f'<main data-y="1">{out}{comments(True) if chance(0.3) else ""}</main>'
         return out
 
     pages = []
     for _ in range(n):
         before = [f() for f, p in ((head, 0.5), (menu, 0.7), (notice, 0.25), (advert, 0.5), (form, 0.15), (side, 0.2)) if chance(p)]
         after = [f() for f, p in ((comments, 0.3), (share, 0.2), (side, 0.4), (advert, 0.25), (form, 0.15), (notice, 0.15), (menu, 0.15), (foot, 0.8)) if chance(p)]
+        if chance(0.08):
+            title = f'<h1 data-y="1">{sentence(1, 9)}</h1>' if chance(0.7) else ""
+            body = title + "".join(mark(body_block()) for _ in range(2 + r(6)))
+            pages.append(f'<html><head><title>{sentence()}</title></head><body>{layout(body)}</body></html>')
+            continue
         middle = article()
         if chance(0.25):
             middle = f'<div{one(["", hint("main", 0.5)])} data-y="1">{middle}{side() if chance(0.5) else ""}</div>'

@@ -427,8 +427,41 @@ def test_token_pieces_add_up():
     assert sum(len(own.encode_ordinary(p)) for p in tokens.pieces(text, 40)) == len(own.encode_ordinary(text))
 
 
-def test_extraction_of_unseen_layouts():
-    model = extract.trained()
+@pytest.fixture(scope="module")
+def page_model():
+    return extract.trained()
+
+
+ONE = "Bees visit the lime trees in June, and the honey of that month is pale."
+TWO = "The keeper opens each hive once a week. A weak swarm is fed with sugar, a strong one is left alone."
+LINKS = '<ul><li><a href="/a">Clover</a></li><li><a href="/b">Lime tree</a></li><li><a href="/c">Wax moth</a></li></ul>'
+LISTED = ["Clover", "Lime tree", "Wax moth"]
+
+
+@pytest.mark.parametrize("html, blocks", [
+    (f'<nav>{LINKS}</nav><article><h1>Bees</h1><p>{ONE}</p>{LINKS}<p>{TWO}</p></article>', ["Bees", ONE, *LISTED, TWO]),
+    (f'<nav>{LINKS}</nav><div id="content"><h1>Bees</h1><p>{ONE}</p><p>{TWO}</p><h2>See also</h2>{LINKS}</div>',
+     ["Bees", ONE, TWO, "See also", *LISTED]),
+    (f'<article><h1>Bees</h1><section id="results"><h2>Results</h2><p>{ONE}</p></section>'
+     f'<section id="discussion"><h2>Discussion</h2><p>{TWO}</p><p>{ONE}</p></section></article>',
+     ["Bees", "Results", ONE, "Discussion", TWO, ONE]),
+    (f'<article><h1>Bees</h1><p>{ONE}</p><p>{TWO}</p></article><section id="discussion"><h3>2 replies</h3>'
+     '<div class="reply"><b>Jo</b><p>Thank you for this page.</p></div><div class="reply"><p>Mine sting.</p></div></section>',
+     ["Bees", ONE, TWO]),
+    (f'<table><tr><td colspan="2"><b>Village site</b></td></tr><tr><td><a href="/">Start</a> <a href="/n">News</a> '
+     f'<a href="/k">Contact</a></td><td><h1>Bees</h1><p>{ONE}</p><p>{TWO}</p></td></tr><tr><td colspan="2">Copyright 2004</td></tr></table>',
+     ["Bees", ONE, TWO]),
+    (f'<article><h1>Bees</h1><p>{ONE}</p><table><tr><td>Hives</td><td>12</td></tr><tr><td>Honey</td><td>40 kg</td></tr></table><p>{TWO}</p></article>',
+     ["Bees", ONE, "Hives", "12", "Honey", "40 kg", TWO]),
+    (f'<div class="header">Bee Blog</div><div class="post"><h2>Bees</h2><p>{ONE}</p><p>{TWO}</p></div>', ["Bees", ONE, TWO]),
+], ids="links see_also sections replies layout_table data_table header".split())
+def test_what_belongs_to_an_article(page_model, html, blocks):
+    page = f"<html><head><title>t</title></head><body>{html}</body></html>"
+    assert extract.main_texts([page], page_model)[0].split("\n\n") == blocks
+
+
+def test_extraction_of_unseen_layouts(page_model):
+    model = page_model
     pages = extract.labelled_pages(120, seed=77)
     trees = [extract.parse(p) for p in pages]
     p, _ = extract.Batch(trees, model["index"]).run(model)
