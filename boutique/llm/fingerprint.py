@@ -12,9 +12,9 @@ shingle. Null, empty and wordless texts have an empty sketch; two empty sketches
 are alike (1.0), an empty and another one not (0.0).
 
 The next document in descending order of ids comes from windows over id ranges
-of about ``ROWS_PER_RANGE`` rows; the first row of each range (at most
-``MAX_RANGES``) is handed to the range before. Rows with equal ids follow each
-other by descending text hash, rows without an id come last.
+of about ``ROWS_PER_RANGE`` rows (from ``MAX_RANGES`` ranges on they grow: at 10^10 rows to
+some 150,000); the first row of each range is handed to the range before. Rows with equal ids follow
+each other by descending text hash, rows without an id come last, in 256 ranges of that hash.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
-SCALE = 8
+SCALE = 4
 ROWS_PER_RANGE = 500
-MAX_RANGES = 1024
+MAX_RANGES = 1 << 16
 #: Smallest hash; hashes are compared by their distance from it.
 _LOWEST = -(1 << 63)
 _BELOW = _LOWEST + (1 << 64) // SCALE
@@ -78,25 +78,27 @@ def _ranges(docs: DataFrame) -> tuple[list[int], int]:
     """Descending cut points of the ids, and rows without an id included, their number."""
     n = docs.count()
     cuts = max(1, min(MAX_RANGES, n // ROWS_PER_RANGE))
-    found = docs.agg(F.percentile_approx("doc_id", [i / cuts for i in range(1, cuts)], 10 * MAX_RANGES).alias("q")).first()["q"] if cuts > 1 else []
+    found = docs.agg(F.percentile_approx("doc_id", [i / cuts for i in range(1, cuts)], max(10_000, 10 * cuts)).alias("q")).first()["q"] if cuts > 1 else []
     return sorted(set(found or []), reverse=True), n
 
 
 def _range_of(cuts: list[int]) -> Column:
     """Number of the range of an id, in two short searches over the cut points."""
+    unknown = F.lit(len(cuts) + 128) - F.shiftright("h", 56)  # by descending hash
     if not cuts:
-        return F.when(F.col("doc_id").isNull(), F.lit(1)).otherwise(F.lit(0))
+        return F.when(F.col("doc_id").isNull(), unknown).otherwise(F.lit(0))
     step = max(1, int(len(cuts) ** 0.5))
     coarse, fine = cuts[step - 1::step], cuts
-    lit = lambda xs: F.array(*[F.lit(x).cast("bigint") for x in xs]) if xs else F.array().cast("array<bigint>")
+    lit = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>") if xs else F.array().cast("array<bigint>")
     skipped = F.size(F.filter(lit(coarse), lambda c: c > F.col("doc_id"))) * step
     rest = F.size(F.filter(F.slice(lit(fine), skipped + 1, F.lit(step)), lambda c: c > F.col("doc_id")))
-    return F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(skipped + rest)
+    return F.when(F.col("doc_id").isNull(), unknown).otherwise(skipped + rest)
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
     """Each row with its fingerprint, that of its edited text (the last third
-    replaced by the beginning of the next document), and how alike they are."""
+    replaced by the beginning of the next document), how alike they are, and the
+    share of each that the other holds."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     cuts, n = _ranges(own.select("doc_id"))
     keyed = own.withColumn("h", F.xxhash64("text")).withColumn("part", _range_of(cuts))
@@ -126,4 +128,5 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     return lined.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint("sketch").alias("fingerprint"), fingerprint("edited_sketch").alias("edited_fingerprint"),
-        resemblance("sketch", "edited_sketch").alias("near_edited"), resemblance("sketch", "next_sketch").alias("near_next"))
+        resemblance("sketch", "edited_sketch").alias("near_edited"), resemblance("sketch", "next_sketch").alias("near_next"),
+        containment("sketch", "edited_sketch").alias("kept_in_edited"), containment("edited_sketch", "sketch").alias("edited_from_own"))

@@ -1,6 +1,7 @@
 """The operators against brute force, round trips and held-out accuracy on small tables."""
 
 import hashlib
+import re
 
 import duckdb
 import numpy as np
@@ -257,6 +258,41 @@ def test_fingerprints_brute_force(spark):
         assert abs(got[d].near_edited - (len(a & b) / len(a | b) if a | b else 1.0)) < 1e-9
 
 
+def test_next_document_across_ranges_and_rows_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "ROWS_PER_RANGE", 20)
+    rows = [(None if i % 3 == 0 else i // 2, f"text {i} " * (1 + i % 9)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "xxhash64(text) AS h")
+    order = sorted(docs.collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), -r.h))
+    want = []
+    for i, r in enumerate(order):
+        n, k = len(r.text), len(r.text) // 3
+        edited = r.text[:n - k] + order[(i + 1) % len(order)].text[:k]
+        want.append((r.doc_id or -1, hashlib.sha256(edited.encode()).hexdigest()))
+    got = [(-1 if r.doc_id is None else r.doc_id, r.edited_sha256) for r in fingerprint.document_fingerprints(docs).collect()]
+    assert sorted(got) == sorted((-1 if o.doc_id is None else o.doc_id, w[1]) for o, w in zip(order, want))
+
+
+def test_sketch_error(spark):
+    docs = common.documents(spark, SF01)
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    ids = sorted(text, reverse=True)
+
+    def shingles(t):
+        w = [x for x in re.split("[\x20\x09-\x0d]+", t.lower()) if x]
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    errors, shares = {}, {}
+    for r in fingerprint.document_fingerprints(docs).collect():
+        t, following = text[r.doc_id], text[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
+        k = len(t) // 3
+        a, b = shingles(t), shingles(t[:len(t) - k] + following[:k])
+        size = next((n for n in (50, 200) if len(a) < n), 0)
+        errors.setdefault(size, []).append(abs(r.near_edited - (len(a & b) / len(a | b) if a | b else 1.0)))
+        shares.setdefault(size, []).append(abs(r.kept_in_edited - (len(a & b) / len(a) if a else float(not b))))
+    mean = {k: (round(float(np.mean(v)), 3), round(float(np.mean(shares[k])), 3), len(v)) for k, v in errors.items()}
+    print(mean)
+    assert mean[0][0] < 0.03 and mean[200][0] < 0.07 and mean[50][0] < 0.12
+
+
 def test_sketches_merge(spark):
     df = spark.createDataFrame([(1, "a b c d e f g h " * 3), (1, "some other words that go on and on " * 9)], "k int, text string")
     s = fingerprint.with_sketch(df, "text", "sketch")
