@@ -18,8 +18,9 @@ Items of 4 to 7 tokens are matched as one window of their own length, and only w
 it stands for itself in the document: between sentence ends, line ends, quotation marks, brackets or
 the ends of the text. The same few words inside a longer sentence are ordinary
 language. Shorter items say too little and match nothing. Documents send only windows that may be in
-the benchmark: those whose bit is set in a map of fixed size (512 KB), which is all that is
-broadcast. Null and empty texts match nothing; rows with the same id are
+the benchmark: those whose bit is set in a map, which is all that is broadcast. It has
+``BITS_PER_WINDOW`` bits for each benchmark window, between 512 KB and 64 MB (reached at 34 million
+windows); a fuller map lets more windows through to the join and changes no result. Null and empty texts match nothing; rows with the same id are
 marked together; rows without an id are never marked.
 """
 
@@ -33,13 +34,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boutique.llm.common import (ascii_lower, blocks, mix64, row_groups, run_hashes, signed, spans,
-                                 string_bytes)
+                                 string_bytes, written)
 
 WINDOW = 8
 SHORTEST = 4
 MIN_LITERALS = 5
 ENOUGH = 13
-MAP_BITS = 22
+#: Bits of the map for a benchmark window, and the exponents of its smallest and largest size.
+BITS_PER_WINDOW = 16
+MAP_BITS = (22, 29)
+#: Bits of a page, in which the map comes to the driver.
+PAGE = 1 << 15
 
 # Words that are numbers, and words that are units after a number.
 NUMBER_WORDS = """zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen
@@ -232,6 +237,30 @@ def _benchmark_windows(batches):
             names=["item_id", "item_tokens", "size", "item_at", "h", "item_slots"])
 
 
+def _page(table: pa.Table) -> pa.Table:
+    bits = np.zeros(PAGE, np.uint8)
+    bits[table.column("bit").to_numpy() % PAGE] = 1
+    return pa.table({"page": table.column("page")[:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()])})
+
+
+def window_map(windows: DataFrame) -> np.ndarray:
+    """A map of the leading bits of the hashes ``h``, eight to a byte."""
+    n = windows.count()
+    exponent = min(max((BITS_PER_WINDOW * n).bit_length(), MAP_BITS[0]), MAP_BITS[1])
+    pages = (windows.select(F.shiftrightunsigned("h", 64 - exponent).alias("bit")).distinct()
+             .withColumn("page", F.floor(F.col("bit") / PAGE)).groupBy("page").applyInArrow(_page, "page long, bits binary"))
+    out = np.zeros(1 << (exponent - 3), np.uint8)
+    for r in pages.toLocalIterator():
+        out[r["page"] * (PAGE >> 3):(r["page"] + 1) * (PAGE >> 3)] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def may_hold(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the hashes have their bit set in the map."""
+    bit = h >> np.uint64(64 - (len(bitmap).bit_length() + 2))
+    return ((bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
 def _document_windows(bitmap: np.ndarray, sizes: list[int]):
     def run(batches):
         for batch in batches:
@@ -243,9 +272,7 @@ def _document_windows(bitmap: np.ndarray, sizes: list[int]):
                     for places, h, k in readings(values, kinds, size):
                         if size < WINDOW:
                             places = stands_alone(places, edges, size)
-                        bit = h[places] >> np.uint64(64 - MAP_BITS)
-                        hit = ((bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-                        places = places[hit]
+                        places = places[may_hold(bitmap, h[places])]
                         for at in places:
                             ids.append(doc)
                             ats.append(int(at))
@@ -316,17 +343,11 @@ def _covers(batches):
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, covered, item_tokens of the alignments that mark a document."""
-    windows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
-        _benchmark_windows, "item_id long, item_tokens long, size long, item_at long, h long, item_slots array<long>")
+    windows = written(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
+        _benchmark_windows, "item_id long, item_tokens long, size long, item_at long, h long, item_slots array<long>"), "windows")
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())
-    bits = (windows.selectExpr(f"shiftrightunsigned(h, {64 - MAP_BITS}) AS bit")
-            .selectExpr("shiftright(bit, 3) AS byte", "shiftleft(1, CAST(bit & 7 AS INT)) AS v")
-            .groupBy("byte").agg(F.bit_or("v").alias("v")).collect())
-    bitmap = np.zeros(1 << (MAP_BITS - 3), np.uint8)
-    for r in bits:
-        bitmap[r["byte"]] = r["v"]
     found = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _document_windows(bitmap, sizes), "doc_id long, at long, h long, slots array<long>")
+        _document_windows(window_map(windows), sizes), "doc_id long, at long, h long, slots array<long>")
     # A window without placeholders met its exact words.
     exact = F.size("slots") == 0
     aligned = (found.join(windows, "h").where(exact | (F.size("slots") == F.size("item_slots")))

@@ -233,6 +233,34 @@ def test_decontamination_brute_force(spark):
     assert got.where("contaminated").count() <= len(want) + 3
 
 
+def test_window_map_grows_and_holds_all(spark, monkeypatch):
+    """A map of any size holds every window; a small, full one changes no result."""
+    rng = np.random.default_rng(3)
+    values = rng.integers(-2**63, 2**63 - 1, 5000)
+    windows = spark.createDataFrame([(int(v),) for v in values] + [(0,), (-1,)], "h long")
+    monkeypatch.setattr(decontaminate, "MAP_BITS", (15, 29))
+    grown = decontaminate.window_map(windows)
+    assert len(grown) == 1 << 14  # 16 bits for each of 5,002 windows, as a power of two
+    other = rng.integers(0, 2**63, 100_000).astype(np.uint64) * np.uint64(2)
+    for bitmap, most in ((grown, 0.05), (_map_of(windows, monkeypatch, (15, 15)), 0.16)):
+        assert decontaminate.may_hold(bitmap, np.append(values, [0, -1]).astype(np.int64).view(np.uint64)).all()
+        assert decontaminate.may_hold(bitmap, other).mean() < most
+    words = [f"w{k}" for k in range(400)]
+    benchmark = spark.createDataFrame([(i, " ".join(rng.choice(words, 20))) for i in range(300)], "item_id long, text string")
+    docs = benchmark.selectExpr("item_id AS doc_id", "concat('before it ', text) AS text")
+    results = []
+    for sizes in ((15, 15), (22, 29)):
+        monkeypatch.setattr(decontaminate, "MAP_BITS", sizes)
+        results.append(sorted(decontaminate.matches(docs, benchmark).collect()))
+    assert results[0] == results[1] and len(results[0]) == 300
+    assert not decontaminate.window_map(windows.limit(0)).any()
+
+
+def _map_of(windows, monkeypatch, sizes):
+    monkeypatch.setattr(decontaminate, "MAP_BITS", sizes)
+    return decontaminate.window_map(windows)
+
+
 def test_flow_uses_cheap_words_first():
     given = mixing.min_cost_flow({("a",): 10, ("a", "b"): 10, ("b",): 10}, {"a": 15, "b": 15})
     assert given == {("a",): 10, ("a", "b"): 10, ("b",): 10}
