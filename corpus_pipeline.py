@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import functions as F
 
 from boutique.llm import decontaminate, dedup, mixing, secrets, toxicity
 from boutique.llm.common import documents, scratch_path
