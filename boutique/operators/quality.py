@@ -226,6 +226,101 @@ def sample_scores(x: np.ndarray, label: np.ndarray) -> tuple[float | None, float
     return round(float(ratio.max(axis=1).mean()), 6), round(float(total / n), 6), round(float(ch), 6)
 
 
+#: Numbers of a right-hand block of :func:`scores_of_labelings`, and rows of a left-hand one.
+LABELING_NUMBERS = 1 << 20
+LABELING_ROWS = 512
+
+
+def _labeling_sums(place: list[dict[int, int]], width: int):
+    """Each left row's summed distances to the right rows of every label of every labeling."""
+    def work(left: pa.Table, right: pa.Table):
+        dist = _distances(blocks.matrix(left.column("v")), blocks.matrix(right.column("v")))
+        _, i, j = np.intersect1d(left.column("id").to_numpy(), right.column("id").to_numpy(), return_indices=True)
+        dist[i, j] = 0.0
+        label = blocks.matrix(right.column("labels")).astype(np.int64)
+        sums = np.zeros((len(dist), width))
+        if width <= 32 * len(place):
+            onehot = np.zeros((dist.shape[1], width))
+            for t, at in enumerate(place):
+                onehot[np.arange(len(onehot)), [at[v] for v in label[:, t].tolist()]] = 1.0
+            sums = dist @ onehot
+        else:
+            for t, at in enumerate(place):
+                others, s = _label_sums(dist, label[:, t])
+                sums[:, [at[v] for v in others.tolist()]] = s
+        flat = pa.array(sums.reshape(-1))
+        yield pa.RecordBatch.from_arrays(
+            [left.column("id").combine_chunks(), left.column("labels").combine_chunks(),
+             pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1) * width, pa.int32()), flat)], names=["id", "labels", "s"])
+    return work
+
+
+def _labeling_silhouettes(place: list[dict[int, int]], size: np.ndarray):
+    """(t, s): the sum of one batch's silhouettes in each labeling."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            s, label = blocks.matrix(batch.column("s")), blocks.matrix(batch.column("labels")).astype(np.int64)
+            rows, out = np.arange(len(s)), []
+            for t, at in enumerate(place):
+                own = np.array([at[v] for v in label[:, t].tolist()])
+                alone = size[own] <= 1
+                a = np.divide(s[rows, own], size[own] - 1, out=np.zeros(len(s)), where=~alone)
+                mean = s / size
+                mean[rows, own] = np.inf
+                b = mean[:, list(at.values())].min(axis=1)
+                top = np.maximum(a, b)
+                out.append(float(np.divide(b - a, top, out=np.zeros(len(s)), where=(top > 0) & np.isfinite(b) & ~alone).sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(out)), pa.int32()), pa.array(out, pa.float64())], names=["t", "s"])
+    return run
+
+
+def scores_of_labelings(rows: DataFrame, ks: list[int]) -> DataFrame:
+    """Davies-Bouldin, silhouette and Calinski-Harabasz of several labelings of the
+    same ``rows`` (id, v, labels: one label for each of ``ks``), for all at once.
+
+    The silhouette is quadratic work: blocks of rows meet blocks of rows, their distances
+    serve every labeling, and a row keeps one sum for each cluster. The driver
+    holds the cluster tables only."""
+    spark = rows.sparkSession
+    long = rows.select("v", F.posexplode("labels").alias("t", "label"))
+    key = ["t", "label"]
+    cents = long.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(array_to_vector("v")).alias("m")).select(
+        *key, "n", vector_to_array("m").alias("c")).checkpoint(eager=True)
+    per = long.join(bounded_broadcast(cents.select(*key, "c")), key).groupBy(*key).agg(
+        F.avg(distance("v", "c")).alias("spread"), F.sum(squared_distance("v", "c")).alias("sse"))
+    table = cents.join(per, key).toPandas().sort_values(key, ignore_index=True)
+    place = [{int(v): int(i) for i, v in zip(part.index, part["label"])} for t in range(len(ks)) for part in [table[table["t"] == t]]]
+    size, dim = table["n"].to_numpy(float), vector_dim(rows, "v")
+    schema = "k int, davies_bouldin_score double, silhouette_score double, calinski_harabasz_score double, n_features long, n_noise long"
+    if not len(table):
+        return spark.createDataFrame([], schema)
+    met = blocks.meet(rows, rows, "id", _labeling_sums(place, len(table)), "id long, labels array<int>, s array<double>",
+                      left_rows=LABELING_ROWS, right_rows=max(LABELING_ROWS, LABELING_NUMBERS // max(dim, 1)))
+    whole = met.groupBy("id", "labels").agg(Summarizer.sum(array_to_vector("s")).alias("s")).select("labels", vector_to_array("s").alias("s"))
+    total = {r["t"]: r["s"] for r in whole.mapInArrow(_labeling_silhouettes(place, size), "t int, s double")
+             .groupBy("t").agg(F.sum("s").alias("s")).collect()}
+    out = []
+    for t, k in enumerate(ks):
+        part = table[table["t"] == t]
+        n, c, m = int(part["n"].sum()), np.array(part["c"].tolist(), dtype=float), part["n"].to_numpy(float)
+        db = si = ch = None
+        if 2 <= len(part) < n:
+            spread, worst = part["spread"].to_numpy(), []
+            for i in range(len(c)):
+                far = np.sqrt(((c - c[i]) ** 2).sum(axis=1))
+                worst.append(np.divide(spread[i] + spread, far, out=np.zeros(len(far)), where=far > 0).max())
+            middle = c - (m[:, None] * c).sum(axis=0) / n
+            within = float(part["sse"].sum())
+            between = float((m * (middle * middle).sum(axis=1)).sum())
+            db, si = round(float(np.mean(worst)), 6), round(total[t] / n, 6)
+            ch = round(1.0 if within == 0 else between * (n - len(c)) / (within * (len(c) - 1)), 6)
+        noise = int(part.loc[part["label"] == -1, "n"].sum())
+        out.append((k, db, si, ch, int((part["label"] != -1).sum()), noise))
+    return spark.createDataFrame(out, schema)
+
+
 def silhouette_squared(points: DataFrame, vec: str = "embedding", label: str = "label",
                        dim: int | None = None, max_clusters: int = 100_000) -> DataFrame:
     """Silhouette with squared Euclidean distance over all rows in O(n·k):
