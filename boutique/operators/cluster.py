@@ -119,13 +119,6 @@ def _sums(vec: str, centers: np.ndarray, unit: float):
     return run
 
 
-def total(parts: DataFrame, *keys: str) -> np.ndarray:
-    """Rows (keys..., high, low) of the exact sums of ``s``: halves that no total overflows."""
-    pdf = (parts.groupBy(*keys).agg(F.sum(F.shiftright("s", 32)).alias("high"),
-                                    F.sum(F.col("s").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low")).toPandas())
-    return pdf[[*keys, "high", "low"]].to_numpy(np.int64)
-
-
 def assign(points: DataFrame, key: str, vec: str, centers: np.ndarray) -> DataFrame:
     """(key, vec, cluster): the nearest centre of each row."""
     kinds = dict(points.dtypes)

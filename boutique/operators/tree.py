@@ -4,7 +4,7 @@ The surveyed agglomerative trees are quadratic in rows. Here every group (a segm
 customers) is split top-down: each round takes the leaves whose sums of squares are among the
 largest of all nodes and splits all of them, of all groups, by two-way k-means in common
 passes over the rows, until the nodes with the largest sums are all split.
-A pass sends down the fitted splits and returns sums keyed by (group, node, side, dim);
+A pass sends down the fitted splits and returns one row of sums per node from each task;
 the driver keeps one pair of centres per split, bounded by the number of leaves asked for.
 
 A node is named by its path of 0 and 1, so paths in order are the leaves in order, and
@@ -57,7 +57,7 @@ def _by_group(table, vec: str):
 
 
 def _sums(vec: str, dim: int, splits: dict, wanted: dict[tuple[str, str], int], unit: float):
-    """Sums of the wanted leaves: (node, dim, what, s); what 0: entries, 1: squares; dim -1: rows."""
+    """Sums of the wanted leaves: (node, s), s the entries and the squares by dimension and the row count."""
     n = max(wanted.values(), default=-1) + 1
 
     def run(batches):
@@ -83,13 +83,9 @@ def _sums(vec: str, dim: int, splits: dict, wanted: dict[tuple[str, str], int],
 
 
 def _entries(sums, squares, sizes) -> pa.RecordBatch:
-    parts = [(np.flatnonzero(sizes), None, 0, sizes), (*np.nonzero(sums), 0, sums), (*np.nonzero(squares), 1, squares)]
-    node = np.concatenate([p[0] for p in parts])
-    dim = np.concatenate([np.full(len(p[0]), -1) if p[1] is None else p[1] for p in parts])
-    what = np.concatenate([np.full(len(p[0]), p[2]) for p in parts])
-    s = np.concatenate([p[3][p[0]] if p[1] is None else p[3][p[0], p[1]] for p in parts])
-    return pa.RecordBatch.from_arrays([pa.array(node, pa.int32()), pa.array(dim, pa.int32()), pa.array(what, pa.int32()),
-                                       pa.array(s, pa.int64())], names=["node", "dim", "what", "s"])
+    used = np.flatnonzero(sizes)
+    whole = np.column_stack((sums[used], squares[used], sizes[used]))
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([s.tobytes() for s in whole], pa.binary())], names=["node", "s"])
 
 
 class Tree:
@@ -166,21 +162,19 @@ def grow(points: DataFrame, key: str, vec: str, leaves: dict[str, int], steps: i
     tree = Tree(quality.vector_dim(data, vec))
     if not tree.dim:
         return tree
-    rows = blocks.packed(data).checkpoint(eager=True)
+    rows = blocks.packed(data.coalesce(points.sparkSession.sparkContext.defaultParallelism)).checkpoint(eager=True)
     unit = cluster.unit_of(data, vec)
 
     def measured(splits: dict, wanted: list[tuple[str, str]]) -> dict:
         """(n, mean, variance by dim) of the wanted leaves that have rows."""
         numbers = {w: i for i, w in enumerate(wanted)}
-        got = cluster.total(rows.mapInArrow(_sums(vec, tree.dim, splits, numbers, unit), "node int, dim int, what int, s long"),
-                            "node", "dim", "what")
-        value = got[:, 3] * 2.0 ** 32 + got[:, 4]
+        node, high, low = blocks.add_up(rows.mapInArrow(_sums(vec, tree.dim, splits, numbers, unit), "node int, s binary"))
         n, s, q = np.zeros(len(wanted)), np.zeros((len(wanted), tree.dim)), np.zeros((len(wanted), tree.dim))
-        count, entry = got[:, 1] == -1, (got[:, 1] >= 0) & (got[:, 2] == 0)
-        square = got[:, 2] == 1
-        n[got[count, 0]] = value[count]
-        s[got[entry, 0], got[entry, 1]] = value[entry] * unit
-        q[got[square, 0], got[square, 1]] = value[square] * unit * unit * 2.0 ** 40
+        if len(node):
+            value = high * 2.0 ** 32 + low
+            n[node] = value[:, -1]
+            s[node] = value[:, :tree.dim] * unit
+            q[node] = value[:, tree.dim:-1] * unit * unit * 2.0 ** 40
         out = {}
         for w, i in numbers.items():
             if n[i]:
