@@ -29,7 +29,7 @@ STEPS = 5
 ROWS_AT_ONCE = 1 << 22
 #: Numbers of a block of vectors: its rows go down the tree together, node by node, so
 #: blocks much larger than the number of nodes keep the work per row even.
-BLOCK_NUMBERS = 1 << 20
+BLOCK_NUMBERS = 1 << 19
 
 
 def _sides(x: np.ndarray, split: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
